@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.clean import TREATMENT_CODES, case_recode, value_exclude
 from ..functions.dates import age_at, birthday_bound, effective_date
+from ..sources.tables import materialise
 from .exposure import (
     add_study_end, censor_outcome, exposure_part, unpack_exposure, with_study_entry, with_time_to_exposure,
 )
@@ -109,9 +110,10 @@ def acceptable_cohort(patients: DataFrame, drugs: DataFrame, events: DataFrame |
     return kept.drop("_last_excluded", "single_class")
 
 
-def restrict_events(events: DataFrame, cohort: DataFrame) -> DataFrame:
-    """The cohort's rows of an event table."""
-    return patient_semi(events, cohort)
+def restrict_events(cohort: DataFrame, *tables: DataFrame) -> list[DataFrame]:
+    """The cohort's rows of each event table. The cohort's keys are worked out once and stored."""
+    keys = materialise(cohort.select("patid"))
+    return [patient_semi(t, keys) for t in tables]
 
 
 def attrition_table(patients: DataFrame, conditions: Sequence[tuple[str, Column]]) -> DataFrame:

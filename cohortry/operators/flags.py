@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.clean import forbid_columns
 from ..functions.dates import effective_date, parse_dates
 from .joins import broadcast_if_small, codelist_filter
-from .summaries import ROLE, Part, prefixed, role, summarise_events
+from .summaries import ROLE, Part, prefixed, role, sql_text, summarise_events
 
 MEDICATION, CONDITION = "medication:", "condition:"
 MODES = ("earliest", "first_record")
@@ -27,10 +27,8 @@ def medication_part(lists: DataFrame, dates: tuple[str, str] = ("issuedate", "en
 
 def unpack_medications(patients: DataFrame, names: Sequence[str], start: str, end: str) -> DataFrame:
     def used(name):
-        def within(day):
-            return (day["list"] == F.lit(MEDICATION + name)) & day["on"].between(F.col(start), F.col(end))
-
-        return F.coalesce(F.exists("_days", within), F.lit(False)).cast("int")
+        label = sql_text(MEDICATION + name)
+        return F.expr(f"int(coalesce(exists(_days, d -> d.list = {label} AND d.on BETWEEN `{start}` AND `{end}`), false))")
 
     return patients.withColumns({n: used(n) for n in names}).drop("_days")
 
@@ -53,13 +51,12 @@ def baseline_exposure_flag(patients: DataFrame, drugs: DataFrame, codes: DataFra
 
 def condition_part(lists: DataFrame, names: Sequence[str], dates: tuple[str, str] = ("obsdate", "enterdate")) -> Part:
     """Earliest date of each condition, and whether it occurs at all, dated or not."""
-    date = effective_date(*dates)
-    aggregates = []
+    date, aggregates = f"coalesce(`{dates[0]}`, `{dates[1]}`)", []
     for n in names:
-        mine = F.col(ROLE) == CONDITION + n
+        mine = f"{ROLE} = {sql_text(CONDITION + n)}"
         aggregates += [
-            F.min(F.when(mine, date)).alias(f"obsdate_{n}"),
-            F.max(F.when(mine, F.lit(1))).alias(n),
+            F.expr(f"min(CASE WHEN {mine} THEN {date} END)").alias(f"obsdate_{n}"),
+            F.expr(f"max(CASE WHEN {mine} THEN 1 END)").alias(n),
         ]
     return Part(prefixed(lists, CONDITION), aggregates)
 
@@ -67,8 +64,8 @@ def condition_part(lists: DataFrame, names: Sequence[str], dates: tuple[str, str
 def validate_condition_dates(patients: DataFrame, names: Sequence[str], reference: str) -> DataFrame:
     """A flag whose date is missing or later than the reference date becomes 0."""
     def checked(n):
-        bad = F.coalesce(F.col(f"obsdate_{n}") > F.col(reference), F.col(f"obsdate_{n}").isNull())
-        return F.when((F.col(n) == 1) & bad, F.lit(0)).otherwise(F.col(n))
+        bad = f"coalesce(`obsdate_{n}` > `{reference}`, `obsdate_{n}` IS NULL)"
+        return F.expr(f"CASE WHEN `{n}` = 1 AND {bad} THEN 0 ELSE `{n}` END")
 
     return patients.withColumns({n: checked(n) for n in names})
 

@@ -11,54 +11,66 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-MAX_BROADCAST_ROWS = 500_000
+MAX_BROADCAST_BYTES = 64 * 1024 * 1024
+_PER_ROW, _PER_FIELD = 16, 8
 
 
-def fits(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows; reads no more than it needs to know."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def at_most(df: DataFrame, rows: int) -> bool:
+    """Whether ``df`` has no more than ``rows`` rows; reads no further than it needs to know."""
+    return df.limit(rows + 1).count() <= rows
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    return F.broadcast(df) if fits(df, max_rows) else df
+def fits(df: DataFrame, max_bytes: int | None = None) -> bool:
+    """Whether all rows of ``df``, texts at their real length, stay within the limit for a broadcast."""
+    limit = MAX_BROADCAST_BYTES if max_bytes is None else max_bytes
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    width = _PER_ROW + _PER_FIELD * len(df.columns)
+    most = limit // width
+    length = reduce(lambda a, b: a + b, [F.coalesce(F.octet_length(f"`{c}`"), F.lit(0)) for c in texts], F.lit(0))
+    found = df.select(length.alias("length")).limit(most + 1).agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("text")).first()
+    return found.n <= most and found.n * width + (found.text or 0) <= limit
+
+
+def broadcast_if_small(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
+    return F.broadcast(df) if fits(df, max_bytes) else df
 
 
 def codelist_filter(
-    events: DataFrame, codes: DataFrame, code: str, term: str | None = None, max_rows: int = MAX_BROADCAST_ROWS
+    events: DataFrame, codes: DataFrame, code: str, term: str | None = None
 ) -> DataFrame:
     """Events whose code is in the list, each once however often the list repeats the code.
 
     ``term`` names a column to receive the code's term; without it this is a plain semi join.
     """
     if term is None:
-        keys = broadcast_if_small(codes.select(F.col("code").alias(code)), max_rows)
+        keys = broadcast_if_small(codes.select(F.col("code").alias(code)))
         return events.join(keys, code, "left_semi")
     unique = codes.groupBy("code").agg(F.min("term").alias(term)).withColumnRenamed("code", code)
-    return events.join(broadcast_if_small(unique, max_rows), code, "inner").select(*events.columns, term)
+    return events.join(broadcast_if_small(unique), code, "inner").select(*events.columns, term)
 
 
 def tag_events(
-    events: DataFrame, lists: DataFrame, code: str, max_rows: int = MAX_BROADCAST_ROWS, term: str | None = None
+    events: DataFrame, lists: DataFrame, code: str, term: str | None = None
 ) -> DataFrame:
     """Events with the name of each list that holds their code: one row per event and list."""
     if term is None:
         tags = lists.select("list_name", "code").distinct()
     else:
         tags = lists.groupBy("list_name", "code").agg(F.min("term").alias(term))
-    return events.join(broadcast_if_small(tags.withColumnRenamed("code", code), max_rows), code, "inner")
+    return events.join(broadcast_if_small(tags.withColumnRenamed("code", code)), code, "inner")
 
 
 def attach_patient_attrs(
     events: DataFrame, patients: DataFrame, attrs: Sequence[str], how: str = "left", key: str = "patid",
-    max_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
-    return events.join(broadcast_if_small(patients.select(key, *attrs), max_rows), key, how)
+    return events.join(broadcast_if_small(patients.select(key, *attrs)), key, how)
 
 
-def patient_semi(events: DataFrame, patients: DataFrame, key: str = "patid", max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+def patient_semi(events: DataFrame, patients: DataFrame, key: str = "patid") -> DataFrame:
     """Events of the given patients."""
-    return events.join(broadcast_if_small(patients.select(key), max_rows), key, "left_semi")
+    return events.join(broadcast_if_small(patients.select(key)), key, "left_semi")
 
 
 def patient_anti(patients: DataFrame, excluded: DataFrame, key: str = "patid") -> DataFrame:
@@ -66,9 +78,9 @@ def patient_anti(patients: DataFrame, excluded: DataFrame, key: str = "patid") -
     return patients.join(excluded.select(key).distinct(), key, "left_anti")
 
 
-def lookup_join(events: DataFrame, lookup: DataFrame, key: str, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+def lookup_join(events: DataFrame, lookup: DataFrame, key: str) -> DataFrame:
     """Left join to a dictionary (units, terms); a row without an entry keeps null."""
-    return events.join(broadcast_if_small(lookup, max_rows), key, "left")
+    return events.join(broadcast_if_small(lookup), key, "left")
 
 
 def acceptable_join(df: DataFrame, flags: DataFrame, key: str = "patid", flag: str = "acceptable") -> DataFrame:

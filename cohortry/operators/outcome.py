@@ -109,10 +109,8 @@ def unpack_outcome(patients: DataFrame, rules: OutcomeRules, group: str = "gende
     chosen = F.col(_column(rules, None))
     for name in rules.bands:
         chosen = F.when(F.col(group).cast("string") == F.lit(name), F.col(_column(rules, name))).otherwise(chosen)
-    code = F.lit(0)
-    for position, value in enumerate(_CODE_OF_RANK):
-        code = F.when(F.col("_chosen.rank") == position, F.lit(value)).otherwise(code)
-    out = patients.withColumn("_chosen", chosen).withColumn("outcome", code)
+    codes = F.array(*[F.lit(c) for c in _CODE_OF_RANK])
+    out = patients.withColumn("_chosen", chosen).withColumn("outcome", F.coalesce(F.get(codes, F.col("_chosen.rank")), F.lit(0)))
     out = out.withColumn("outcome_date", F.when(F.col("outcome") > 0, F.col("_chosen.on")))
     return out.drop("_chosen", _column(rules, None), *[_column(rules, g) for g in rules.bands])
 

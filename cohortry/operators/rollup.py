@@ -58,7 +58,7 @@ def rollup_values(events: DataFrame, codes: Sequence[str], start=None, end=None,
 def value_timeline(
     events: DataFrame, codes: Sequence[str], start=None, end=None, key: str = KEY, entries: int = 10_000
 ) -> DataFrame:
-    """(patient, code, part, timeline): ``value@date`` texts in order of date, then value.
+    """(patient, code, part, timeline, copies): distinct ``value@date`` texts by date, then value, and how often each occurs.
 
     Nearly every patient has one part. Longer lists go on in parts 2, 3, ..., cut between days after
     about ``entries`` entries, so that no single row grows without limit; nothing is left out. A day
@@ -89,8 +89,10 @@ def value_timeline(
     def text(e):
         return F.concat(e[VALUE].cast("string"), F.lit("@"), e[DATE].cast("string"))
 
-    timeline = F.flatten(F.transform("_entries", lambda e: F.array_repeat(text(e), e["copies"].cast("int"))))
-    return packed.select(key, CODE, F.row_number().over(order).alias("part"), timeline.alias("timeline"))
+    return packed.select(
+        key, CODE, F.row_number().over(order).alias("part"), F.transform("_entries", text).alias("timeline"),
+        F.transform("_entries", lambda e: e["copies"]).alias("copies"),
+    )
 
 
 def rollup_category(events: DataFrame, terms: DataFrame, key: str = KEY, name: str = "category") -> DataFrame:

@@ -40,6 +40,11 @@ def prefixed(lists: DataFrame, prefix: str) -> DataFrame:
     return lists.select(F.concat(F.lit(prefix), "list_name").alias("list_name"), "code", "term")
 
 
+def sql_text(text: str) -> str:
+    """``text`` as an SQL string literal, for expressions built once per list name."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def in_role(*names: str) -> Column:
     return F.col(ROLE).isin(*names)
 

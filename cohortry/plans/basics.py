@@ -154,7 +154,9 @@ def _(v: Views):
 
 @query("cluster_layout", "SELECT * FROM drug_issue")
 def _(v: Views):
-    return tables.cluster_layout(v.drug_issue, shared_dir(v.spark))
+    stored = shared_dir(v.spark)
+    tables.write_table(v.drug_issue, stored)
+    return tables.cluster_layout(v.spark, stored, shared_dir(v.spark))
 
 
 @query("export_delimited", "SELECT patid, gender, yob, regstartdate FROM patient")

@@ -172,7 +172,7 @@ def _(v: Views):
 
 @query("restrict_events", "SELECT patid, prodcodeid, issuedate FROM drug_issue WHERE patid IN (SELECT patid FROM cohort)", **FULL)
 def _(v: Views):
-    return cohort.restrict_events(v.drug_issue.select("patid", "prodcodeid", "issuedate"), accepted(v))
+    return cohort.restrict_events(accepted(v), v.drug_issue.select("patid", "prodcodeid", "issuedate"))[0]
 
 
 _STEPS = [
@@ -436,8 +436,9 @@ def _(v: Views):
     return _rolled_values(v)
 
 
-@query("value_timeline", f"""SELECT PatientIdentifier, CodeId, CAST(1 AS INTEGER) AS part, string_agg(CAST(coalesce(Value, 1.0) AS VARCHAR) || '@' || CAST(EffectiveDate AS VARCHAR), ','
-    ORDER BY EffectiveDate, coalesce(Value, 1)) AS timeline FROM roll_event WHERE {_PERIOD} GROUP BY 1, 2""")
+@query("value_timeline", f"""SELECT PatientIdentifier, CodeId, CAST(1 AS INTEGER) AS part, string_agg(CAST(x AS VARCHAR) || '@' || CAST(EffectiveDate AS VARCHAR), ',' ORDER BY EffectiveDate, x) AS timeline,
+    string_agg(CAST(n AS VARCHAR), ',' ORDER BY EffectiveDate, x) AS copies FROM (SELECT PatientIdentifier, CodeId, EffectiveDate, coalesce(Value, 1.0) AS x, count(*) AS n
+    FROM roll_event WHERE {_PERIOD} GROUP BY 1, 2, 3, 4) GROUP BY 1, 2""")
 def _(v: Views):
     return flatten_arrays_for_csv(rollup.value_timeline(v.roll_event, EVENT_TYPES, ROLL_START, ROLL_END))
 

@@ -111,7 +111,8 @@ class Views:
 
     @cached_property
     def brands(self) -> DataFrame:
-        return self.table("part").select(F.col("p_brand").alias("code"), F.col("p_brand").alias("term")).distinct()
+        """Brands as codes, one row per part: lists hold each code many times over, as the operators must allow."""
+        return self.table("part").select(F.col("p_brand").alias("code"), F.col("p_brand").alias("term"))
 
     def brand_list(self, name: str, *numbers: int) -> DataFrame:
         wanted = [f"Brand#{n}" for n in numbers]

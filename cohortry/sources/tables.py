@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.joins import fits
+from ..operators.joins import at_most
+from ..operators.sets import union_lists
+from ..session import shared_dir
 
 # The columns of each table that the analyses rely on, as read from an extract.
 CONTRACTS = {
@@ -30,8 +32,6 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet", columns: Se
 
 def read_batches(spark: SparkSession, paths: Sequence[str], table: str, fmt: str = "parquet") -> DataFrame:
     """All batches of one table, each cut to the table's columns, as one frame."""
-    from ..operators.sets import union_lists
-
     return union_lists([read_table(spark, p, fmt, CONTRACTS[table]) for p in paths])
 
 
@@ -46,16 +46,27 @@ def write_table(df: DataFrame, path: str, save: bool = True, fmt: str = "parquet
     return df.sparkSession.read.format(fmt).load(path)
 
 
-def cluster_layout(df: DataFrame, path: str, keys: Sequence[str] = ("patid",), partitions: int | None = None) -> DataFrame:
-    """Store sorted by range of the keys, so that min/max statistics skip files and row groups.
+def materialise(df: DataFrame) -> DataFrame:
+    """``df`` stored in the shared folder and read back, for a result that several later steps use.
+
+    The work behind it is done once, and is not repeated when an executor is lost.
+    """
+    return write_table(df, shared_dir(df.sparkSession))
+
+
+def cluster_layout(
+    spark: SparkSession, source: str, path: str, keys: Sequence[str] = ("patid",), partitions: int | None = None, fmt: str = "parquet"
+) -> DataFrame:
+    """Rewrite a stored table in ranges of the keys, so that min/max statistics skip files and row groups.
 
-    The remaining columns take part in the ranges: a key that holds a large share of the rows is
-    spread over several files instead of filling one.
+    The row number within the scan ends the order, so a key, or a group of equal rows, that holds a
+    large share of the table is spread over several files. Numbers taken straight from a scan of
+    stored files are the same on every attempt of a task.
     """
-    rest = [c for c in df.columns if c not in keys]
-    order = [F.col(c) for c in [*keys, *rest]]
-    spread = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
-    return write_table(spread.sortWithinPartitions(*order), path)
+    order = [F.col(c) for c in [*keys, "_row"]]
+    rows = read_table(spark, source, fmt).withColumn("_row", F.monotonically_increasing_id())
+    spread = rows.repartitionByRange(partitions, *order) if partitions else rows.repartitionByRange(*order)
+    return write_table(spread.sortWithinPartitions(*order).drop("_row"), path, fmt=fmt)
 
 
 def flatten_arrays_for_csv(df: DataFrame, sep: str = ",") -> DataFrame:
@@ -73,7 +84,7 @@ def export_delimited(
     """Header text files. One file is written only where the row count is within ``max_rows``;
     a larger table is always written in parallel, whole."""
     flat = flatten_arrays_for_csv(df)
-    if single_file and fits(flat, max_rows):
+    if single_file and at_most(flat, max_rows):
         flat = flat.coalesce(1)
     flat.write.mode("overwrite").csv(path, sep=sep, header=True)
     return path

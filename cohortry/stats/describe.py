@@ -125,7 +125,8 @@ def histogram(df: DataFrame, names: Sequence[str], bins: int = 30) -> DataFrame:
             continue
         width = (high - low) / bins or 1.0
         value = F.col(f"`{c}`").cast("double")
-        spot = F.least(F.floor((value - low) / width), F.lit(bins - 1))
+        # least() passes over nulls, so a missing value needs its own branch.
+        spot = F.when(value.isNotNull(), F.least(F.floor((value - low) / width), F.lit(bins - 1)))
         out.append((c, low, width, spot.cast("int")))
     if not out:
         return df.sparkSession.createDataFrame([], "variable string, bin int, low double, high double, n bigint")
