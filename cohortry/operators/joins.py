@@ -37,23 +37,19 @@ def broadcast_if_small(df: DataFrame, max_bytes: int | None = None) -> DataFrame
     return F.broadcast(df) if fits(df, max_bytes) else df
 
 
-def codelist_filter(
-    events: DataFrame, codes: DataFrame, code: str, term: str | None = None
-) -> DataFrame:
+def codelist_filter(events: DataFrame, codes: DataFrame, code: str, term: str | None = None) -> DataFrame:
     """Events whose code is in the list, each once however often the list repeats the code.
 
     ``term`` names a column to receive the code's term; without it this is a plain semi join.
     """
     if term is None:
         keys = broadcast_if_small(codes.select(F.col("code").alias(code)))
-        return events.join(keys, code, "left_semi")
+        return events.join(keys, code, "left_semi").select(*events.columns)
     unique = codes.groupBy("code").agg(F.min("term").alias(term)).withColumnRenamed("code", code)
     return events.join(broadcast_if_small(unique), code, "inner").select(*events.columns, term)
 
 
-def tag_events(
-    events: DataFrame, lists: DataFrame, code: str, term: str | None = None
-) -> DataFrame:
+def tag_events(events: DataFrame, lists: DataFrame, code: str, term: str | None = None) -> DataFrame:
     """Events with the name of each list that holds their code: one row per event and list."""
     if term is None:
         tags = lists.select("list_name", "code").distinct()
@@ -63,19 +59,19 @@ def tag_events(
 
 
 def attach_patient_attrs(
-    events: DataFrame, patients: DataFrame, attrs: Sequence[str], how: str = "left", key: str = "patid",
+    events: DataFrame, patients: DataFrame, attrs: Sequence[str], how: str = "left", key: str = "patid"
 ) -> DataFrame:
     return events.join(broadcast_if_small(patients.select(key, *attrs)), key, how)
 
 
 def patient_semi(events: DataFrame, patients: DataFrame, key: str = "patid") -> DataFrame:
     """Events of the given patients."""
-    return events.join(broadcast_if_small(patients.select(key)), key, "left_semi")
+    return events.join(broadcast_if_small(patients.select(key)), key, "left_semi").select(*events.columns)
 
 
 def patient_anti(patients: DataFrame, excluded: DataFrame, key: str = "patid") -> DataFrame:
     """Patients not among ``excluded``, whose keys are made unique before they are shuffled."""
-    return patients.join(excluded.select(key).distinct(), key, "left_anti")
+    return patients.join(excluded.select(key).distinct(), key, "left_anti").select(*patients.columns)
 
 
 def lookup_join(events: DataFrame, lookup: DataFrame, key: str) -> DataFrame:
@@ -85,7 +81,7 @@ def lookup_join(events: DataFrame, lookup: DataFrame, key: str) -> DataFrame:
 
 def acceptable_join(df: DataFrame, flags: DataFrame, key: str = "patid", flag: str = "acceptable") -> DataFrame:
     good = flags.filter(F.col(flag).cast("string") == "1").select(key).distinct()
-    return df.join(good, key, "left_semi")
+    return df.join(good, key, "left_semi").select(*df.columns)
 
 
 def composite_key_join(df: DataFrame, other: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
