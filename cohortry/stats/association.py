@@ -45,19 +45,13 @@ def chi_square_by_stratum(df: DataFrame, stratum: str, group: str, pairs: Sequen
     """(stratum, group1, group2, statistic, dof, p_value): this stratum against the rest, one group against the other."""
     pairs = group_pairs(df, group, pairs)
     counts = level_counts(only_groups(df, group, pairs), [stratum], group)
-    totals = counts.withColumn("total", F.sum("n").over(Window.partitionBy("grp")))
-    wide = explode_pairs(gather(totals, ["level"], ["n"]), pairs)
-    whole = gather(totals.select("grp", "total").distinct().withColumn("variable", F.lit(stratum)), ["variable"], ["total"], "totals")
-    # One row in all.
-    wide = wide.withColumn("variable", F.lit(stratum)).join(F.broadcast(whole), "variable")
-
-    def inside(which):
-        return F.coalesce(of_group("groups", which, "n"), F.lit(0)).cast("double")
-
-    def outside(which):
-        return F.coalesce(of_group("totals", which, "total"), F.lit(0)).cast("double") - inside(which)
-
-    a, b, c, d = inside("group1"), inside("group2"), outside("group1"), outside("group2")
+    wide = explode_pairs(gather(counts, ["level"], ["n"]), pairs).withColumns({
+        "a": F.coalesce(of_group("groups", "group1", "n"), F.lit(0)).cast("double"),
+        "b": F.coalesce(of_group("groups", "group2", "n"), F.lit(0)).cast("double"),
+    })
+    every_stratum = Window.partitionBy("group1", "group2")
+    wide = wide.withColumns({"c": F.sum("a").over(every_stratum) - F.col("a"), "d": F.sum("b").over(every_stratum) - F.col("b")})
+    a, b, c, d = (F.col(x) for x in "abcd")
     cross = a * d - b * c
     margins = (a + b) * (c + d) * (a + c) * (b + d)
     statistic = F.when(margins > 0, (a + b + c + d) * cross * cross / margins)

@@ -175,15 +175,19 @@ def profile_columns(
     )
     if not numeric:
         return out
-    quantiles = exact_quantiles(df, numeric, (0.0, 0.25, 0.5, 0.75, 1.0), accuracy=accuracy)
     labels = {"minimum": 0.0, "q1": 0.25, "median": 0.5, "q3": 0.75, "maximum": 1.0}
-    # One row per numeric column, so the broadcasts below are bounded by the width of the table.
+    quantiles = exact_quantiles(df, numeric, tuple(labels.values()), accuracy=accuracy)
     five = quantiles.groupBy("variable").agg(*[F.max(F.when(F.col("prob") == p, F.col("value"))).alias(c) for c, p in labels.items()])
-    reach = (F.col("q3") - F.col("q1")) * 1.5
-    fences = five.select("variable", (F.col("q1") - reach).alias("_lo"), (F.col("q3") + reach).alias("_hi"))
-    number = F.col("level").try_cast("double")
-    outside = counts.join(F.broadcast(fences), "variable").filter(~number.between(F.col("_lo"), F.col("_hi")))
-    outliers = outside.groupBy("variable").agg(F.sum("n").alias("outliers"), F.count(F.lit(1)).alias("outlier_values"))
-    return out.join(F.broadcast(five), "variable", "left").join(F.broadcast(outliers), "variable", "left").fillna(
+    # One row per numeric column: few enough to collect, and to broadcast below.
+    found = five.collect()
+    outside = F.lit(False)
+    for row in found:
+        reach = (row.q3 - row.q1) * 1.5
+        beyond = ~F.col("value").between(row.q1 - reach, row.q3 + reach)
+        outside = F.when(F.col("variable") == row.variable, beyond).otherwise(outside)
+    extremes = _long_numbers(df, numeric, None).filter(outside).groupBy("variable", "value").agg(F.count(F.lit(1)).alias("n"))
+    outliers = extremes.groupBy("variable").agg(F.sum("n").alias("outliers"), F.count(F.lit(1)).alias("outlier_values"))
+    spread = df.sparkSession.createDataFrame(found, five.schema)
+    return out.join(F.broadcast(spread), "variable", "left").join(F.broadcast(outliers), "variable", "left").fillna(
         0, subset=["outliers", "outlier_values"]
     )
