@@ -52,10 +52,15 @@ def codelist_filter(events: DataFrame, codes: DataFrame, code: str, term: str |
 def tag_events(events: DataFrame, lists: DataFrame, code: str, term: str | None = None) -> DataFrame:
     """Events with the name of each list that holds their code: one row per event and list."""
     if term is None:
-        tags = lists.select("list_name", "code").distinct()
+        rows = lists.select("list_name", "code")
+        tags = rows.distinct()
     else:
-        tags = lists.groupBy("list_name", "code").agg(F.min("term").alias(term))
-    return events.join(broadcast_if_small(tags.withColumnRenamed("code", code)), code, "inner")
+        rows = lists.select("list_name", "code", "term")
+        tags = rows.groupBy("list_name", "code").agg(F.min("term").alias(term))
+    # Lists that are small with all their repeats need no second look.
+    small = fits(rows) or fits(tags)
+    tags = tags.withColumnRenamed("code", code)
+    return events.join(F.broadcast(tags) if small else tags, code, "inner")
 
 
 def attach_patient_attrs(

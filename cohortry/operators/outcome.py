@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.clean import (
-    ACCEPTED_UNITS, CK_BANDS, CONVERTED_UNITS, TARGET_UNIT, band_code, converted_value, threshold_by_group, unit_convert,
+    ACCEPTED_UNITS, CK_BANDS, CONVERTED_UNITS, TARGET_UNIT, UNDEFINED_CODE, band_code, converted_value, threshold_by_group, unit_convert,
     unit_gate,
 )
 from ..functions.dates import effective_date, parse_dates
@@ -61,23 +61,20 @@ def _usable_units(rules: OutcomeRules) -> list[int]:
     return [u for u in rules.accepted if u not in rules.convert] + converted
 
 
-def _event_code(rules: OutcomeRules, level: Column) -> Column:
-    """Code of a tagged event, ``level`` being the band code of its measurement."""
-    return (
-        F.when(in_role(SEVERE), F.lit(2)).when(in_role(MODERATE), F.lit(1))
-        .when(in_role(MEASURED), F.coalesce(unit_gate(_usable_units(rules)), level))
-    )
+def _coder(rules: OutcomeRules):
+    """A function from the band code of a measurement to the code of the tagged event."""
+    severe, moderate, measured = in_role(SEVERE), in_role(MODERATE), in_role(MEASURED)
+    units = _usable_units(rules)
+    gate = unit_gate(units) if units else F.lit(UNDEFINED_CODE)
+    return lambda level: F.when(severe, F.lit(2)).when(moderate, F.lit(1)).when(measured, F.coalesce(gate, level))
 
 
 # On one day the most severe code counts first, an undefined one only after any definite outcome.
-_CODE_OF_RANK = (2, 1, 3, 0)
+_CODES_BY_RANK = (2, 1, 3, 0)
 
 
-def _rank(code: Column) -> Column:
-    out = F.lit(len(_CODE_OF_RANK))
-    for position, value in enumerate(_CODE_OF_RANK):
-        out = F.when(code == value, F.lit(position)).otherwise(out)
-    return out
+def _codes_by_rank() -> Column:
+    return F.array(*[F.lit(c) for c in _CODES_BY_RANK])
 
 
 def outcome_part(rules: OutcomeRules) -> Part:
@@ -86,16 +83,17 @@ def outcome_part(rules: OutcomeRules) -> Part:
     The group is known only from the patient table. Judging each event under every group's limits
     lets events be reduced to one row per patient before they meet that table.
     """
-    date = effective_date(rules.event_date, rules.entry_date)
+    date, coded, value = effective_date(rules.event_date, rules.entry_date), _coder(rules), converted_value(rules.convert)
+    ranks, last = _codes_by_rank(), F.lit(len(_CODES_BY_RANK) + 1)
+    undated, on = date.isNull().alias("undated"), date.alias("on")
     aggregates = []
     for name, cuts in [*rules.bands.items(), (None, None)]:
-        level = F.lit(None).cast("int") if cuts is None else band_code(cuts, converted_value(rules.convert))
-        code = _event_code(rules, level)
+        code = coded(F.lit(None).cast("int") if cuts is None else band_code(cuts, value))
+        rank = F.coalesce(F.array_position(ranks, code), last).alias("rank")
         if rules.mode == "earliest_positive":
-            pick = F.when(code > 0, F.struct(date.isNull().alias("undated"), date.alias("on"), _rank(code).alias("rank")))
+            pick = F.when(code > 0, F.struct(undated, on, rank))
         else:
-            tagged = in_role(MEASURED, MODERATE, SEVERE)
-            pick = F.when(tagged, F.struct(F.lit(False).alias("undated"), date.alias("on"), _rank(code).alias("rank")))
+            pick = F.when(in_role(MEASURED, MODERATE, SEVERE), F.struct(on, rank))
         aggregates.append(F.min(pick).alias(_column(rules, name)))
     return Part(rules.lists, aggregates, ["value", "numunitid"])
 
@@ -109,8 +107,9 @@ def unpack_outcome(patients: DataFrame, rules: OutcomeRules, group: str = "gende
     chosen = F.col(_column(rules, None))
     for name in rules.bands:
         chosen = F.when(F.col(group).cast("string") == F.lit(name), F.col(_column(rules, name))).otherwise(chosen)
-    codes = F.array(*[F.lit(c) for c in _CODE_OF_RANK])
-    out = patients.withColumn("_chosen", chosen).withColumn("outcome", F.coalesce(F.get(codes, F.col("_chosen.rank")), F.lit(0)))
+    out = patients.withColumn("_chosen", chosen)
+    code = F.get(_codes_by_rank(), F.col("_chosen.rank").cast("int") - 1)
+    out = out.withColumn("outcome", F.coalesce(code, F.lit(0)))
     out = out.withColumn("outcome_date", F.when(F.col("outcome") > 0, F.col("_chosen.on")))
     return out.drop("_chosen", _column(rules, None), *[_column(rules, g) for g in rules.bands])
 
@@ -130,8 +129,7 @@ def outcome_events(patients: DataFrame, events: DataFrame, rules: OutcomeRules,
     rows = tag_events(parse_dates(events, *rules.dates), rules.lists, rules.code)
     rows = attach_patient_attrs(rows, patients, [group])
     level = threshold_by_group(rules.bands, group, converted_value(rules.convert))
-    code = _event_code(rules, level)
-    rows = rows.withColumn("outcome_code", code)
+    rows = rows.withColumn("outcome_code", _coder(rules)(level))
     rows = unit_convert(rows, rules.convert, rules.target)
     return rows.withColumn("outcome_date", effective_date(*rules.dates))
 

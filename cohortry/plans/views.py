@@ -9,6 +9,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 STUDY_START, STUDY_END = "1996-01-01", "2000-12-31"
 ROLL_START, ROLL_END = "2024-01-05", "2024-01-25"
@@ -29,12 +30,19 @@ EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 TREATMENTS = {"ECONOMY": 1, "LARGE": 2, "MEDIUM": 3, "PROMO": 4, "SMALL": 5}
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 class Views:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.dir = spark, sf_dir.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+        """A shared table; its schema is looked up in the file once and stated from then on."""
+        path = f"{self.dir}/{name}.parquet"
+        if path not in _SCHEMAS:
+            _SCHEMAS[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
 
     @cached_property
     def patient(self) -> DataFrame:
