@@ -9,25 +9,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.clean import TREATMENT_CODES, case_recode, value_exclude
-from ..functions.dates import age_at, birthday_bound, effective_date
+from ..functions.dates import age_at, birthday_bound
 from ..sources.tables import materialise
 from .exposure import (
     add_study_end, censor_outcome, exposure_part, unpack_exposure, with_study_entry, with_time_to_exposure,
 )
 from .flags import (
-    BMI_HIGH, BMI_LOW, BMI_UNIT, condition_part, measurement_part, medication_part, unit_ids, unpack_conditions,
+    BMI_HIGH, BMI_LOW, BMI_UNIT, condition_part, conditions_found, measurement_part, medication_part, unit_ids, unpack_conditions,
     unpack_measurement, unpack_medications,
 )
 from .joins import attach_ethnicity, patient_semi
 from .outcome import OutcomeRules, no_prior_outcome, outcome_part, unpack_outcome
-from .summaries import Part, in_role, role, summarise_events
+from .summaries import ON, Part, in_role, role, summarise_events
 
 EXCLUSION = "exclusion"
 
 
-def exclusion_part(codes: DataFrame, dates: tuple[str, str]) -> Part:
+def exclusion_part(codes: DataFrame) -> Part:
     """The last day on which a patient has an event of the list."""
-    return Part(role(codes, EXCLUSION), [F.max(F.when(in_role(EXCLUSION), effective_date(*dates))).alias("_last_excluded")])
+    return Part(role(codes, EXCLUSION), [F.max(F.when(in_role(EXCLUSION), F.col(ON))).alias("_last_excluded")])
 
 
 def exclude_events_after(
@@ -35,7 +35,7 @@ def exclude_events_after(
     dates: tuple[str, str] = ("obsdate", "enterdate"),
 ) -> DataFrame:
     """Drop patients with a listed event strictly after the date in ``after``."""
-    last = summarise_events(events, [exclusion_part(codes, dates)], code, dates)
+    last = summarise_events(events, [exclusion_part(codes)], code, dates)
     late = F.coalesce(F.col("_last_excluded") > F.col(after), F.lit(False))
     return patients.join(last, "patid", "left").filter(~late).drop("_last_excluded")
 
@@ -83,8 +83,7 @@ def eligibility(
     """
     on_drugs, on_events = [exposure_part(study.exposure, study.drug_dates[0]), *drug_parts], list(event_parts)
     if study.exclusion is not None:
-        dates = study.drug_dates if study.exclusion_in == "drugs" else study.event_dates
-        (on_drugs if study.exclusion_in == "drugs" else on_events).append(exclusion_part(study.exclusion, dates))
+        (on_drugs if study.exclusion_in == "drugs" else on_events).append(exclusion_part(study.exclusion))
     if study.outcome is not None:
         on_events.append(outcome_part(study.outcome))
     summary = summarise_events(drugs, on_drugs, "prodcodeid", study.drug_dates)
@@ -163,17 +162,17 @@ def research_dataset(
     """One row per eligible patient: outcome within the study, treatment, age and all covariates."""
     c = covariates
     measured = measurement_part(
-        c.measurement, unit_ids(c.units, c.measurement_unit), "BMI", *c.measurement_range, dates=study.event_dates
+        c.measurement, unit_ids(c.units, c.measurement_unit), "BMI", *c.measurement_range
     )
     wide = eligibility(
         patients, drugs, events, study,
-        [medication_part(c.medications, study.drug_dates)],
-        [condition_part(c.conditions, c.condition_names, study.event_dates), measured],
+        [medication_part(c.medications, c.medication_names)],
+        [condition_part(c.conditions, c.condition_names), measured],
     )
     cohort = keep_eligible(wide, study).withColumnRenamed("first_exposure_date", "index_date")
     cohort = censor_outcome(add_study_end(cohort, study.end))
     cohort = unpack_medications(cohort, c.medication_names, "study_entry_date", "index_date")
-    cohort = unpack_conditions(cohort, c.condition_names, "index_date")
+    cohort = unpack_conditions(conditions_found(cohort, c.condition_names), c.condition_names, "index_date")
     cohort = cohort.withColumn("age_at_exposure", age_at("index_date"))
     cohort = attach_ethnicity(unpack_measurement(cohort, "BMI"), c.ethnicity)
     cohort = cohort.withColumn("treatment", case_recode("drugsubstancename", c.treatment_codes or TREATMENT_CODES))

@@ -10,25 +10,23 @@ from pyspark.sql import functions as F
 from ..functions.clean import forbid_columns
 from ..functions.dates import effective_date, parse_dates
 from .joins import broadcast_if_small, codelist_filter
-from .summaries import ROLE, Part, prefixed, role, sql_text, summarise_events
+from .summaries import ON, ROLE, Part, in_role, prefixed, role, role_sql, summarise_events
 
 MEDICATION, CONDITION = "medication:", "condition:"
 MODES = ("earliest", "first_record")
 
 
-def medication_part(lists: DataFrame, dates: tuple[str, str] = ("issuedate", "enterdate")) -> Part:
+def medication_part(lists: DataFrame, names: Sequence[str]) -> Part:
     """The distinct days of each patient on any of the lists: at most one entry per list and calendar day."""
-    entry = F.struct(F.col(ROLE).alias("list"), effective_date(*dates).alias("on"))
-    return Part(
-        prefixed(lists, MEDICATION),
-        [F.collect_set(F.when(F.col(ROLE).startswith(MEDICATION) & effective_date(*dates).isNotNull(), entry)).alias("_days")],
-    )
+    entry = F.struct(F.col(ROLE).alias("list"), F.col(ON).alias("on"))
+    mine = in_role(*[MEDICATION + n for n in names]) & F.col(ON).isNotNull()
+    return Part(prefixed(lists, MEDICATION), [F.collect_set(F.when(mine, entry)).alias("_days")])
 
 
 def unpack_medications(patients: DataFrame, names: Sequence[str], start: str, end: str) -> DataFrame:
     def used(name):
-        label = sql_text(MEDICATION + name)
-        return F.expr(f"int(coalesce(exists(_days, d -> d.list = {label} AND d.on BETWEEN `{start}` AND `{end}`), false))")
+        day = f"d.list = {role_sql(MEDICATION + name)} AND d.on BETWEEN `{start}` AND `{end}`"
+        return F.expr(f"int(coalesce(exists(_days, d -> {day}), false))")
 
     return patients.withColumns({n: used(n) for n in names}).drop("_days")
 
@@ -40,7 +38,7 @@ def baseline_exposure_flags(
 ) -> DataFrame:
     """One 0/1 column per list: an issue from ``start`` to ``end`` of the patient, both included."""
     forbid_columns(patients, names, "patients")
-    days = summarise_events(drugs, [medication_part(lists, dates)], code, dates)
+    days = summarise_events(drugs, [medication_part(lists, names)], code, dates)
     return unpack_medications(patients.join(days, "patid", "left"), names, start, end)
 
 
@@ -49,16 +47,25 @@ def baseline_exposure_flag(patients: DataFrame, drugs: DataFrame, codes: DataFra
     return baseline_exposure_flags(patients, drugs, named, [name], **options)
 
 
-def condition_part(lists: DataFrame, names: Sequence[str], dates: tuple[str, str] = ("obsdate", "enterdate")) -> Part:
-    """Earliest date of each condition, and whether it occurs at all, dated or not."""
-    date, aggregates = f"coalesce(`{dates[0]}`, `{dates[1]}`)", []
-    for n in names:
-        mine = f"{ROLE} = {sql_text(CONDITION + n)}"
-        aggregates += [
-            F.expr(f"min(CASE WHEN {mine} THEN {date} END)").alias(f"obsdate_{n}"),
-            F.expr(f"max(CASE WHEN {mine} THEN 1 END)").alias(n),
-        ]
-    return Part(prefixed(lists, CONDITION), aggregates)
+# Stands for the date of an undated event, so that one aggregate tells whether and when a condition occurs.
+_UNDATED = "DATE '9999-12-31'"
+
+
+def condition_part(lists: DataFrame, names: Sequence[str]) -> Part:
+    """The earliest day of each condition."""
+    return Part(prefixed(lists, CONDITION), [
+        F.expr(f"min(CASE WHEN {ROLE} = {role_sql(CONDITION + n)} THEN coalesce({ON}, {_UNDATED}) END)").alias(f"_first_{n}")
+        for n in names
+    ])
+
+
+def conditions_found(summary: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Flag 1 and date for each condition found, dated or not; nulls for the others."""
+    found = summary.withColumns({
+        **{f"obsdate_{n}": F.expr(f"nullif(`_first_{n}`, {_UNDATED})") for n in names},
+        **{n: F.expr(f"CASE WHEN `_first_{n}` IS NOT NULL THEN 1 END") for n in names},
+    })
+    return found.drop(*[f"_first_{n}" for n in names])
 
 
 def validate_condition_dates(patients: DataFrame, names: Sequence[str], reference: str) -> DataFrame:
@@ -82,7 +89,7 @@ def earliest_condition(
     if mode not in MODES:
         raise ValueError(f"mode must be one of {', '.join(MODES)}")
     if mode == "earliest":
-        return summarise_events(events, [condition_part(lists, names, dates)], code, dates)
+        return conditions_found(summarise_events(events, [condition_part(lists, names)], code, dates), names)
     rows = parse_dates(events.select("patid", code, *dates), *dates).withColumn("_on", effective_date(*dates))
     per_code = lists.groupBy("code").agg(F.collect_set("list_name").alias("_lists")).withColumnRenamed("code", code)
     rows = rows.join(broadcast_if_small(per_code), code, "left")
@@ -140,13 +147,12 @@ def _in_range(ids: Sequence[int], low: float, high: float):
 
 
 def measurement_part(
-    codes: DataFrame, ids: Sequence[int], name: str = "BMI", low: float = BMI_LOW, high: float = BMI_HIGH,
-    dates: tuple[str, str] = ("obsdate", "enterdate"),
+    codes: DataFrame, ids: Sequence[int], name: str = "BMI", low: float = BMI_LOW, high: float = BMI_HIGH
 ) -> Part:
     """The latest in-range value, the larger one on ties."""
     label = f"measurement:{name}"
-    record = F.struct(effective_date(*dates).alias("on"), F.col("value").try_cast("double").alias("value"))
-    hit = (F.col(ROLE) == label) & _in_range(ids, low, high)
+    record = F.struct(F.col(ON).alias("on"), F.col("value").try_cast("double").alias("value"))
+    hit = in_role(label) & _in_range(ids, low, high)
     return Part(role(codes, label), [F.max(F.when(hit, record)).alias(f"_latest_{name}")], ["value", "numunitid"])
 
 
@@ -167,7 +173,7 @@ def latest_measurement(
     """
     ids = unit_ids(units, unit)
     if codes is not None and as_of is None:
-        summary = summarise_events(events, [measurement_part(codes, ids, name, low, high, dates)], code, dates)
+        summary = summarise_events(events, [measurement_part(codes, ids, name, low, high)], code, dates)
         return unpack_measurement(summary, name).filter(F.col(name).isNotNull())
     rows = parse_dates(events.select("patid", code, *dates, "value", "numunitid"), *dates).filter(_in_range(ids, low, high))
     if codes is not None:

@@ -18,7 +18,7 @@ from ..functions.clean import (
 from ..functions.dates import effective_date, parse_dates
 from ..sources.codelists import long_codelist
 from .joins import attach_patient_attrs, tag_events
-from .summaries import Part, in_role, role, summarise_events
+from .summaries import ON, ROLE, Part, in_role, role, role_number, summarise_events
 
 MEASURED, MODERATE, SEVERE = "measured", "moderate", "severe"
 MODES = ("earliest_positive", "first_record")
@@ -83,7 +83,7 @@ def outcome_part(rules: OutcomeRules) -> Part:
     The group is known only from the patient table. Judging each event under every group's limits
     lets events be reduced to one row per patient before they meet that table.
     """
-    date, coded, value = effective_date(rules.event_date, rules.entry_date), _coder(rules), converted_value(rules.convert)
+    date, coded, value = F.col(ON), _coder(rules), converted_value(rules.convert)
     ranks, last = _codes_by_rank(), F.lit(len(_CODES_BY_RANK) + 1)
     undated, on = date.isNull().alias("undated"), date.alias("on")
     aggregates = []
@@ -126,10 +126,10 @@ def add_outcome(patients: DataFrame, events: DataFrame, rules: OutcomeRules, gro
 
 def outcome_events(patients: DataFrame, events: DataFrame, rules: OutcomeRules, group: str = "gender") -> DataFrame:
     """Every listed event with its code and date, measurements in the target unit: the detail behind ``add_outcome``."""
-    rows = tag_events(parse_dates(events, *rules.dates), rules.lists, rules.code)
+    rows = tag_events(parse_dates(events, *rules.dates), rules.lists, rules.code).withColumn(ROLE, role_number(F.col("list_name")))
     rows = attach_patient_attrs(rows, patients, [group])
     level = threshold_by_group(rules.bands, group, converted_value(rules.convert))
-    rows = rows.withColumn("outcome_code", _coder(rules)(level))
+    rows = rows.withColumn("outcome_code", _coder(rules)(level)).drop(ROLE)
     rows = unit_convert(rows, rules.convert, rules.target)
     return rows.withColumn("outcome_date", effective_date(*rules.dates))
 

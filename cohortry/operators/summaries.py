@@ -18,13 +18,16 @@ from ..functions.dates import parse_dates
 from ..sources.codelists import long_codelist
 from .joins import tag_events
 
-ROLE = "list_name"
-TERM = "list_term"
+ROLE, TERM, ON = "_role", "_term", "_on"
 
 
 @dataclass
 class Part:
-    """What one operator needs: codelist rows named by role, and named aggregates."""
+    """What one operator needs: codelist rows named by role, aggregates, and the event columns they read.
+
+    Aggregates may use the role number (``in_role``, ``role_sql``), the code's term and ``ON``, the
+    event's effective date.
+    """
 
     lists: DataFrame
     aggregates: list[Column]
@@ -40,13 +43,21 @@ def prefixed(lists: DataFrame, prefix: str) -> DataFrame:
     return lists.select(F.concat(F.lit(prefix), "list_name").alias("list_name"), "code", "term")
 
 
-def sql_text(text: str) -> str:
-    """``text`` as an SQL string literal, for expressions built once per list name."""
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+def role_number(name: str | Column) -> Column:
+    """Events carry the hash of the role name: numbers compare faster than names, row by row."""
+    return F.xxhash64(F.lit(name) if isinstance(name, str) else name)
 
 
 def in_role(*names: str) -> Column:
-    return F.col(ROLE).isin(*names)
+    hit = F.col(ROLE) == role_number(names[0])
+    for name in names[1:]:
+        hit = hit | (F.col(ROLE) == role_number(name))
+    return hit
+
+
+def role_sql(name: str) -> str:
+    """The role number as SQL text, for expressions built once per list name."""
+    return "xxhash64('" + name.replace("\\", "\\\\").replace("'", "\\'") + "')"
 
 
 def summarise_events(
@@ -54,7 +65,8 @@ def summarise_events(
 ) -> DataFrame:
     """One row per patient that has any event in the parts' lists, with all their aggregates."""
     parts = list(parts)
-    wanted = [c for c in dict.fromkeys([key, code, *dates, *(c for p in parts for c in p.columns)])]
-    rows = parse_dates(events.select(*wanted), *dates)
-    tagged = tag_events(rows, long_codelist(p.lists for p in parts), code, term=TERM)
+    wanted = list(dict.fromkeys([key, code, *dates, *(c for p in parts for c in p.columns)]))
+    rows = parse_dates(events.select(*wanted), *dates).withColumn(ON, F.coalesce(*dates))
+    lists = long_codelist(p.lists for p in parts).withColumn("list_name", role_number(F.col("list_name")))
+    tagged = tag_events(rows, lists, code, term=TERM).withColumnRenamed("list_name", ROLE)
     return tagged.groupBy(key).agg(*[a for p in parts for a in p.aggregates])

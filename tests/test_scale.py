@@ -132,7 +132,7 @@ def test_hot_patient_in_outcome_and_flags(spark, skewed):
 
 def test_day_lists_are_bounded_by_days(spark, skewed):
     rows = skewed.selectExpr("patid", "code AS prodcodeid", "d AS issuedate", "e AS enterdate")
-    part = flags.medication_part(codes(spark, "l", ("x", "t"), ("y", "t")))
+    part = flags.medication_part(codes(spark, "l", ("x", "t"), ("y", "t")), ["l"])
     days = pairs(summarise_events(rows, [part], "prodcodeid", ("issuedate", "enterdate")))
     want = rows.filter("patid = 'hot'").select("issuedate").distinct().count()
     assert len(days["hot"]["_days"]) == want < N // 3
