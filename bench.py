@@ -53,7 +53,7 @@ def main() -> None:
     per_list = times.pop("flags_one_join_per_list")
     print(json.dumps({
         "metric": "headline_queries_total", "value": round(sum(times.values()), 3), "unit": "sec", "queries": times,
-        "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
+        "sf": float(os.path.basename(sf_dir.rstrip("/")).removeprefix("sf") or "nan"),
         "one_join_per_list_sec": per_list, "one_pass_speedup": round(per_list / times["baseline_exposure_flags"], 2),
     }))
     spark.stop()

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .joins import attach_patient_attrs, broadcast_if_small
+
 
 def _edge_record(events: DataFrame, keys: Sequence[str], date: str, latest: bool) -> DataFrame:
     """One whole record per key, by date and then by all other columns; undated records come last.
@@ -53,8 +55,15 @@ def running_dates(events: DataFrame, date: str, keys: Sequence[str] = ("patid",)
 
 def condition_flag(events: DataFrame, codes: DataFrame, name: str, code: str = "medcodeid", date: str = "obsdate") -> DataFrame:
     """Every event with a 0/1 column ``name`` and its date renamed to ``obsdate_<name>``; the code goes."""
-    from .joins import broadcast_if_small
-
     keys = broadcast_if_small(codes.select(F.col("code").alias(code)).distinct().withColumn(name, F.lit(1)))
     flagged = events.join(keys, code, "left").withColumn(name, F.coalesce(name, F.lit(0)))
     return flagged.drop(code).withColumnRenamed(date, f"obsdate_{name}")
+
+
+def events_before_index(
+    events: DataFrame, patients: DataFrame, days: int, date: str, index: str = "index_date", key: str = "patid"
+) -> DataFrame:
+    """Events of the ``days`` days up to the patient's index date, that day and the first one included."""
+    rows = attach_patient_attrs(events, patients, [index], how="inner", key=key)
+    inside = F.col(date).between(F.date_sub(F.col(index), days), F.col(index))
+    return rows.filter(inside).select(*events.columns)

@@ -23,7 +23,11 @@ def at_most(df: DataFrame, rows: int) -> bool:
 
 
 def fits(df: DataFrame, max_bytes: int | None = None) -> bool:
-    """Whether all rows of ``df``, texts at their real length, stay within the limit for a broadcast."""
+    """Whether all rows of ``df``, texts at their real length, stay within the limit for a broadcast.
+
+    This runs ``df`` up to the limit, so what comes here should be a stored table or a cheap selection
+    from one; ``materialise`` stores the result of longer work first.
+    """
     limit = MAX_BROADCAST_BYTES if max_bytes is None else max_bytes
     texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
     width = _PER_ROW + _PER_FIELD * len(df.columns)

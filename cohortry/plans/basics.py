@@ -252,6 +252,11 @@ def _(v: Views):
     return clean.value_exclude(clean.flag_filter(v.patient), "gender", "3").select("patid", "gender")
 
 
+@query("value_exclude", "SELECT patid, prodcodeid, duration FROM drug_issue WHERE duration <> 3")
+def _(v: Views):
+    return clean.value_exclude(v.drug_issue, "duration", 3).select("patid", "prodcodeid", "duration")
+
+
 @query("fill_nulls_zero", "SELECT patid, coalesce(duration, 0) AS duration FROM drug_issue")
 def _(v: Views):
     return clean.fill_nulls_zero(v.drug_issue.select("patid", "duration"), ["duration"])
@@ -305,6 +310,11 @@ def _(v: Views):
     return joins.lookup_join(v.observation.select("patid", F.col("numunitid").cast("int").alias("numunitid")), v.units, "numunitid").select("patid", "numunitid", "Description")
 
 
+@query("attach_practice", "SELECT patid, p.pracid, region FROM patient p LEFT JOIN practice q ON p.pracid = q.pracid")
+def _(v: Views):
+    return joins.lookup_join(v.patient.select("patid", "pracid"), v.practice, "pracid").select("patid", "pracid", "region")
+
+
 @query("acceptable_join", "SELECT PatientIdentifier, CodeId, EffectiveDate FROM roll_event WHERE PatientIdentifier IN (SELECT PatientIdentifier FROM roll_patient WHERE IsAcceptable = '1')")
 def _(v: Views):
     return joins.acceptable_join(v.roll_event.drop("Value"), v.roll_patient, "PatientIdentifier", "IsAcceptable")

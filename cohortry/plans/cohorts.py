@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import cohort, exposure, flags, outcome, patterns, rollup
+from ..operators import cohort, events, exposure, flags, joins, outcome, patterns, rollup
 from ..operators.sets import union_lists
 from ..sources.tables import flatten_arrays_for_csv
 from .basics import EXPOSED, FIRST
@@ -110,6 +110,11 @@ def _(v: Views):
     return exposure.require_adult(exposed(v)).select("patid", "yob", "first_exposure_date")
 
 
+@query("events_before_index", "SELECT d.patid, prodcodeid, issuedate FROM drug_issue d JOIN exposed_patients e ON d.patid = e.patid WHERE issuedate BETWEEN first_exposure_date - 90 AND first_exposure_date", **BASE)
+def _(v: Views):
+    return events.events_before_index(v.drug_issue.select("patid", "prodcodeid", "issuedate"), exposed(v), 90, "issuedate", "first_exposure_date")
+
+
 @query("exclude_events_after", f"SELECT patid, study_entry_date FROM lookback e WHERE {NOT_EXCLUDED}", **BASE)
 def _(v: Views):
     kept = cohort.exclude_events_after(
@@ -436,6 +441,12 @@ def _(v: Views):
     return _rolled_values(v)
 
 
+@query("full_outer_by_union", f"SELECT coalesce(c.PatientIdentifier, w.PatientIdentifier) AS PatientIdentifier, c.* EXCLUDE (PatientIdentifier), w.* EXCLUDE (PatientIdentifier) FROM (SELECT * FROM ({ROLL_CODES}) WHERE PatientIdentifier % 3 <> 0) c FULL OUTER JOIN ({ROLL_VALUES}) w ON c.PatientIdentifier = w.PatientIdentifier")
+def _(v: Views):
+    wide = joins.outer(_rolled_codes(v).filter("PatientIdentifier % 3 <> 0"), _rolled_values(v), "PatientIdentifier")
+    return _null_empty(flatten_arrays_for_csv(wide))
+
+
 @query("value_timeline", f"""SELECT PatientIdentifier, CodeId, CAST(1 AS INTEGER) AS part, string_agg(CAST(x AS VARCHAR) || '@' || CAST(EffectiveDate AS VARCHAR), ',' ORDER BY EffectiveDate, x) AS timeline,
     string_agg(CAST(n AS VARCHAR), ',' ORDER BY EffectiveDate, x) AS copies FROM (SELECT PatientIdentifier, CodeId, EffectiveDate, coalesce(Value, 1.0) AS x, count(*) AS n
     FROM roll_event WHERE {_PERIOD} GROUP BY 1, 2, 3, 4) GROUP BY 1, 2""")

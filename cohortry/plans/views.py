@@ -59,9 +59,7 @@ class Views:
 
     @cached_property
     def practice(self) -> DataFrame:
-        return self.table("nation").join(
-            F.broadcast(self.table("region")), F.col("n_regionkey") == F.col("r_regionkey")
-        ).selectExpr("n_nationkey AS pracid", "r_name AS region")
+        return self.table("nation").join(self.table("region"), F.col("n_regionkey") == F.col("r_regionkey")).selectExpr("n_nationkey AS pracid", "r_name AS region")
 
     @cached_property
     def drug_issue(self) -> DataFrame:

@@ -27,17 +27,23 @@ def local_session(cores: str | int = 8, shuffle_partitions: int = 8) -> SparkSes
     return spark
 
 
+_LOCAL_BASE: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """A new folder name below the cluster's shared checkpoint folder.
 
-    Read from the session; a folder of our own is set only where none is named, as in local tests.
+    The folder is read from the session. A local session without the setting, as in tests, gets a
+    temporary one; on a cluster that would be out of the executors' reach, so there it is an error.
     """
-    base = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(CHECKPOINT_CONF)
+    base = spark.conf.get(CHECKPOINT_CONF, None)
     if not base and spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
         base = spark.sparkContext._jsc.sc().getCheckpointDir().get()
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(f"{CHECKPOINT_CONF} must name a folder that every executor can reach")
-        base = tempfile.mkdtemp(prefix="cohortry-")
-        spark.conf.set(CHECKPOINT_CONF, base)
+        app = spark.sparkContext.applicationId
+        if app not in _LOCAL_BASE:
+            _LOCAL_BASE[app] = tempfile.mkdtemp(prefix="cohortry-")
+        base = _LOCAL_BASE[app]
     return f"{base.rstrip('/')}/cohortry-{uuid.uuid4().hex}"

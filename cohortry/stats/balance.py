@@ -113,7 +113,8 @@ def table_one(df: DataFrame, group: str, categorical: Sequence[str], continuous:
         "variable", "level", "grp", "n", (F.col("n") * 100.0 / total).alias("percent"),
         F.lit(None).cast("double").alias("mean"), F.lit(None).cast("double").alias("sd"),
     )
-    spread = moments(known, continuous, group).unionByName(overall_moments(known, continuous))
+    spread = moments(known, continuous, group)
+    spread = spread.unionByName(overall_moments(spread))
     means = spread.select(
         "variable", F.lit(None).cast("string").alias("level"), "grp", "n", F.lit(None).cast("double").alias("percent"),
         "mean", F.sqrt("var").alias("sd"),

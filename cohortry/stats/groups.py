@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MAX_LEVELS = 50
@@ -18,8 +18,16 @@ def moments(df: DataFrame, names: Sequence[str], by: str) -> DataFrame:
     return _moments_long(wide, names)
 
 
-def overall_moments(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    return _moments_long(df.agg(*_moment_columns(names)).withColumn("grp", F.lit(OVERALL)), names)
+def overall_moments(spread: DataFrame) -> DataFrame:
+    """Moments of all groups together, from those of each group."""
+    n, m, whole = F.col("n"), F.col("mean"), Window.partitionBy("variable")
+    rows = spread.filter("n > 0").withColumn("_all", F.sum(n * m).over(whole) / F.sum(n).over(whole))
+    shift = m - F.col("_all")
+    total = F.sum("n").alias("n")
+    squares = F.sum((n - 1) * F.coalesce("var", F.lit(0.0)) + n * shift * shift)
+    out = rows.groupBy("variable").agg(total, F.max("_all").alias("mean"), squares.alias("_squares"))
+    var = F.when(F.col("n") > 1, F.col("_squares") / (F.col("n") - 1))
+    return out.select(F.lit(OVERALL).alias("grp"), "variable", "n", "mean", var.alias("var"))
 
 
 def _moment_columns(names: Sequence[str]) -> list[Column]:

@@ -100,3 +100,10 @@ def test_except_and_union(spark):
     a, b = frame(spark, [("1", "x"), ("1", "y"), ("2", "x")]), spark.createDataFrame([("z", "2")], "code string, patid string")
     assert [r.patid for r in sets.except_keys(a, b).collect()] == ["1"]
     assert ("2", "z") in {tuple(r) for r in sets.union_lists([a, b]).collect()}
+
+
+def test_events_before_index_include_both_ends(spark):
+    people = spark.createDataFrame([("a", day("2011-01-31")), ("c", None)], "patid string, index_date date")
+    rows = [("a", day("2011-01-01")), ("a", day("2010-12-31")), ("a", day("2011-01-31")), ("a", day("2011-02-01")), ("a", None), ("b", day("2011-01-15")), ("c", day("2011-01-15"))]
+    kept = events.events_before_index(spark.createDataFrame(rows, "patid string, d date"), people, 30, "d")
+    assert sorted(str(r.d) for r in kept.collect()) == ["2011-01-01", "2011-01-31"]

@@ -109,3 +109,14 @@ def test_batches_are_cut_to_the_contract(spark, tmp_path):
         spark.createDataFrame([(f"{i}", "extra", "b", "c", "d")], "pracid string, extra string, region string, uts string, lcd string").write.parquet(str(tmp_path / str(i)))
     df = tables.read_batches(spark, [str(tmp_path / "0"), str(tmp_path / "1")], "practice")
     assert tuple(df.columns) == columns and sorted(r.pracid for r in df.collect()) == ["0", "1"]
+
+
+def test_shared_folder_is_the_one_the_session_names(spark, tmp_path):
+    assert shared_dir(spark) != shared_dir(spark)
+    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
+    try:
+        assert shared_dir(spark).startswith(f"{tmp_path}/cohortry-")
+        stored = tables.materialise(spark.range(5))
+        assert stored.count() == 5 and str(tmp_path) in stored.inputFiles()[0]
+    finally:
+        spark.conf.unset("spark.checkpoint.dir")
