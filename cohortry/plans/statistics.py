@@ -69,9 +69,12 @@ def t_p_sql(stat: str, dof: str, n: int = 4000) -> str:
     return f"round(1 - 2 * ({inner}) * exp(lgamma(({dof} + 1) / 2.0) - lgamma({dof} / 2.0)) / sqrt(pi()), 6)"
 
 
-def f_p_sql(stat: str, dof1: str, dof2: str, n: int = 40000) -> str:
-    weight, top = _SIMPSON.format(n=n), f"({dof2} / ({dof2} + {dof1} * {stat}))"
-    inner = f"SELECT sum(({weight}) * pow(i * {top} / {n}, {dof2} / 2.0 - 1) * pow(1 - i * {top} / {n}, {dof1} / 2.0 - 1)) * {top} / {n} / 3 FROM range({n + 1}) r(i)"
+def f_p_sql(stat: str, dof1: str, dof2: str, n: int = 4000) -> str:
+    """Upper tail as an incomplete beta integral, cut where the integrand has fallen by a factor of e^60."""
+    weight, low = _SIMPSON.format(n=n), f"({dof1} * {stat} / ({dof2} + {dof1} * {stat}))"
+    step = f"(least(1 - {low}, 120.0 / {dof2}) / {n})"
+    at = f"({low} + i * {step})"
+    inner = f"SELECT sum(({weight}) * pow(1 - {at}, {dof2} / 2.0 - 1) * pow({at}, {dof1} / 2.0 - 1)) * {step} / 3 FROM range({n + 1}) r(i)"
     return f"round(({inner}) * exp(lgamma(({dof1} + {dof2}) / 2.0) - lgamma({dof1} / 2.0) - lgamma({dof2} / 2.0)), 6)"
 
 
