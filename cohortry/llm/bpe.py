@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from tokenizers import Regex, normalizers, pre_tokenizers
 
 from .common import fresh, whole
 
@@ -37,8 +38,6 @@ CACHED_CHUNKS, CACHED_WORDS, CACHED_PREFIXES, CACHED_STEPS = 250_000, 250_000, 4
 SHARED_BYTES = 48
 # Texts below this code point (Latin letters) take a shorter pattern.
 NARROW = 0x250
-# Unicode's white space.
-WHITE_SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 
 
 def byte_letters() -> list[str]:
@@ -49,18 +48,30 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in set(shown) else chr(next(hidden)) for b in range(256)]
 
 
-def _ranges(kind: str, end: int) -> str:
-    """The code points below ``end`` whose general category begins with ``kind``, for a character class."""
-    inside = [unicodedata.category(chr(c))[0] == kind for c in range(end)] + [False]
-    edges = [c for c in range(end + 1) if inside[c] != (c > 0 and inside[c - 1])]
-    return "".join(f"\\U{a:08x}-\\U{b - 1:08x}" for a, b in zip(edges[::2], edges[1::2]))
+def _code_points() -> list[str]:
+    return [chr(c) for c in range(sys.maxunicode + 1) if not 0xD800 <= c <= 0xDFFF]
 
 
-def word_pattern(pattern: str, end: int) -> re.Pattern:
+def class_members(name: str) -> list[tuple[int, int]]:
+    """The code points of a class in the pattern language of tokenizer files, as ranges.
+
+    Editions of Unicode differ in the newest letters, so the library that the files are made for is asked.
+    """
+    cut = pre_tokenizers.Split(Regex(f"{name}+"), "removed", invert=True)
+    return [(ord(piece[0]), ord(piece[-1])) for piece, _ in cut.pre_tokenize_str("".join(_code_points()))]
+
+
+def lower_differences() -> dict[int, str]:
+    """Letters whose lower case in tokenizers, which look at one letter at a time, is not Python's."""
+    letters = [c for c in _code_points() if c != "\n"]
+    low = normalizers.Lowercase().normalize_str("\n".join(letters)).split("\n")
+    return {ord(c): to for c, to in zip(letters, low) if c.lower() != to} | {ord("Σ"): "σ"}
+
+
+def word_pattern(pattern: str, classes: dict[str, list[tuple[int, int]]], end: int) -> re.Pattern:
     """A tokenizer's pattern for texts of code points below ``end``, its classes spelled out."""
-    classes = {r"\p{L}": _ranges("L", end), r"\p{N}": _ranges("N", end), r"\s": WHITE_SPACE}
     for name, members in classes.items():
-        pattern = pattern.replace(name, members)
+        pattern = pattern.replace(name, "".join(f"\\U{a:08x}-\\U{min(b, end):08x}" for a, b in members if a < end))
     return re.compile(pattern)
 
 
@@ -69,6 +80,8 @@ class Automaton:
 
     def __init__(self, vocab: dict[str, int], merges: list[tuple[str, str]], suffix: str, special: dict[str, int], pattern: str):
         self.special, self.pattern = special, pattern
+        self.classes = {name: class_members(name) for name in (r"\p{L}", r"\p{N}", r"\s")}
+        self.lower = lower_differences()
         size = max([*vocab.values(), *special.values()]) + 1
         self.labels = [""] * size
         for label, i in [*vocab.items(), *special.items()]:
@@ -104,7 +117,7 @@ class Automaton:
         self.states: dict[bytes, int] = {}
         self.of_word: dict[bytes, list[int]] = {}
         self.coded: dict[bytes, tuple[bytes, str]] = {}
-        self.narrow, self.wide = word_pattern(self.pattern, NARROW), None
+        self.narrow, self.wide = word_pattern(self.pattern, self.classes, NARROW), None
         self.marks = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
 
     def __getstate__(self):
@@ -170,12 +183,11 @@ class Automaton:
 
     def split(self, text: str) -> list[bytes]:
         """Normalised words of a text without special strings: composed, lower case, cut by the pattern."""
-        # A capital sigma has one lower-case form here, wherever it stands in a word.
-        low = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+        low = (text if text.isascii() else unicodedata.normalize("NFC", text).translate(self.lower)).lower()
         if low.isascii() or max(low) < chr(NARROW):
             return [w.encode() for w in self.narrow.findall(low)]
         if self.wide is None:
-            self.wide = word_pattern(self.pattern, sys.maxunicode + 1)
+            self.wide = word_pattern(self.pattern, self.classes, sys.maxunicode + 1)
         return [w.encode() for w in self.wide.findall(low)]
 
     def encode_chunk(self, chunk: bytes) -> list[int]:
