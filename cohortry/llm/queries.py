@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import encoded_digests
 from .exact_dedup import exact_groups
+from .language import identify
+from .secrets import secret_digests
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -42,3 +44,17 @@ WITH n AS (
 SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
        row_number() OVER (PARTITION BY t ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(t) AS text_sha256
 FROM n"""
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir))
+
+
+QUERIES["op2_language_id"] = op2_language_id
+
+
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_digests(table(spark, sf_dir))
+
+
+QUERIES["op5_secret_scan"] = op5_secret_scan
