@@ -19,7 +19,11 @@ from ..session import shared_dir
 from .common import ascii_lower, fresh, whole
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+# Files of a store are not allocated ahead of use: there is a store for each shuffle partition.
+STATE_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 
 
 def sha256_digest(normal: Column) -> Column:
@@ -27,13 +31,15 @@ def sha256_digest(normal: Column) -> Column:
 
 
 @contextmanager
-def _setting(spark: SparkSession, key: str, value: str):
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, value)
+def _settings(spark: SparkSession, values: dict[str, str]):
+    before = {key: spark.conf.get(key, None) for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 def stream_state(spark: SparkSession, ledger: str, checkpoint: str, files_per_batch: int = 1000) -> DataFrame:
@@ -45,7 +51,7 @@ def stream_state(spark: SparkSession, ledger: str, checkpoint: str, files_per_ba
     schema = spark.read.parquet(ledger).schema
     rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(ledger)
     state = rows.groupBy("digest").agg(F.max(F.struct("doc_id", "row", "locator")).alias("keep"), F.count(F.lit(1)).alias("group_size"))
-    with _setting(spark, PROVIDER, ROCKSDB):
+    with _settings(spark, STATE_SETTINGS):
         run = state.writeStream.format("noop").outputMode("update").option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
         run.awaitTermination()
         kept = spark.read.format("statestore").load(checkpoint)
