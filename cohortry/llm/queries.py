@@ -9,7 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from .bpe import encoded_digests
 from .exact_dedup import exact_groups
 from .language import identify
+from .mixing import mix, mix_sql
+from .quality import judge, judge_sql
 from .secrets import secret_digests
+from .sharding import shards, shards_sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -58,3 +61,27 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op5_secret_scan"] = op5_secret_scan
+
+
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(table(spark, sf_dir))
+
+
+QUERIES["op1_quality_rules"] = op1_quality_rules
+ORACLES["op1_quality_rules"] = judge_sql()
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir).select("doc_id", "source"))
+
+
+QUERIES["op7_mixing"] = op7_mixing
+ORACLES["op7_mixing"] = mix_sql()
+
+
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards(table(spark, sf_dir))
+
+
+QUERIES["op8_sharding"] = op8_sharding
+ORACLES["op8_sharding"] = shards_sql()
