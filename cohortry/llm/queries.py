@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .bpe import encoded_digests
 from .exact_dedup import exact_groups
@@ -13,6 +14,7 @@ from .mixing import mix, mix_sql
 from .quality import judge, judge_sql
 from .secrets import secret_digests
 from .sharding import shards, shards_sql
+from .simhash import near_groups
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -85,3 +87,10 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES["op8_sharding"] = op8_sharding
 ORACLES["op8_sharding"] = shards_sql()
+
+
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_groups(table(spark, sf_dir)).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+QUERIES["op10_simhash"] = op10_simhash
