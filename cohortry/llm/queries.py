@@ -15,6 +15,7 @@ from .quality import judge, judge_sql
 from .secrets import secret_digests
 from .sharding import shards, shards_sql
 from .simhash import near_groups
+from .substrings import cut_repeats
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -94,3 +95,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op10_simhash"] = op10_simhash
+
+
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cut_repeats(table(spark, sf_dir))
+
+
+QUERIES["op4_substring_dedup"] = op4_substring_dedup
