@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import encoded_digests
+from .chat import format_conversations, read_back, with_odd_conversation
 from .exact_dedup import exact_groups
 from .language import identify
 from .mixing import mix, mix_sql
@@ -102,3 +103,10 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op4_substring_dedup"] = op4_substring_dedup
+
+
+def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_back(format_conversations(with_odd_conversation(table(spark, sf_dir, "conversations"))))
+
+
+QUERIES["op9_chat_format"] = op9_chat_format
