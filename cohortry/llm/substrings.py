@@ -6,7 +6,8 @@ only at the one with the least hash, which equal windows of 13 have in common. O
 a survivor are extended to, hashed in full and compared; with none surviving, nothing more is done.
 
 Both levels deal rows out by hash. Copies that meet in one piece of input are settled there: a piece sends
-one row for a hash on, so that no passage, however common, fills a task.
+one row for a hash on, so that no passage, however common, fills a task. Of documents with the same words only
+the first has its windows judged.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.tables import materialise
 from .common import joined_words, whole
 
 WINDOW = 13
@@ -262,15 +264,17 @@ def _cut(window: int):
     return run
 
 
-def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+def repeated_windows(docs: DataFrame, leaders: DataFrame, window: int = WINDOW) -> DataFrame:
     """Runs (doc, tag, at, n): the n windows from word ``at`` on also start in a document with a smaller id.
 
-    ``docs`` has doc_id (not null), text (not null) and tag, which tells texts of one id apart.
+    ``docs`` has doc_id (not null), text (not null) and tag, which tells texts of one id apart. Only windows
+    of ``leaders`` (doc_id, tag) are judged; of documents with equal words the one with the least id must be
+    among them, as the others' windows then add nothing.
     """
     sent = docs.select("doc_id", "text").mapInArrow(_send_anchors(window), "key long, doc long, hash long")
     found = sent.repartition("key").sortWithinPartitions("key").mapInArrow(_answer_anchors, "doc long, hash long")
-    lists = found.groupBy("doc").agg(F.collect_set("hash").alias("anchors"))
-    longer = docs.join(lists, docs["doc_id"] == lists["doc"]).select("doc_id", "text", "tag", "anchors")
+    lists = found.groupBy("doc").agg(F.collect_set("hash").alias("anchors")).withColumnRenamed("doc", "doc_id")
+    longer = docs.join(lists.join(leaders, "doc_id"), ["doc_id", "tag"]).select("doc_id", "text", "tag", "anchors")
     asked = longer.mapInArrow(_send_windows(window), "key long, key2 long, doc long, tag int, at int, n int")
     # Known runs have their own keys; what is asked about one window meets in one partition.
     return asked.repartition("key").sortWithinPartitions("key", "key2", "doc").mapInArrow(_answer_windows, "doc long, tag int, at int, n int")
@@ -286,13 +290,20 @@ def cut_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """
     base = docs.select("doc_id", whole().alias("text"))
     base = base.withColumn("tag", (F.xxhash64("text").bitwiseAND(F.lit(0x3FFFFFFF))).cast("int"))
+    words = joined_words(F.col("text"))
+    count = F.when(words == "", 0).otherwise(F.length(words) - F.length(F.translate(words, " ", "")) + 1)
+    plain = materialise(base.select("doc_id", "tag", count.cast("long").alias("n_words"), F.unhex(F.sha2(words, 256)).alias("sha")))
+    # Of documents with the same words, those after the first are covered by it as a whole.
+    first = plain.filter("doc_id IS NOT NULL").groupBy("sha").agg(F.min("doc_id").alias("first_id"))
+    plain = plain.join(first, "sha", "left").withColumn("copy", F.coalesce(F.col("doc_id") > F.col("first_id"), F.lit(False)))
+    leaders = plain.filter("doc_id IS NOT NULL AND NOT copy").select("doc_id", "tag").distinct()
     sound = base.filter("doc_id IS NOT NULL")
-    runs = repeated_windows(sound, window).groupBy("doc").agg(F.collect_list(F.struct("tag", "at", "n")).alias("runs"))
+    runs = repeated_windows(sound, leaders, window).groupBy("doc").agg(F.collect_list(F.struct("tag", "at", "n")).alias("runs"))
     cut = sound.join(runs, sound["doc_id"] == runs["doc"]).select("doc_id", "text", "tag", "runs").mapInArrow(_cut(window), "doc_id long, tag int, n_removed long, kept binary")
     cut = cut.groupBy("doc_id", "tag").agg(F.first("n_removed").alias("n_removed"), F.first(F.sha2("kept", 256)).alias("cut_sha256"))
-    words = joined_words(F.col("text"))
-    count = F.when(words == "", 0).otherwise(F.length(words) - F.length(F.translate(words, " ", "")) + 1)
-    plain = base.select("doc_id", "tag", count.cast("long").alias("n_words"), F.sha2(words, 256).alias("plain_sha256"))
+    gone = F.col("copy") & (F.col("n_words") >= window)
     return plain.join(cut, ["doc_id", "tag"], "left").select(
-        "doc_id", "n_words", F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"), F.coalesce("cut_sha256", "plain_sha256").alias("kept_sha256")
+        "doc_id", "n_words",
+        F.when(gone, F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0).cast("long"))).alias("n_removed"),
+        F.when(gone, F.sha2(F.lit(""), 256)).otherwise(F.coalesce("cut_sha256", F.lower(F.hex("sha")))).alias("kept_sha256"),
     )
