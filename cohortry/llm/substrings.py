@@ -247,13 +247,12 @@ def _cut(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             removed, kept = [], []
-            for text, tag, runs in zip(_texts(batch), batch.column("tag").to_pylist(), batch.column("runs").to_pylist()):
+            for text, runs in zip(_texts(batch), batch.column("runs").to_pylist()):
                 words = text.split()
                 change = np.zeros(len(words) + 1, np.int64)
                 for r in runs:
-                    if r["tag"] == tag:
-                        change[r["at"]] += 1
-                        change[r["at"] + r["n"] + window - 1] -= 1
+                    change[r["at"]] += 1
+                    change[r["at"] + r["n"] + window - 1] -= 1
                 gone = np.cumsum(change[:-1]) > 0
                 removed.append(int(gone.sum()))
                 kept.append(b" ".join([w for w, g in zip(words, gone.tolist()) if not g]))
@@ -298,8 +297,9 @@ def cut_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     plain = plain.join(first, "sha", "left").withColumn("copy", F.coalesce(F.col("doc_id") > F.col("first_id"), F.lit(False)))
     leaders = plain.filter("doc_id IS NOT NULL AND NOT copy").select("doc_id", "tag").distinct()
     sound = base.filter("doc_id IS NOT NULL")
-    runs = repeated_windows(sound, leaders, window).groupBy("doc").agg(F.collect_list(F.struct("tag", "at", "n")).alias("runs"))
-    cut = sound.join(runs, sound["doc_id"] == runs["doc"]).select("doc_id", "text", "tag", "runs").mapInArrow(_cut(window), "doc_id long, tag int, n_removed long, kept binary")
+    # Both joins with the texts deal them out alike, so that they are sent once.
+    runs = repeated_windows(sound, leaders, window).groupBy(F.col("doc").alias("doc_id"), "tag").agg(F.collect_list(F.struct("at", "n")).alias("runs"))
+    cut = sound.join(runs, ["doc_id", "tag"]).select("doc_id", "text", "tag", "runs").mapInArrow(_cut(window), "doc_id long, tag int, n_removed long, kept binary")
     cut = cut.groupBy("doc_id", "tag").agg(F.first("n_removed").alias("n_removed"), F.first(F.sha2("kept", 256)).alias("cut_sha256"))
     gone = F.col("copy") & (F.col("n_words") >= window)
     return plain.join(cut, ["doc_id", "tag"], "left").select(
