@@ -132,13 +132,10 @@ def unpack_conditions(patients: DataFrame, names: Sequence[str], as_of: str) ->
 BMI_UNIT, BMI_LOW, BMI_HIGH = "kg/m2", 6.7, 70.0
 
 
-def unit_ids(units: DataFrame, text: str = BMI_UNIT, limit: int = 10_000) -> list[int]:
-    """Ids of the units described by ``text``; the dictionary names a unit a few times at most, which is checked."""
+def unit_ids(units: DataFrame, text: str = BMI_UNIT) -> list[int]:
+    """Ids of the units described by ``text``; the dictionary names a unit a few times."""
     rows = units.filter(F.col("Description") == text).select(F.col("numunitid").try_cast("int").alias("id")).distinct()
-    ids = [r.id for r in rows.limit(limit + 1).collect() if r.id is not None]
-    if len(ids) > limit:
-        raise ValueError(f"more than {limit} units are described as {text}")
-    return ids
+    return [r.id for r in rows.collect() if r.id is not None]
 
 
 def _in_range(ids: Sequence[int], low: float, high: float):

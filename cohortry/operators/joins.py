@@ -110,12 +110,21 @@ def outer(left: DataFrame, right: DataFrame, key: str = "patid") -> DataFrame:
 def full_outer_fold(frames: Sequence[DataFrame], key: str = "patid") -> DataFrame:
     """One row per key of any frame, with the columns of all of them.
 
-    Each frame holds a key at most once, so stacking the rows and taking each column's only value
-    per key gives the outer join of any number of frames with a single shuffle.
+    Each frame holds a key at most once and columns of its own, so stacking the rows and taking each
+    column's only value per key gives the outer join of any number of frames with a single shuffle. A
+    column that two frames have is an error at once, a key that one frame has twice when the job runs.
     """
-    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-    columns = [c for c in stacked.columns if c != key]
-    return stacked.groupBy(key).agg(*[F.first(F.col(f"`{c}`"), ignorenulls=True).alias(c) for c in columns])
+    names = [c.lower() for f in frames for c in f.columns if c != key]
+    if len(names) != len(set(names)):
+        raise ValueError("the frames share column names: " + ", ".join(sorted({n for n in names if names.count(n) > 1})))
+    marked = [f.withColumn("_frame", F.lit(i)) for i, f in enumerate(frames)]
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), marked)
+    columns = [c for c in stacked.columns if c not in (key, "_frame")]
+    most = [F.count_if(F.col("_frame") == i).alias(f"_n{i}") for i in range(len(frames))]
+    folded = stacked.groupBy(key).agg(*[F.first(F.col(f"`{c}`"), ignorenulls=True).alias(c) for c in columns], *most)
+    twice = F.raise_error(F.lit(f"a frame holds a {key} twice")).cast(stacked.schema[key].dataType)
+    once = F.when(F.exists(F.array(*[f"_n{i}" for i in range(len(frames))]), lambda n: n > 1), twice).otherwise(F.col(key))
+    return folded.select(once.alias(key), *[F.col(f"`{c}`") for c in columns])
 
 
 def left_fold(base: DataFrame, frames: Sequence[DataFrame], key: str = "patid") -> DataFrame:

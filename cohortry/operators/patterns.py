@@ -59,9 +59,9 @@ def treatment_sequence(rows: DataFrame, date: str = "issuedate") -> DataFrame:
         return F.get("days", position)[TERM]
 
     def kept(day, i):
-        return (i == 0) | (i == size - 1) | (day[TERM] != before(i - 1))
+        return (i == 0) | (i == size - 1) | ~day[TERM].eqNullSafe(before(i - 1))
 
-    repeats = (last["issues"] > 1) & ((size == 1) | (last[TERM] != before(size - 2)))
+    repeats = (last["issues"] > 1) & ((size == 1) | ~last[TERM].eqNullSafe(before(size - 2)))
     tail = F.when(repeats, F.array(last)).otherwise(F.slice("days", 1, 0))
     pattern = F.transform(F.concat(F.filter("days", kept), tail), lambda d: F.struct(d[date].alias(date), d[TERM].alias(TERM)))
     out = lists.select("patid", pattern.alias("prescribing_pattern"))

@@ -333,11 +333,11 @@ def _(v: Views):
 
 def _frames(v: Views) -> list[DataFrame]:
     rows = joins.tag_events(v.observation, v.condition_lists, "medcodeid")
-    return [rows.filter(F.col("list_name") == c).groupBy("patid").agg(F.max("value").alias(c)) for c in CONDITIONS[:4]]
+    return [rows.filter(F.col("list_name") == c).groupBy("patid").agg(F.max("value").alias(c)) for c in CONDITIONS]
 
 
-FOLD_COLUMNS = ", ".join(f"max(CASE WHEN list_name = '{c}' THEN value END) AS {c}" for c in CONDITIONS[:4])
-FOLD_IN = ", ".join(f"'{c}'" for c in CONDITIONS[:4])
+FOLD_COLUMNS = ", ".join(f"max(CASE WHEN list_name = '{c}' THEN value END) AS {c}" for c in CONDITIONS)
+FOLD_IN = ", ".join(f"'{c}'" for c in CONDITIONS)
 FOLD = f"SELECT patid, {FOLD_COLUMNS} FROM observation JOIN condition_lists ON medcodeid = code WHERE list_name IN ({FOLD_IN}) GROUP BY patid"
 
 

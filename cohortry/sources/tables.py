@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.joins import at_most
 from ..operators.sets import union_lists
 from ..session import shared_dir
 
@@ -22,7 +21,6 @@ CONTRACTS = {
     "patient": ("patid", "gender", "yob", "mob", "emis_ddate", "regstartdate", "regenddate", "acceptable"),
     "practice": ("pracid", "lcd", "uts", "region"),
 }
-SINGLE_FILE_ROWS = 1_000_000
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet", columns: Sequence[str] | None = None) -> DataFrame:
@@ -78,13 +76,11 @@ def flatten_arrays_for_csv(df: DataFrame, sep: str = ",") -> DataFrame:
     ])
 
 
-def export_delimited(
-    df: DataFrame, path: str, sep: str = ",", single_file: bool = False, max_rows: int = SINGLE_FILE_ROWS
-) -> str:
-    """Header text files. One file is written only where the row count is within ``max_rows``;
-    a larger table is always written in parallel, whole."""
+def export_delimited(df: DataFrame, path: str, sep: str = ",", single_file: bool = False) -> str:
+    """Header text files, written in parallel; with ``single_file`` one task writes one file, for results
+    that are to be read by hand."""
     flat = flatten_arrays_for_csv(df)
-    if single_file and at_most(flat, max_rows):
+    if single_file:
         flat = flat.coalesce(1)
     flat.write.mode("overwrite").csv(path, sep=sep, header=True)
     return path

@@ -19,7 +19,8 @@ def chi_square(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
     def total(*by):
         return F.sum("n").over(Window.partitionBy(*keys, *by))
 
-    expected = F.col("_row") * F.col("_col") / F.col("_all")
+    # Margins as doubles: their product passes 64 bits for a few billion rows.
+    expected = F.col("_row").cast("double") * F.col("_col") / F.col("_all")
     cells = counts.withColumns({"_row": total("level"), "_col": total("grp"), "_all": total()}).withColumn("_exp", expected)
     sums = cells.groupBy(*keys).agg(
         F.sum((F.col("n") - F.col("_exp")) * (F.col("n") - F.col("_exp")) / F.col("_exp")).alias("_filled"),

@@ -11,7 +11,6 @@ from pyspark.sql import types as T
 from ..functions.clean import few_valued, value_counts_long
 
 ACCURACY = 100_000
-MAX_GROUPS = 1000
 
 
 def count_rows(df: DataFrame) -> DataFrame:
@@ -62,24 +61,25 @@ def exact_quantiles(
     A sketch first brackets each quantile, with an error bound. A second scan counts what lies below
     the bracket and lists the distinct values inside, a few in ``accuracy`` of the data, among which the
     quantile is then found by rank. Neither a full sort nor a map of all values is needed. The brackets
-    are one row per group, column and quantile; groups are limited to ``MAX_GROUPS``.
+    are a table of one row per group, column and quantile, joined like any other.
     """
-    spark, slack = df.sparkSession, 3.0 / accuracy
+    slack = 3.0 / accuracy
     ends = [p for q in probs for p in (max(0.0, q - slack), min(1.0, q + slack))]
     group = F.lit("") if by is None else F.col(by).cast("string")
     sketch = df.groupBy(group.alias("grp")).agg(*[
-        F.struct(F.count(f"`{c}`"), F.percentile_approx(F.col(f"`{c}`").cast("double"), ends, accuracy)).alias(f"q_{i}")
+        F.struct(
+            F.count(f"`{c}`").alias("total"), F.percentile_approx(F.col(f"`{c}`").cast("double"), ends, accuracy).alias("ends")
+        ).alias(f"q_{i}")
         for i, c in enumerate(names)
     ])
-    found = sketch.limit(MAX_GROUPS + 1).collect()
-    if len(found) > MAX_GROUPS:
-        raise ValueError(f"more than {MAX_GROUPS} groups")
-    brackets = [
-        (row["grp"], c, float(q), int(row[f"q_{i}"][0]), row[f"q_{i}"][1][2 * j], row[f"q_{i}"][1][2 * j + 1])
-        for row in found for i, c in enumerate(names) for j, q in enumerate(probs) if row[f"q_{i}"][0]
-    ]
-    schema = "grp string, variable string, prob double, total bigint, low double, high double"
-    bounds = F.broadcast(spark.createDataFrame(brackets, schema))
+    brackets = F.array(*[
+        F.struct(
+            F.lit(c).alias("variable"), F.lit(float(q)).alias("prob"), F.col(f"q_{i}.total").alias("total"),
+            F.get(f"q_{i}.ends", F.lit(2 * j)).alias("low"), F.get(f"q_{i}.ends", F.lit(2 * j + 1)).alias("high"),
+        )
+        for i, c in enumerate(names) for j, q in enumerate(probs)
+    ])
+    bounds = sketch.select("grp", F.explode(brackets).alias("_b")).select("grp", "_b.*").filter("total > 0")
     keys = ["grp", "variable", "prob", "total"]
     side = F.when(F.col("value") < F.col("low"), -1).when(F.col("value") > F.col("high"), 1).otherwise(0)
     rows = _long_numbers(df, names, by).join(bounds, ["grp", "variable"]).withColumn("side", side)

@@ -8,7 +8,6 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_LEVELS = 50
 OVERALL = "Overall"
 
 
@@ -54,12 +53,11 @@ def level_counts(df: DataFrame, names: Sequence[str], by: str) -> DataFrame:
 
 
 def group_pairs(df: DataFrame, by: str, pairs: Sequence[tuple] | None = None) -> list[tuple[str, str]]:
-    """The given pairs, or all pairs of the groups found, in order; at most ``MAX_LEVELS`` groups."""
+    """The given pairs, or all pairs of the groups found, in order. Without ``pairs`` the names of the groups
+    are collected, one row a group; a result has a row for each pair of them."""
     if pairs is not None:
         return [(str(a), str(b)) for a, b in pairs]
-    found = df.select(F.col(by).cast("string").alias("g")).filter("g IS NOT NULL").distinct().limit(MAX_LEVELS + 1).collect()
-    if len(found) > MAX_LEVELS:
-        raise ValueError(f"{by} has more than {MAX_LEVELS} groups")
+    found = df.select(F.col(by).cast("string").alias("g")).filter("g IS NOT NULL").distinct().collect()
     return list(combinations(sorted(r.g for r in found), 2))
 
 

@@ -11,7 +11,6 @@ from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_LEVELS = 1000
 RESULT = "estimand string, estimate double, std_error double, ci_low double, ci_high double, n bigint"
 
 
@@ -24,9 +23,6 @@ def _logistic(label: str, features: str, **options) -> GeneralizedLinearRegressi
 def _with_covariates(df: DataFrame, covariates: Sequence[str], categorical: Sequence[str]) -> DataFrame:
     inputs = list(covariates)
     if categorical:
-        levels = df.agg(*[F.count_distinct(c).alias(c) for c in categorical]).first()
-        if sum(levels) > MAX_LEVELS:
-            raise ValueError(f"categorical covariates have more than {MAX_LEVELS} levels in all")
         texts = df.withColumns({c: F.col(c).cast("string") for c in categorical})
         index = StringIndexer(inputCols=list(categorical), outputCols=[f"_ix_{c}" for c in categorical], stringOrderType="alphabetAsc")
         dummy = OneHotEncoder(inputCols=[f"_ix_{c}" for c in categorical], outputCols=[f"_oh_{c}" for c in categorical], dropLast=True)

@@ -107,3 +107,11 @@ def test_events_before_index_include_both_ends(spark):
     rows = [("a", day("2011-01-01")), ("a", day("2010-12-31")), ("a", day("2011-01-31")), ("a", day("2011-02-01")), ("a", None), ("b", day("2011-01-15")), ("c", day("2011-01-15"))]
     kept = events.events_before_index(spark.createDataFrame(rows, "patid string, d date"), people, 30, "d")
     assert sorted(str(r.d) for r in kept.collect()) == ["2011-01-01", "2011-01-31"]
+
+
+def test_fold_loses_nothing_silently(spark):
+    one, two = spark.createDataFrame([("p", 10), ("p", 20)], "patid string, x int"), spark.createDataFrame([("p", 99)], "patid string, y int")
+    with pytest.raises(Exception, match="holds a patid twice"):
+        joins.full_outer_fold([one, two]).collect()
+    with pytest.raises(ValueError, match="share column names"):
+        joins.full_outer_fold([two, two])
