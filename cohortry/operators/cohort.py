@@ -122,10 +122,11 @@ def attrition_table(patients: DataFrame, conditions: Sequence[tuple[str, Column]
         passed = passed & _holds(condition)
         counts.append(F.count_if(passed).alias(f"n{i}"))
     names = ["all", *[name for name, _ in conditions]]
-    rows = ", ".join(
-        f"{i}, '{name}', n{i}, " + ("bigint(0)" if i == 0 else f"n{i - 1} - n{i}") for i, name in enumerate(names)
-    )
-    return patients.agg(*counts).select(F.expr(f"stack({len(names)}, {rows}) AS (step_no, step, remaining, excluded)"))
+    rows = [
+        x for i, name in enumerate(names)
+        for x in (F.lit(i), F.lit(name), F.col(f"n{i}"), F.lit(0).cast("bigint") if i == 0 else F.col(f"n{i - 1}") - F.col(f"n{i}"))
+    ]
+    return patients.agg(*counts).select(F.stack(F.lit(len(names)), *rows).alias("step_no", "step", "remaining", "excluded"))
 
 
 def cohort_attrition(patients: DataFrame, drugs: DataFrame, events: DataFrame | None, study: Study) -> DataFrame:

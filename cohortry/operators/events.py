@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .joins import attach_patient_attrs, broadcast_if_small
+from .joins import broadcast_if_small
 
 
 def _edge_record(events: DataFrame, keys: Sequence[str], date: str, latest: bool) -> DataFrame:
@@ -64,6 +64,7 @@ def events_before_index(
     events: DataFrame, patients: DataFrame, days: int, date: str, index: str = "index_date", key: str = "patid"
 ) -> DataFrame:
     """Events of the ``days`` days up to the patient's index date, that day and the first one included."""
-    rows = attach_patient_attrs(events, patients, [index], how="inner", key=key)
+    # The patients may be the end of long work: a plain join, with no size check that would run it.
+    rows = events.join(patients.select(key, index), key)
     inside = F.col(date).between(F.date_sub(F.col(index), days), F.col(index))
     return rows.filter(inside).select(*events.columns)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.clean import period_filter
@@ -55,44 +55,13 @@ def rollup_values(events: DataFrame, codes: Sequence[str], start=None, end=None,
     return rows.groupBy(key).agg(*aggregates)
 
 
-def value_timeline(
-    events: DataFrame, codes: Sequence[str], start=None, end=None, key: str = KEY, entries: int = 10_000
-) -> DataFrame:
-    """(patient, code, part, timeline, copies): distinct ``value@date`` texts by date, then value, and how often each occurs.
+def value_timeline(events: DataFrame, codes: Sequence[str], start=None, end=None, key: str = KEY) -> DataFrame:
+    """(patient, code, date, value, copies): the distinct values of each day and how often each occurs.
 
-    Nearly every patient has one part. Longer lists go on in parts 2, 3, ..., cut between days after
-    about ``entries`` entries, so that no single row grows without limit; nothing is left out. A day
-    that alone exceeds the limit is dealt over parts of its own. Positions come from counts per day,
-    which are few, not from ranking all values of a patient in one task.
+    The list of a patient's values in long form: its shape does not depend on how many there are, and no
+    row grows with the data. Sorted by date and value it is the timeline. Undated events have a null date.
     """
-    rows = value_events(events, codes, start, end)
-    distinct = rows.groupBy(key, CODE, DATE, VALUE).agg(F.count(F.lit(1)).alias("copies"))
-    days = distinct.groupBy(key, CODE, DATE).agg(F.count(F.lit(1)).alias("on_day"))
-    earlier = Window.partitionBy(key, CODE).orderBy(DATE).rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum("on_day").over(earlier), F.lit(0))
-    moved = days.select(
-        key, CODE, DATE,
-        F.floor(before / F.lit(entries)).alias("_block"),
-        F.ceil(F.col("on_day") / F.lit(entries)).alias("_shares"),
-    ).filter("_block > 0 OR _shares > 1")
-    shares = F.coalesce("_shares", F.lit(1))
-    placed = distinct.join(moved, [key, CODE, DATE], "left").withColumns({
-        "_block": F.coalesce("_block", F.lit(0)),
-        "_day": F.when(shares > 1, F.col(DATE)),
-        "_share": F.pmod(F.xxhash64(VALUE), shares),
-    })
-    packed = placed.groupBy(key, CODE, "_block", "_day", "_share").agg(
-        F.min(DATE).alias("_from"), F.array_sort(F.collect_list(F.struct(DATE, VALUE, "copies"))).alias("_entries")
-    )
-    order = Window.partitionBy(key, CODE).orderBy("_from", "_block", "_day", "_share")
-
-    def text(e):
-        return F.concat(e[VALUE].cast("string"), F.lit("@"), e[DATE].cast("string"))
-
-    return packed.select(
-        key, CODE, F.row_number().over(order).alias("part"), F.transform("_entries", text).alias("timeline"),
-        F.transform("_entries", lambda e: e["copies"]).alias("copies"),
-    )
+    return value_events(events, codes, start, end).groupBy(key, CODE, DATE, VALUE).agg(F.count(F.lit(1)).alias("copies"))
 
 
 def rollup_category(events: DataFrame, terms: DataFrame, key: str = KEY, name: str = "category") -> DataFrame:
@@ -106,18 +75,10 @@ def rollup_category(events: DataFrame, terms: DataFrame, key: str = KEY, name: s
     )
 
 
-def category_entries(events: DataFrame, terms: DataFrame, key: str = KEY, entries: int = 10_000) -> DataFrame:
-    """(patient, part, entries): the set of ``term@value`` texts of each patient.
-
-    A patient with more than ``entries`` different texts gets further parts, so that no row grows
-    without limit; only such patients take part in the join that deals them out.
-    """
+def category_entries(events: DataFrame, terms: DataFrame, key: str = KEY) -> DataFrame:
+    """(patient, entry): the set of ``term@value`` texts of each patient, one row an entry."""
     text = F.concat("term", F.lit("@"), F.coalesce(F.col(VALUE).cast("string"), F.lit("")))
-    texts = _with_terms(events, terms, key).select(key, text.alias("entry")).distinct()
-    large = texts.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / F.lit(entries)).alias("_shares")).filter("_shares > 1")
-    part = F.pmod(F.xxhash64("entry"), F.coalesce("_shares", F.lit(1))) + 1
-    dealt = texts.join(large, key, "left").withColumn("part", part.cast("int"))
-    return dealt.groupBy(key, "part").agg(F.array_sort(F.collect_list("entry")).alias("entries"))
+    return _with_terms(events, terms, key).select(key, text.alias("entry")).distinct()
 
 
 def _with_terms(events: DataFrame, terms: DataFrame, key: str) -> DataFrame:
@@ -139,8 +100,8 @@ def relevant_records(
 ) -> DataFrame:
     """Distinct raw events, in the period, of the given (patient, code) pairs, and the ``extra`` events.
 
-    Copies go before the join, so that the rows which meet a frequent pair are already distinct.
+    The pairs come first, so that only their events are shuffled to find copies.
     """
-    rows = period_filter(events, DATE, start, end).distinct()
+    rows = period_filter(events, DATE, start, end)
     kept = rows.join(pairs.select(key, CODE).distinct(), [key, CODE], "left_semi").select(*events.columns)
-    return kept if extra is None else kept.unionByName(extra.select(*events.columns)).distinct()
+    return (kept if extra is None else kept.unionByName(extra.select(*events.columns))).distinct()

@@ -447,11 +447,10 @@ def _(v: Views):
     return _null_empty(flatten_arrays_for_csv(wide))
 
 
-@query("value_timeline", f"""SELECT PatientIdentifier, CodeId, CAST(1 AS INTEGER) AS part, string_agg(CAST(x AS VARCHAR) || '@' || CAST(EffectiveDate AS VARCHAR), ',' ORDER BY EffectiveDate, x) AS timeline,
-    string_agg(CAST(n AS VARCHAR), ',' ORDER BY EffectiveDate, x) AS copies FROM (SELECT PatientIdentifier, CodeId, EffectiveDate, coalesce(Value, 1.0) AS x, count(*) AS n
-    FROM roll_event WHERE {_PERIOD} GROUP BY 1, 2, 3, 4) GROUP BY 1, 2""")
+@query("value_timeline", f"""SELECT PatientIdentifier, CodeId, EffectiveDate, coalesce(e.Value, 1.0) AS "Value", count(*) AS copies
+    FROM roll_event e WHERE {_PERIOD} GROUP BY 1, 2, 3, 4""")
 def _(v: Views):
-    return flatten_arrays_for_csv(rollup.value_timeline(v.roll_event, EVENT_TYPES, ROLL_START, ROLL_END))
+    return rollup.value_timeline(v.roll_event, EVENT_TYPES, ROLL_START, ROLL_END)
 
 
 def _terms(v: Views) -> DataFrame:
@@ -465,10 +464,10 @@ def _(v: Views):
     return rollup.rollup_category(v.roll_event, _terms(v))
 
 
-@query("category_entries", """SELECT PatientIdentifier, CAST(1 AS INTEGER) AS part, string_agg(DISTINCT entry, ',' ORDER BY entry) AS entries FROM
-    (SELECT PatientIdentifier, upper(CodeId) || '@' || coalesce(CAST(Value AS VARCHAR), '') AS entry FROM roll_event WHERE CodeId IN ('error', 'signup')) GROUP BY 1""")
+@query("category_entries", """SELECT DISTINCT PatientIdentifier, upper(CodeId) || '@' || coalesce(CAST(Value AS VARCHAR), '') AS entry
+    FROM roll_event WHERE CodeId IN ('error', 'signup')""")
 def _(v: Views):
-    return flatten_arrays_for_csv(rollup.category_entries(v.roll_event, _terms(v)))
+    return rollup.category_entries(v.roll_event, _terms(v))
 
 
 @query("cross_section", f"""SELECT c.*, w.* EXCLUDE (PatientIdentifier), Sex, YearOfBirth, DateOfDeath FROM ({ROLL_CODES}) c

@@ -114,9 +114,9 @@ def _(v: Views):
 
 
 TABLE_ONE = """SELECT t.*, CAST(m.missing AS BIGINT) AS missing FROM (
-    SELECT variable, level, grp, CAST(n AS BIGINT) AS n, round(n * 100.0 / sum(n) OVER (PARTITION BY variable, grp), 6) AS percent, CAST(NULL AS DOUBLE) AS mean, CAST(NULL AS DOUBLE) AS sd
-    FROM (SELECT * FROM counts UNION ALL SELECT variable, level, 'Overall', sum(n) FROM counts GROUP BY 1, 2)
-    UNION ALL SELECT variable, NULL, grp, count(*), NULL, round(avg(x), 6), round(stddev_samp(x), 6) FROM (SELECT * FROM numbers UNION ALL SELECT 'Overall', variable, x FROM numbers) GROUP BY 1, 3) t
+    SELECT variable, level, grp, overall, CAST(n AS BIGINT) AS n, round(n * 100.0 / sum(n) OVER (PARTITION BY variable, grp, overall), 6) AS percent, CAST(NULL AS DOUBLE) AS mean, CAST(NULL AS DOUBLE) AS sd
+    FROM (SELECT variable, level, grp, n, FALSE AS overall FROM counts UNION ALL SELECT variable, level, 'Overall', sum(n), TRUE FROM counts GROUP BY 1, 2)
+    UNION ALL SELECT variable, NULL, grp, overall, count(*), NULL, round(avg(x), 6), round(stddev_samp(x), 6) FROM (SELECT grp, variable, x, FALSE AS overall FROM numbers UNION ALL SELECT 'Overall', variable, x, TRUE FROM numbers) GROUP BY 1, 3, 4) t
     JOIN (SELECT 'age' AS variable, count(*) - count(age) AS missing FROM customers UNION ALL SELECT 'c_acctbal', count(*) - count(c_acctbal) FROM customers
     UNION ALL SELECT 'sex', count(*) - count(sex) FROM customers UNION ALL SELECT 'area', count(*) - count(area) FROM customers UNION ALL SELECT 'nation', count(*) - count(nation) FROM customers) m
     ON t.variable = m.variable"""
@@ -192,7 +192,7 @@ def _(v: Views):
     return rounded(balance.table_one_tests(customers(v), "grp", CUSTOMER_CATEGORIES, CUSTOMER_NUMBERS), "statistic", "p_value")
 
 
-@query("category_counts", "SELECT variable, coalesce(x, 'NA') AS level, count(*) AS n FROM (SELECT 'sex' AS variable, sex AS x FROM customers UNION ALL SELECT 'area', area FROM customers UNION ALL SELECT 'nation', nation FROM customers) GROUP BY 1, 2", **C)
+@query("category_counts", "SELECT variable, coalesce(x, 'NA') AS level, x IS NULL AS missing, count(*) AS n FROM (SELECT 'sex' AS variable, sex AS x FROM customers UNION ALL SELECT 'area', area FROM customers UNION ALL SELECT 'nation', nation FROM customers) GROUP BY 1, 2, 3", **C)
 def _(v: Views):
     return describe.category_counts(customers(v), CUSTOMER_CATEGORIES)
 
@@ -249,23 +249,28 @@ def _effect_rows(v: Views) -> DataFrame:
 
 
 # With one categorical covariate the targeted estimate equals the standardised share, whatever the first models.
-STANDARDISED = """SELECT sum(n * p1) / sum(n) AS p1, sum(n * p0) / sum(n) AS p0 FROM (SELECT o_orderpriority, count(*) AS n,
+def _standardised(cell: str) -> str:
+    return f"""SELECT sum(n * p1) / sum(n) AS p1, sum(n * p0) / sum(n) AS p0, CAST(sum(n) AS BIGINT) AS n FROM (SELECT {cell} AS cell, count(*) AS n,
     avg(CASE WHEN o_orderstatus = 'F' THEN CAST(o_totalprice > 250000 AS INTEGER) END) AS p1, avg(CASE WHEN o_orderstatus <> 'F' THEN CAST(o_totalprice > 250000 AS INTEGER) END) AS p0
     FROM orders GROUP BY 1)"""
 
 
-@query("tmle_binary", """SELECT 'risk difference' AS estimand, round(p1 - p0, 5) AS estimate FROM standardised UNION ALL SELECT 'relative risk', round(p1 / p0, 5) FROM standardised
-    UNION ALL SELECT 'odds ratio', round(p1 * (1 - p0) / (p0 * (1 - p1)), 5) FROM standardised""", standardised=STANDARDISED)
+EFFECTS = """SELECT 'risk difference' AS estimand, round(p1 - p0, 5) AS estimate, n FROM standardised UNION ALL SELECT 'relative risk', round(p1 / p0, 5), n FROM standardised
+    UNION ALL SELECT 'odds ratio', round(p1 * (1 - p0) / (p0 * (1 - p1)), 5), n FROM standardised"""
+
+
+@query("tmle_binary", EFFECTS, standardised=_standardised("o_orderpriority"))
 def _(v: Views):
     result = tmle.tmle_binary(_effect_rows(v), "y", "a", categorical=["w"])
-    return rounded(result.select("estimand", "estimate"), "estimate", digits=5)
+    return rounded(result.select("estimand", "estimate", "n"), "estimate", digits=5)
 
 
-@query("tmle_binary_covariates")
+@query("tmle_binary_covariates", EFFECTS, standardised=_standardised("o_orderpriority || ':' || CAST(o_custkey % 2 AS VARCHAR)"))
 def _(v: Views):
-    """Several covariates, with errors and limits; checked in the tests against a simulated effect."""
+    """Two covariates crossed into one factor, and the treatments given by name."""
     rows = v.table("orders").selectExpr(
-        "CAST(o_totalprice > 250000 AS INT) AS y", "CAST(o_orderstatus = 'F' AS INT) AS a", "o_orderpriority AS w",
-        "month(o_orderdate) AS m", "CAST(o_custkey % 5 AS INT) AS k",
+        "CAST(o_totalprice > 250000 AS INT) AS y", "CASE WHEN o_orderstatus = 'F' THEN 'closed' ELSE 'open' END AS a",
+        "concat(o_orderpriority, ':', o_custkey % 2) AS w",
     )
-    return tmle.tmle_binary(rows, "y", "a", ["m", "k"], ["w"])
+    result = tmle.tmle_binary(rows, "y", "a", categorical=["w"], treatments=("open", "closed"))
+    return rounded(result.select("estimand", "estimate", "n"), "estimate", digits=5)

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,10 +33,14 @@ def extract_schema(spark: SparkSession, path: str) -> T.StructType:
 
 
 def read_extract(spark: SparkSession, path: str, schema_path: str | None = None, sep: str = "\t") -> DataFrame:
-    """Every text file of the folder. Without a schema file the header names the columns, all text."""
+    """Every text file of the folder. Without a schema file, or with one that can't be read, the header names
+    the columns, all text. A header in another order than the schema is an error."""
     reader = spark.read.option("header", True).option("sep", sep).option("pathGlobFilter", "*.txt")
     if schema_path is not None:
-        reader = reader.schema(extract_schema(spark, schema_path))
+        try:
+            reader = reader.schema(extract_schema(spark, schema_path)).option("enforceSchema", False)
+        except (AnalysisException, ValueError) as problem:
+            warnings.warn(f"no schema, the header is used: {problem}", stacklevel=2)
     return reader.csv(path)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.tails import chi2_p, t_p
-from .groups import explode_pairs, gather, group_pairs, level_counts, moments, of_group, only_groups
+from .groups import explode_pairs, gather, group_totals, level_counts, level_pairs, moments, of_group, only_groups, pairs_of
 
 
 def chi_square(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -35,24 +35,24 @@ def chi_square(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def chi_square_pairs(df: DataFrame, group: str, names: Sequence[str], pairs: Sequence[tuple] | None = None) -> DataFrame:
     """(variable, group1, group2, statistic, dof, p_value) of each column within each pair of groups."""
-    pairs = group_pairs(df, group, pairs)
-    counts = explode_pairs(level_counts(only_groups(df, group, pairs), names, group), pairs)
-    inside = counts.filter((F.col("grp") == F.col("group1")) | (F.col("grp") == F.col("group2")))
+    counts = level_counts(only_groups(df, group, pairs), names, group)
+    # Each cell goes to the pairs of its own group only.
+    known = group_totals(counts).select("variable", F.map_keys("totals").alias("groups"))
+    if pairs is None:
+        others = F.filter("groups", lambda g: g != F.col("grp"))
+        own = F.transform(others, lambda g: F.struct(F.least(g, F.col("grp")).alias("group1"), F.greatest(g, F.col("grp")).alias("group2")))
+    else:
+        own = F.filter(pairs_of(F.col("groups"), pairs), lambda p: (p["group1"] == F.col("grp")) | (p["group2"] == F.col("grp")))
+    inside = counts.join(known, "variable").withColumn("_pair", F.explode(own)).select("variable", "level", "grp", "n", "_pair.*")
     tested = chi_square(inside, ["variable", "group1", "group2"])
     return tested.select("variable", "group1", "group2", "statistic", "dof", chi2_p("statistic", "dof").alias("p_value"))
 
 
 def chi_square_by_stratum(df: DataFrame, stratum: str, group: str, pairs: Sequence[tuple] | None = None) -> DataFrame:
     """(stratum, group1, group2, statistic, dof, p_value): this stratum against the rest, one group against the other."""
-    pairs = group_pairs(df, group, pairs)
-    counts = level_counts(only_groups(df, group, pairs), [stratum], group)
-    wide = explode_pairs(gather(counts, ["level"], ["n"]), pairs).withColumns({
-        "a": F.coalesce(of_group("groups", "group1", "n"), F.lit(0)).cast("double"),
-        "b": F.coalesce(of_group("groups", "group2", "n"), F.lit(0)).cast("double"),
-    })
-    every_stratum = Window.partitionBy("group1", "group2")
-    wide = wide.withColumns({"c": F.sum("a").over(every_stratum) - F.col("a"), "d": F.sum("b").over(every_stratum) - F.col("b")})
-    a, b, c, d = (F.col(x) for x in "abcd")
+    wide = level_pairs(level_counts(only_groups(df, group, pairs), [stratum], group), pairs)
+    a, b = F.col("n1"), F.col("n2")
+    c, d = F.col("t1") - a, F.col("t2") - b
     cross = a * d - b * c
     margins = (a + b) * (c + d) * (a + c) * (b + d)
     statistic = F.when(margins > 0, (a + b + c + d) * cross * cross / margins)
@@ -62,9 +62,8 @@ def chi_square_by_stratum(df: DataFrame, stratum: str, group: str, pairs: Sequen
 
 def welch_t_pairs(df: DataFrame, group: str, names: Sequence[str], pairs: Sequence[tuple] | None = None) -> DataFrame:
     """(variable, group1, group2, statistic, dof, p_value): two-sided t test with unequal variances."""
-    pairs = group_pairs(df, group, pairs)
     spread = moments(only_groups(df, group, pairs), names, group)
-    wide = explode_pairs(gather(spread, ["variable"], ["n", "mean", "var"]), pairs)
+    wide = explode_pairs(gather(spread, ["variable"], ["n", "mean", "var"]), "groups", pairs)
 
     def part(which, field):
         return of_group("groups", which, field)

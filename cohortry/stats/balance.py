@@ -11,14 +11,13 @@ from ..functions.tails import chi2_p, f_p
 from .association import anova, chi_square
 from .describe import missing_percent
 from .groups import (
-    OVERALL, explode_pairs, gather, group_pairs, level_counts, moments, of_group, only_groups, overall_moments,
+    OVERALL, explode_pairs, gather, level_counts, level_pairs, moments, of_group, only_groups, overall_moments,
 )
 
 
 def _numeric_smd(df: DataFrame, group: str, names: Sequence[str], pairs) -> DataFrame:
-    pairs = group_pairs(df, group, pairs)
     spread = moments(only_groups(df, group, pairs), names, group)
-    wide = explode_pairs(gather(spread, ["variable"], ["mean", "var"]), pairs)
+    wide = explode_pairs(gather(spread, ["variable"], ["mean", "var"]), "groups", pairs)
     pooled = F.sqrt((of_group("groups", "group1", "var") + of_group("groups", "group2", "var")) / 2)
     diff = of_group("groups", "group2", "mean") - of_group("groups", "group1", "mean")
     return wide.select("variable", "group1", "group2", F.when(pooled > 0, diff / pooled).alias("smd"))
@@ -31,16 +30,12 @@ def smd_numeric(df: DataFrame, group: str, names: Sequence[str], pairs: Sequence
 
 def _shares(df: DataFrame, group: str, names: Sequence[str], pairs) -> DataFrame:
     """(variable, level, group1, group2, p1, p2): shares of each level; 0 where a group lacks it."""
-    pairs = group_pairs(df, group, pairs)
-    counts = level_counts(only_groups(df, group, pairs), names, group)
-    total = F.sum("n").over(Window.partitionBy("variable", "grp"))
-    shares = counts.withColumn("p", F.col("n") / total)
-    wide = explode_pairs(gather(shares, ["variable", "level"], ["p"]), pairs)
-    return wide.select(
-        "variable", "level", "group1", "group2",
-        F.coalesce(of_group("groups", "group1", "p"), F.lit(0.0)).alias("p1"),
-        F.coalesce(of_group("groups", "group2", "p"), F.lit(0.0)).alias("p2"),
-    )
+    rows = level_pairs(level_counts(only_groups(df, group, pairs), names, group), pairs)
+
+    def share(n, t):
+        return F.when(F.col(t) > 0, F.col(n) / F.col(t)).otherwise(F.lit(0.0))
+
+    return rows.select("variable", "level", "group1", "group2", share("n1", "t1").alias("p1"), share("n2", "t2").alias("p2"))
 
 
 def smd_categorical(df: DataFrame, group: str, names: Sequence[str], pairs: Sequence[tuple] | None = None) -> DataFrame:
@@ -89,34 +84,28 @@ def smd_pairs(
     pairs: Sequence[tuple] | None = None,
 ) -> DataFrame:
     """(variable, group1, group2, smd): continuous columns signed, second group minus first; others one distance."""
-    pairs = group_pairs(df, group, pairs)
-    out = []
-    if continuous:
-        out.append(_numeric_smd(df, group, continuous, pairs))
-    if categorical:
-        out.append(smd_multilevel(df, group, categorical, pairs))
-    return out[0] if len(out) == 1 else out[0].unionByName(out[1])
+    return _numeric_smd(df, group, continuous, pairs).unionByName(smd_multilevel(df, group, categorical, pairs))
 
 
 def table_one(df: DataFrame, group: str, categorical: Sequence[str], continuous: Sequence[str]) -> DataFrame:
-    """(variable, level, grp, n, percent, mean, sd, missing), each group and ``Overall``.
+    """(variable, level, grp, overall, n, percent, mean, sd, missing), each group and ``Overall``.
 
-    A level has its count and its percent among the group's known values; a continuous column its
+    The total has ``overall`` true, which tells it from a group of that name. A level has its count and its percent among the group's known values; a continuous column its
     mean and deviation. ``missing`` counts the column's nulls over all rows.
     """
     known = df.filter(F.col(group).isNotNull())
     counts = level_counts(known, categorical, group)
-    overall = counts.groupBy("variable", "level").agg(F.sum("n").alias("n")).withColumn("grp", F.lit(OVERALL))
-    counts = counts.unionByName(overall)
-    total = F.sum("n").over(Window.partitionBy("variable", "grp"))
+    total = counts.groupBy("variable", "level").agg(F.sum("n").alias("n")).withColumns({"grp": F.lit(OVERALL), "overall": F.lit(True)})
+    counts = counts.withColumn("overall", F.lit(False)).unionByName(total)
+    total = F.sum("n").over(Window.partitionBy("variable", "grp", "overall"))
     levels = counts.select(
-        "variable", "level", "grp", "n", (F.col("n") * 100.0 / total).alias("percent"),
+        "variable", "level", "grp", "overall", "n", (F.col("n") * 100.0 / total).alias("percent"),
         F.lit(None).cast("double").alias("mean"), F.lit(None).cast("double").alias("sd"),
     )
     spread = moments(known, continuous, group)
-    spread = spread.unionByName(overall_moments(spread))
+    spread = spread.withColumn("overall", F.lit(False)).unionByName(overall_moments(spread).withColumn("overall", F.lit(True)))
     means = spread.select(
-        "variable", F.lit(None).cast("string").alias("level"), "grp", "n", F.lit(None).cast("double").alias("percent"),
+        "variable", F.lit(None).cast("string").alias("level"), "grp", "overall", "n", F.lit(None).cast("double").alias("percent"),
         "mean", F.sqrt("var").alias("sd"),
     )
     nulls = missing_percent(known, [*categorical, *continuous]).select("variable", "missing")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.clean import few_valued, value_counts_long
+from .groups import number
 
 ACCURACY = 100_000
 
@@ -27,14 +28,16 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 
 
 def category_counts(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    """(variable, level, n) for each column; missing values are the level ``NA``."""
-    return value_counts_long(df, names).withColumn("level", F.coalesce("level", F.lit("NA")))
+    """(variable, level, missing, n) for each column; missing values are the level ``NA`` with ``missing`` true,
+    which tells them from a text of that name."""
+    counts = value_counts_long(df, names).withColumn("missing", F.col("level").isNull())
+    return counts.select("variable", F.coalesce("level", F.lit("NA")).alias("level"), "missing", "n")
 
 
 def _rows_from_columns(one_row: DataFrame, items: Sequence[Sequence[str]], names: Sequence[str], ids: Sequence[str] = ()) -> DataFrame:
     """Turn columns of a summary into rows, one per item, the first entry of an item being a label."""
-    rows = ", ".join(f"'{item[0]}', " + ", ".join(f"`{c}`" for c in item[1:]) for item in items)
-    return one_row.select(*ids, F.expr(f"stack({len(items)}, {rows}) AS ({', '.join(names)})"))
+    rows = [x for label, *columns in items for x in (F.lit(label), *(F.col(f"`{c}`") for c in columns))]
+    return one_row.select(*ids, F.stack(F.lit(len(items)), *rows).alias(*names))
 
 
 def missing_percent(df: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
@@ -48,7 +51,7 @@ def missing_percent(df: DataFrame, names: Sequence[str] | None = None) -> DataFr
 
 
 def _long_numbers(df: DataFrame, names: Sequence[str], by: str | None) -> DataFrame:
-    numbers = [F.col(f"`{c}`").cast("double").alias(c) for c in names]
+    numbers = [number(c).alias(c) for c in names]
     group = F.lit("") if by is None else F.col(by).cast("string")
     return df.select(group.alias("grp"), *numbers).unpivot("grp", list(names), "variable", "value").filter("value IS NOT NULL")
 
@@ -68,7 +71,7 @@ def exact_quantiles(
     group = F.lit("") if by is None else F.col(by).cast("string")
     sketch = df.groupBy(group.alias("grp")).agg(*[
         F.struct(
-            F.count(f"`{c}`").alias("total"), F.percentile_approx(F.col(f"`{c}`").cast("double"), ends, accuracy).alias("ends")
+            F.count(number(c)).alias("total"), F.percentile_approx(number(c), ends, accuracy).alias("ends")
         ).alias(f"q_{i}")
         for i, c in enumerate(names)
     ])
@@ -114,25 +117,34 @@ def box_summary(df: DataFrame, names: Sequence[str], by: str, accuracy: int = AC
 
 
 def histogram(df: DataFrame, names: Sequence[str], bins: int = 30) -> DataFrame:
-    """(variable, bin, low, high, n) for equal-width bins from the smallest to the largest value; empty bins have no row."""
+    """(variable, bin, low, high, n) for equal-width bins from the smallest to the largest value; empty bins have no row.
+
+    Values that are not finite are counted apart, with bin, low and high null; missing values are left out.
+    """
     names = list(names)
-    ends = df.agg(*[F.struct(F.min(f"`{c}`").cast("double"), F.max(f"`{c}`").cast("double")).alias(f"e_{i}") for i, c in enumerate(names)])
-    ends = ends.first()
+    apart = -1
+
+    def finite(c):
+        x = F.col(f"`{c}`").cast("double")
+        return F.when(F.abs(x) < F.lit(float("inf")), x)
+
+    if not names:
+        return df.sparkSession.createDataFrame([], "variable string, bin int, low double, high double, n bigint")
+    ends = df.agg(*[F.struct(F.min(finite(c)), F.max(finite(c))).alias(f"e_{i}") for i, c in enumerate(names)]).first()
     out = []
     for i, c in enumerate(names):
         low, high = ends[f"e_{i}"]
         if low is None:
-            continue
+            low = high = 0.0
         width = (high - low) / bins or 1.0
-        value = F.col(f"`{c}`").cast("double")
+        value = finite(c)
         # least() passes over nulls, so a missing value needs its own branch.
         spot = F.when(value.isNotNull(), F.least(F.floor((value - low) / width), F.lit(bins - 1)))
-        out.append((c, low, width, spot.cast("int")))
-    if not out:
-        return df.sparkSession.createDataFrame([], "variable string, bin int, low double, high double, n bigint")
+        out.append((c, low, width, spot.when(F.col(f"`{c}`").isNotNull(), F.lit(apart)).cast("int")))
     wide = df.select(*[spot.alias(c) for c, _, _, spot in out])
     counts = wide.unpivot([], [c for c, *_ in out], "variable", "bin").filter("bin IS NOT NULL")
     counts = counts.groupBy("variable", "bin").agg(F.count(F.lit(1)).alias("n"))
+    counts = counts.withColumn("bin", F.nullif("bin", F.lit(apart)))
     low, width = F.lit(None).cast("double"), F.lit(None).cast("double")
     for c, start, step, _ in out:
         low = F.when(F.col("variable") == c, F.lit(start)).otherwise(low)

@@ -1,20 +1,37 @@
-"""Per-group counts and moments, the small tables that all comparisons start from."""
+"""Per-group counts and moments, the small tables that all comparisons start from.
+
+Pairs of groups are made inside the rows of such a table, from the groups it holds: no name of a group
+comes to the driver or into the plan, and the number of groups has no limit.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 OVERALL = "Overall"
+Pairs = Sequence[tuple] | None
+
+
+def number(name: str) -> Column:
+    """A column as a double; what is not a number counts as missing."""
+    x = F.col(f"`{name}`").cast("double")
+    return F.when(~F.isnan(x), x)
 
 
 def moments(df: DataFrame, names: Sequence[str], by: str) -> DataFrame:
     """(variable, grp, n, mean, var) of numeric columns, from one aggregate over the groups."""
-    wide = df.filter(F.col(by).isNotNull()).groupBy(F.col(by).cast("string").alias("grp")).agg(*_moment_columns(names))
-    return _moments_long(wide, names)
+    if not names:
+        return df.sparkSession.createDataFrame([], "grp string, variable string, n bigint, mean double, var double")
+    aggregates = []
+    for i, c in enumerate(names):
+        x = number(c)
+        aggregates += [F.count(x).alias(f"n_{i}"), F.avg(x).alias(f"m_{i}"), F.var_samp(x).alias(f"v_{i}")]
+    wide = df.filter(F.col(by).isNotNull()).groupBy(F.col(by).cast("string").alias("grp")).agg(*aggregates)
+    rows = [x for i, c in enumerate(names) for x in (F.lit(c), *(F.col(f"{k}_{i}") for k in "nmv"))]
+    return wide.select("grp", F.stack(F.lit(len(names)), *rows).alias("variable", "n", "mean", "var"))
 
 
 def overall_moments(spread: DataFrame) -> DataFrame:
@@ -29,47 +46,39 @@ def overall_moments(spread: DataFrame) -> DataFrame:
     return out.select(F.lit(OVERALL).alias("grp"), "variable", "n", "mean", var.alias("var"))
 
 
-def _moment_columns(names: Sequence[str]) -> list[Column]:
-    out = []
-    for i, c in enumerate(names):
-        x = F.col(f"`{c}`").cast("double")
-        out += [F.count(x).alias(f"n_{i}"), F.avg(x).alias(f"m_{i}"), F.var_samp(x).alias(f"v_{i}")]
-    return out
-
-
-def _moments_long(wide: DataFrame, names: Sequence[str]) -> DataFrame:
-    rows = ", ".join(f"'{c}', n_{i}, m_{i}, v_{i}" for i, c in enumerate(names))
-    return wide.select("grp", F.expr(f"stack({len(names)}, {rows}) AS (variable, n, mean, var)"))
-
-
 def level_counts(df: DataFrame, names: Sequence[str], by: str) -> DataFrame:
     """(variable, level, grp, n) for all columns in one scan, missing levels and groups left out."""
+    if not names:
+        return df.sparkSession.createDataFrame([], "variable string, level string, grp string, n bigint")
     texts = df.filter(F.col(by).isNotNull()).select(
         F.col(by).cast("string").alias("grp"), *[F.col(f"`{c}`").cast("string").alias(f"c_{i}") for i, c in enumerate(names)]
     )
-    rows = ", ".join(f"'{c}', c_{i}" for i, c in enumerate(names))
-    long = texts.select("grp", F.expr(f"stack({len(names)}, {rows}) AS (variable, level)")).filter("level IS NOT NULL")
+    rows = [x for i, c in enumerate(names) for x in (F.lit(c), F.col(f"c_{i}"))]
+    long = texts.select("grp", F.stack(F.lit(len(names)), *rows).alias("variable", "level")).filter("level IS NOT NULL")
     return long.groupBy("variable", "level", "grp").agg(F.count(F.lit(1)).alias("n"))
 
 
-def group_pairs(df: DataFrame, by: str, pairs: Sequence[tuple] | None = None) -> list[tuple[str, str]]:
-    """The given pairs, or all pairs of the groups found, in order. Without ``pairs`` the names of the groups
-    are collected, one row a group; a result has a row for each pair of them."""
-    if pairs is not None:
-        return [(str(a), str(b)) for a, b in pairs]
-    found = df.select(F.col(by).cast("string").alias("g")).filter("g IS NOT NULL").distinct().collect()
-    return list(combinations(sorted(r.g for r in found), 2))
+def only_groups(df: DataFrame, by: str, pairs: Pairs) -> DataFrame:
+    """Rows of the groups that occur in a pair; all rows if no pairs are given."""
+    if pairs is None:
+        return df
+    return df.filter(F.col(by).cast("string").isin(sorted({str(g) for pair in pairs for g in pair})))
 
 
-def only_groups(df: DataFrame, by: str, pairs: Sequence[tuple[str, str]]) -> DataFrame:
-    """Rows of the groups that occur in a pair, which bounds every per-group list by the pairs asked for."""
-    return df.filter(F.col(by).cast("string").isin(sorted({g for pair in pairs for g in pair})))
+def pairs_of(groups: Column, pairs: Pairs) -> Column:
+    """Array of (group1, group2): the given pairs, or all pairs of the array ``groups``, in order."""
+    if pairs is None:
+        g = F.array_sort(groups)
+        return F.flatten(F.transform(g, lambda a, i: F.transform(
+            F.slice(g, i + 2, F.size(g)), lambda b: F.struct(a.alias("group1"), b.alias("group2"))
+        )))
+    given = [F.struct(F.lit(str(a)).alias("group1"), F.lit(str(b)).alias("group2")) for a, b in pairs]
+    return F.array(*given).cast("array<struct<group1:string,group2:string>>")
 
 
-def explode_pairs(rows: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
-    """Each row once per pair, as columns group1 and group2; for summaries that hold all groups in one row."""
-    items = F.array(*[F.struct(F.lit(a).alias("group1"), F.lit(b).alias("group2")) for a, b in pairs])
-    return rows.withColumn("_pair", F.explode(items)).select("*", "_pair.*").drop("_pair")
+def explode_pairs(rows: DataFrame, groups: str, pairs: Pairs) -> DataFrame:
+    """Each row once per pair of the groups that are keys of its map ``groups``, as columns group1 and group2."""
+    return rows.withColumn("_pair", F.explode(pairs_of(F.map_keys(groups), pairs))).select("*", "_pair.*").drop("_pair")
 
 
 def gather(rows: DataFrame, keys: Sequence[str], values: Sequence[str], name: str = "groups") -> DataFrame:
@@ -78,5 +87,25 @@ def gather(rows: DataFrame, keys: Sequence[str], values: Sequence[str], name: st
     return rows.groupBy(*keys).agg(F.map_from_entries(entries).alias(name))
 
 
+def group_totals(counts: DataFrame) -> DataFrame:
+    """(variable, totals) from level counts: a map from group to its known values of the variable."""
+    sums = counts.groupBy("variable", "grp").agg(F.sum("n").alias("n"))
+    return gather(sums, ["variable"], ["n"], "totals")
+
+
+def level_pairs(counts: DataFrame, pairs: Pairs) -> DataFrame:
+    """(variable, level, group1, group2, n1, n2, t1, t2): each level's rows in both groups, 0 where one lacks
+    it, and the groups' rows with a known value."""
+    wide = gather(counts, ["variable", "level"], ["n"]).join(group_totals(counts), "variable")
+
+    def value(name, which):
+        return F.coalesce(of_group(name, which, "n"), F.lit(0)).cast("double")
+
+    return explode_pairs(wide, "totals", pairs).select(
+        "variable", "level", "group1", "group2", value("groups", "group1").alias("n1"), value("groups", "group2").alias("n2"),
+        value("totals", "group1").alias("t1"), value("totals", "group2").alias("t2"),
+    )
+
+
 def of_group(name: str, which: str, field: str) -> Column:
     return F.try_element_at(F.col(name), F.col(which))[field]

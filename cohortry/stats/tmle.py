@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark import StorageLevel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GeneralizedLinearRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 RESULT = "estimand string, estimate double, std_error double, ci_low double, ci_high double, n bigint"
@@ -20,6 +20,12 @@ def _logistic(label: str, features: str, **options) -> GeneralizedLinearRegressi
     )
 
 
+def _binary(name: str) -> Column:
+    x = F.col(name).cast("double")
+    wrong = F.raise_error(F.lit(f"{name} must be 0 or 1")).cast("double")
+    return F.when(x.isNull() | x.isin(0.0, 1.0), x).otherwise(wrong)
+
+
 def _with_covariates(df: DataFrame, covariates: Sequence[str], categorical: Sequence[str]) -> DataFrame:
     inputs = list(covariates)
     if categorical:
@@ -34,7 +40,7 @@ def _with_covariates(df: DataFrame, covariates: Sequence[str], categorical: Sequ
 
 def tmle_binary(
     df: DataFrame, outcome: str, treatment: str, covariates: Sequence[str] = (), categorical: Sequence[str] = (),
-    clip: float = 0.025,
+    clip: float = 0.025, treatments: tuple | None = None,
 ) -> DataFrame:
     """Risk difference, relative risk and odds ratio with standard errors and 95 % limits.
 
@@ -42,14 +48,22 @@ def tmle_binary(
     within [clip, 1 - clip]. A second logistic model, without intercept and with the first prediction as
     offset, moves the predictions along the two inverse-probability covariates. Variances come from the
     influence curve; those of ratios are on the log scale. Only model coefficients and one summary row
-    reach the driver.
+    reach the driver. ``treatments`` (without, with) picks two of several treatments; otherwise the
+    treatment is 0 or 1, as the outcome always is, and anything else is an error. Only complete rows are
+    used, and ``n`` counts them; an outcome or treatment that is the same in all of them is an error.
     """
-    rows = df.select(
-        F.col(outcome).cast("double").alias("_y"), F.col(treatment).cast("double").alias("_a"), *covariates, *categorical
-    ).dropna()
+    treated = _binary(treatment)
+    if treatments is not None:
+        value = F.col(treatment).cast("string")
+        treated = F.when(value == str(treatments[1]), 1.0).when(value == str(treatments[0]), 0.0)
+    rows = df.select(_binary(outcome).alias("_y"), treated.alias("_a"), *covariates, *categorical).dropna()
     rows = _with_covariates(rows, covariates, categorical).select("_y", "_a", "_w")
     rows = VectorAssembler(inputCols=["_a", "_w"], outputCol="_aw").transform(rows).persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        seen = rows.agg(F.min("_y") == F.max("_y"), F.min("_a") == F.max("_a")).first()
+        for name, same in zip((outcome, treatment), seen):
+            if same is not False:
+                raise ValueError(f"{name} has one value, or there are no complete rows")
         outcome_model = _logistic("_y", "_aw").fit(rows)
         chance_model = _logistic("_a", "_w", predictionCol="_g").fit(rows)
         step = float(outcome_model.coefficients[0])

@@ -11,8 +11,6 @@ from .compare import connect, mismatch
 from .conftest import SMALL
 
 SF_DIR = os.environ.get("TEST_SF_DIR", SMALL)
-# Without a twin: standard errors come from iterated model fits.
-NO_TWIN = {"tmle_binary_covariates"}
 
 
 @pytest.fixture(scope="module")
@@ -26,7 +24,7 @@ def test_same_as_sql(spark, duck, name):
 
 
 def test_every_query_has_a_twin():
-    assert set(QUERIES) - set(ORACLES) == NO_TWIN
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_entry_points(spark):

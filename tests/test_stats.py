@@ -186,3 +186,45 @@ def test_tmle_finds_a_known_effect(spark):
     assert abs(crude[1].m - crude[0].m - truth["risk difference"]) > 4 * rows["risk difference"].std_error
 
 
+def test_tmle_of_two_treatments_and_its_errors(spark):
+    df, *_ = simulated(spark, 2000)
+    named = df.withColumn("t", F.when(F.col("w2") == "2", "third").when(F.col("a") == 1, "b").otherwise("a"))
+    two = {r.estimand: r.estimate for r in tmle.tmle_binary(named, "y", "t", ["w1"], treatments=("a", "b")).collect()}
+    same = {r.estimand: r.estimate for r in tmle.tmle_binary(df.filter("w2 <> '2'"), "y", "a", ["w1"]).collect()}
+    assert two == pytest.approx(same)
+    with pytest.raises(Exception, match="must be 0 or 1"):
+        tmle.tmle_binary(df.withColumn("a", F.col("a") + 1), "y", "a", ["w1"])
+    with pytest.raises(ValueError, match="one value"):
+        tmle.tmle_binary(df.withColumn("y", F.lit(1)), "y", "a", ["w1"])
+
+
+def test_a_group_may_be_called_overall(spark):
+    df = from_counts(spark, [("x", "Overall", 1), ("y", "Overall", 3), ("x", "b", 4)], "k string, g string").withColumn("v", F.lit(1.0))
+    rows = {(r.variable, r.level, r.grp, r.overall): (r.n, r.percent) for r in balance.table_one(df, "g", ["k"], ["v"]).collect()}
+    assert rows[("k", "x", "Overall", False)] == (1, 25.0) and rows[("k", "x", "Overall", True)] == (5, 62.5)
+    assert rows[("v", None, "Overall", False)][0] == 4 and rows[("v", None, "Overall", True)][0] == 8
+
+
+def test_no_columns_and_a_single_group(spark):
+    df = spark.createDataFrame([("a", "x", 1.0), ("a", "y", 2.0)], "g string, k string, v double")
+    assert balance.smd_pairs(df, "g").count() == 0 == balance.smd_pairs(df, "g", ["v"], ["k"]).count()
+    assert association.chi_square_pairs(df, "g", ["k"]).count() == 0 == association.welch_t_pairs(df, "g", ["v"]).count()
+    assert association.chi_square_by_stratum(df, "k", "g").count() == 0
+    assert {r.variable for r in balance.table_one(df, "g", [], ["v"]).collect()} == {"v"}
+    assert {r.variable for r in balance.table_one(df, "g", ["k"], []).collect()} == {"k"}
+    assert balance.table_one_tests(df, "g", [], []).count() == 0
+
+
+def test_not_a_number(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("a", float("nan")), ("a", None)], "g string, v double")
+    rows = {r.bin: r.n for r in describe.histogram(df, ["v"], 2).collect()}
+    assert rows == {0: 1, 1: 1, None: 1}
+    assert describe.exact_quantiles(df, ["v"], (0.5,)).first().value == 2.0
+    assert groups.moments(df, ["v"], "g").first().mean == 2.0
+
+
+def test_missing_is_not_the_text_na(spark):
+    df = spark.createDataFrame([("NA",), (None,), (None,)], "x string").withColumnRenamed("x", "it's")
+    assert {(r.level, r.missing): r.n for r in describe.category_counts(df, ["it's"]).collect()} == {("NA", False): 1, ("NA", True): 2}
+    assert groups.level_counts(df.withColumn("g", F.lit("a")), ["it's"], "g").first().n == 1
+    assert describe.missing_percent(df).first().missing == 2
