@@ -15,8 +15,8 @@ from .exposure import (
     add_study_end, censor_outcome, exposure_part, unpack_exposure, with_study_entry, with_time_to_exposure,
 )
 from .flags import (
-    BMI_HIGH, BMI_LOW, BMI_UNIT, condition_part, conditions_found, measurement_part, medication_part, unit_ids, unpack_conditions,
-    unpack_measurement, unpack_medications,
+    BMI_HIGH, BMI_LOW, BMI_UNIT, condition_part, conditions_found, measurement_part, medication_part, unpack_conditions,
+    unpack_measurement, unpack_medications, with_unit,
 )
 from .joins import attach_ethnicity, patient_semi
 from .outcome import OutcomeRules, no_prior_outcome, outcome_part, unpack_outcome
@@ -42,7 +42,8 @@ def exclude_events_after(
 
 @dataclass
 class Study:
-    """Codelists and limits of one study. ``exclusion_in`` names the table that holds exclusion codes."""
+    """Codelists and limits of one study. ``exclusion_in`` ("events" or "drugs") is the table that holds exclusion
+    codes; ``single_class`` keeps only patients that ever had one class of the exposure."""
 
     exposure: DataFrame
     start: str
@@ -51,6 +52,7 @@ class Study:
     adult: int = 18
     exclusion: DataFrame | None = None
     exclusion_in: str = "events"
+    single_class: bool = True
     outcome: OutcomeRules | None = None
     drug_dates: tuple[str, str] = ("issuedate", "enterdate")
     event_dates: tuple[str, str] = ("obsdate", "enterdate")
@@ -69,7 +71,8 @@ def steps(study: Study) -> list[tuple[str, Column]]:
         out.append(("exclusion", ~F.coalesce(F.col("_last_excluded") > F.col("study_entry_date"), F.lit(False))))
     if study.outcome is not None:
         out.append(("no_prior_outcome", no_prior_outcome()))
-    out.append(("single_class", F.col("single_class")))
+    if study.single_class:
+        out.append(("single_class", F.col("single_class")))
     return out
 
 
@@ -149,7 +152,7 @@ class Covariates:
     measurement_range: tuple[float, float] = (BMI_LOW, BMI_HIGH)
 
 
-# Working columns that the finished dataset leaves out.
+# Working columns that the finished dataset leaves out.
 WORKING_COLUMNS = (
     "mob", "yob", "pracid", "acceptable", "emis_ddate", "regstartdate", "regenddate", "time_to_first_exposure", "index_date",
     "study_entry_date", "outcome_date", "study_exit_date", "censor_date", "last_exposure_date", "last_duration",
@@ -162,11 +165,9 @@ def research_dataset(
 ) -> DataFrame:
     """One row per eligible patient: outcome within the study, treatment, age and all covariates."""
     c = covariates
-    measured = measurement_part(
-        c.measurement, unit_ids(c.units, c.measurement_unit), "BMI", *c.measurement_range
-    )
+    measured = measurement_part(c.measurement, "BMI", *c.measurement_range)
     wide = eligibility(
-        patients, drugs, events, study,
+        patients, drugs, with_unit(events, c.units, c.measurement_unit), study,
         [medication_part(c.medications, c.medication_names)],
         [condition_part(c.conditions, c.condition_names), measured],
     )

@@ -132,25 +132,29 @@ def unpack_conditions(patients: DataFrame, names: Sequence[str], as_of: str) ->
 BMI_UNIT, BMI_LOW, BMI_HIGH = "kg/m2", 6.7, 70.0
 
 
-def unit_ids(units: DataFrame, text: str = BMI_UNIT) -> list[int]:
-    """Ids of the units described by ``text``; the dictionary names a unit a few times."""
-    rows = units.filter(F.col("Description") == text).select(F.col("numunitid").try_cast("int").alias("id")).distinct()
-    return [r.id for r in rows.collect() if r.id is not None]
+IN_UNIT = "_in_unit"
 
 
-def _in_range(ids: Sequence[int], low: float, high: float):
-    number = F.col("value").try_cast("double")
-    return F.col("numunitid").try_cast("int").isin(list(ids)) & number.between(low, high)
+def with_unit(events: DataFrame, units: DataFrame, text: str = BMI_UNIT) -> DataFrame:
+    """``events`` with ``_in_unit``: true where the dictionary describes the event's unit by ``text``, else null.
+
+    The dictionary is joined, not read while the plan is built; it may name a unit a few times.
+    """
+    ids = units.filter(F.col("Description") == text).select(F.col("numunitid").try_cast("int").alias("_unit"))
+    ids = broadcast_if_small(ids.distinct().withColumn(IN_UNIT, F.lit(True)))
+    return events.withColumn("_unit", F.col("numunitid").try_cast("int")).join(ids, "_unit", "left").drop("_unit")
+
+
+def _in_range(low: float, high: float):
+    return F.col(IN_UNIT) & F.col("value").try_cast("double").between(low, high)
 
 
-def measurement_part(
-    codes: DataFrame, ids: Sequence[int], name: str = "BMI", low: float = BMI_LOW, high: float = BMI_HIGH
-) -> Part:
-    """The latest in-range value, the larger one on ties."""
+def measurement_part(codes: DataFrame, name: str = "BMI", low: float = BMI_LOW, high: float = BMI_HIGH) -> Part:
+    """The latest in-range value, the larger one on ties; the events come from ``with_unit``."""
     label = f"measurement:{name}"
     record = F.struct(F.col(ON).alias("on"), F.col("value").try_cast("double").alias("value"))
-    hit = in_role(label) & _in_range(ids, low, high)
-    return Part(role(codes, label), [F.max(F.when(hit, record)).alias(f"_latest_{name}")], ["value", "numunitid"])
+    hit = in_role(label) & _in_range(low, high)
+    return Part(role(codes, label), [F.max(F.when(hit, record)).alias(f"_latest_{name}")], ["value", IN_UNIT])
 
 
 def unpack_measurement(patients: DataFrame, name: str = "BMI") -> DataFrame:
@@ -168,11 +172,11 @@ def latest_measurement(
     ``codes`` None takes every code. With ``as_of``, a date column of ``patients``, only values up to
     that date count; the values of a patient are first reduced to one per day.
     """
-    ids = unit_ids(units, unit)
+    events = with_unit(events, units, unit)
     if codes is not None and as_of is None:
-        summary = summarise_events(events, [measurement_part(codes, ids, name, low, high)], code, dates)
+        summary = summarise_events(events, [measurement_part(codes, name, low, high)], code, dates)
         return unpack_measurement(summary, name).filter(F.col(name).isNotNull())
-    rows = parse_dates(events.select("patid", code, *dates, "value", "numunitid"), *dates).filter(_in_range(ids, low, high))
+    rows = parse_dates(events.select("patid", code, *dates, "value", IN_UNIT), *dates).filter(_in_range(low, high))
     if codes is not None:
         rows = codelist_filter(rows, codes, code)
     rows = rows.groupBy("patid", effective_date(*dates).alias("on")).agg(F.max(F.col("value").try_cast("double")).alias("value"))

@@ -41,16 +41,27 @@ def broadcast_if_small(df: DataFrame, max_bytes: int | None = None) -> DataFrame
     return F.broadcast(df) if fits(df, max_bytes) else df
 
 
+def join_codes(events: DataFrame, codes: DataFrame, code: str, how: str = "inner") -> DataFrame:
+    """``events`` joined with ``codes`` on events.``code`` = codes.code, without the latter.
+
+    Where the two types differ both are compared as text: 007 is not 7, and no code has to be a number.
+    """
+    if events.schema[code].dataType == codes.schema["code"].dataType:
+        return events.join(codes.withColumnRenamed("code", code), code, how)
+    key = F.col(code).cast("string")
+    texts = codes.withColumn("code", F.col("code").cast("string")).withColumnRenamed("code", "_code_text")
+    return events.withColumn("_code_text", key).join(texts, "_code_text", how).drop("_code_text")
+
+
 def codelist_filter(events: DataFrame, codes: DataFrame, code: str, term: str | None = None) -> DataFrame:
     """Events whose code is in the list, each once however often the list repeats the code.
 
     ``term`` names a column to receive the code's term; without it this is a plain semi join.
     """
     if term is None:
-        keys = broadcast_if_small(codes.select(F.col("code").alias(code)))
-        return events.join(keys, code, "left_semi").select(*events.columns)
-    unique = codes.groupBy("code").agg(F.min("term").alias(term)).withColumnRenamed("code", code)
-    return events.join(broadcast_if_small(unique), code, "inner").select(*events.columns, term)
+        return join_codes(events, broadcast_if_small(codes.select("code")), code, "left_semi").select(*events.columns)
+    unique = codes.groupBy("code").agg(F.min("term").alias(term))
+    return join_codes(events, broadcast_if_small(unique), code).select(*events.columns, term)
 
 
 def tag_events(events: DataFrame, lists: DataFrame, code: str, term: str | None = None) -> DataFrame:
@@ -63,8 +74,7 @@ def tag_events(events: DataFrame, lists: DataFrame, code: str, term: str | None
         tags = rows.groupBy("list_name", "code").agg(F.min("term").alias(term))
     # Lists that are small with all their repeats need no second look.
     small = fits(rows) or fits(tags)
-    tags = tags.withColumnRenamed("code", code)
-    return events.join(F.broadcast(tags) if small else tags, code, "inner")
+    return join_codes(events, F.broadcast(tags) if small else tags, code)
 
 
 def attach_patient_attrs(

@@ -58,20 +58,29 @@ _NUMBER = "CASE WHEN numunitid = '155' THEN value * 1.5 ELSE value END"
 _BANDS = " ".join(
     f"WHEN gender = '{g}' THEN CASE WHEN num <= {lo} THEN 0 WHEN num <= {hi} THEN 1 WHEN num > {hi} THEN 2 END" for g, (lo, hi) in BANDS.items()
 )
-CODED = f"""SELECT patid, medcodeid, outcome_date, num, numunitid, code, CASE code WHEN 2 THEN 0 WHEN 1 THEN 1 WHEN 3 THEN 2 WHEN 0 THEN 3 ELSE 4 END AS rk FROM (
+def coded_sql(measured: str, moderate: str, severe: str) -> str:
+    """Outcome events; each argument is a list of codes in brackets."""
+    return f"""SELECT patid, medcodeid, outcome_date, num, numunitid, code, CASE code WHEN 2 THEN 0 WHEN 1 THEN 1 WHEN 3 THEN 2 WHEN 0 THEN 3 ELSE 4 END AS rk FROM (
     SELECT patid, medcodeid, numunitid, num, coalesce(obsdate, enterdate) AS outcome_date,
-        CASE WHEN medcodeid IN {_brands(*SEVERE)} THEN 2 WHEN medcodeid IN {_brands(*MODERATE)} THEN 1
+        CASE WHEN medcodeid IN {severe} THEN 2 WHEN medcodeid IN {moderate} THEN 1
         WHEN numunitid NOT IN ('276', '155') THEN 3 ELSE CASE {_BANDS} END END AS code
     FROM (SELECT o.*, {_NUMBER} AS num, p.gender FROM observation o LEFT JOIN patient p USING (patid)
-          WHERE medcodeid IN {_brands(*MEASURED, *MODERATE, *SEVERE)}))"""
+          WHERE medcodeid IN {measured} OR medcodeid IN {moderate} OR medcodeid IN {severe}))"""
+
+
+CODED = coded_sql(_brands(*MEASURED), _brands(*MODERATE), _brands(*SEVERE))
 EARLIEST = """SELECT patid, code, outcome_date FROM (SELECT *, row_number() OVER (PARTITION BY patid ORDER BY outcome_date NULLS LAST, rk) AS rn
     FROM coded WHERE code > 0) WHERE rn = 1"""
 VERY_FIRST = """SELECT patid, code, outcome_date FROM (SELECT *, row_number() OVER (PARTITION BY patid ORDER BY outcome_date NULLS FIRST, rk) AS rn
     FROM coded) WHERE rn = 1 AND code > 0"""
-COHORT = f"""SELECT e.patid, gender, yob, mob, emis_ddate, regenddate, first_exposure_date, drugsubstancename, study_entry_date,
+def cohort_sql(not_excluded: str, single: str) -> str:
+    return f"""SELECT e.patid, gender, yob, mob, emis_ddate, regenddate, first_exposure_date, drugsubstancename, study_entry_date,
     coalesce(x.code, 0) AS outcome, x.outcome_date FROM lookback e LEFT JOIN earliest x ON e.patid = x.patid
-    WHERE acceptable = '1' AND {IN_PERIOD} AND {ADULT} AND {NOT_EXCLUDED} AND coalesce(x.code, 0) <> 3
-    AND (x.outcome_date IS NULL OR x.outcome_date >= first_exposure_date) AND e.patid IN (SELECT patid FROM single)"""
+    WHERE acceptable = '1' AND {IN_PERIOD} AND {ADULT} AND {not_excluded} AND coalesce(x.code, 0) <> 3
+    AND (x.outcome_date IS NULL OR x.outcome_date >= first_exposure_date) AND {single}"""
+
+
+COHORT = cohort_sql(NOT_EXCLUDED, "e.patid IN (SELECT patid FROM single)")
 BASE = {"exposed": EXPOSED, "firsts": FIRST, "exposed_patients": EXPOSED_PATIENTS, "lookback": LOOKBACK}
 OUTCOMES = {"coded": CODED, "earliest": EARLIEST, "very_first": VERY_FIRST}
 FULL = {**BASE, **OUTCOMES, "single": SINGLE, "cohort": COHORT}
@@ -196,10 +205,14 @@ def _attrition_sql(names: list[str]) -> str:
     return f"SELECT step_no, step, remaining, coalesce(lag(remaining) OVER (ORDER BY step_no) - remaining, 0) AS excluded FROM ({passed})"
 
 
-STEP_ROWS = f"""SELECT e.*, coalesce(x.code, 0) AS code, x.outcome_date, e.patid IN (SELECT patid FROM single) AS single, {NOT_EXCLUDED} AS not_excluded
+def step_rows_sql(not_excluded: str) -> str:
+    return f"""SELECT e.*, coalesce(x.code, 0) AS code, x.outcome_date, e.patid IN (SELECT patid FROM single) AS single, {not_excluded} AS not_excluded
     FROM (SELECT *, first_exposure_date - 365 AS study_entry_date FROM exposed_patients) e LEFT JOIN earliest x ON e.patid = x.patid"""
 
 
+STEP_ROWS = step_rows_sql(NOT_EXCLUDED)
+
+
 @query("attrition_table", _attrition_sql([n for n, _ in _STEPS]), **FULL, steps=STEP_ROWS)
 def _(v: Views):
     return cohort.cohort_attrition(v.patient, v.drug_issue, v.observation, study(v))
@@ -328,14 +341,14 @@ _TREATMENT = "CASE drugsubstancename " + " ".join(f"WHEN '{t}' THEN {n}" for t,
 _BIRTHDAY = "CASE WHEN mob IS NULL THEN make_date(yob, 7, 31) ELSE last_day(make_date(yob, mob, 1)) END"
 
 
-@query(
-    "research_dataset",
-    f"""SELECT b.patid, gender, CAST(outcome AS INTEGER) AS outcome, {MEDICATION_SQL}, {CONDITION_SQL},
+RESEARCH = f"""SELECT b.patid, gender, CAST(outcome AS INTEGER) AS outcome, {MEDICATION_SQL}, {CONDITION_SQL},
     CAST(floor((first_exposure_date - {_BIRTHDAY}) / 365.25) AS INTEGER) AS age_at_exposure, m.value AS "BMI",
     ethnic_6 AS "Ethnic", CAST({_TREATMENT} AS INTEGER) AS treatment
-    FROM censored b JOIN ethnicity ON b.patid = ethnicity.patid LEFT JOIN latest m ON b.patid = m.patid WHERE gender <> '3'""",
-    **ENDED, medicated=MEDICATED, diseased=DISEASED, measured=MEASURED_ON, latest=LATEST,
-)
+    FROM censored b JOIN ethnicity ON b.patid = ethnicity.patid LEFT JOIN latest m ON b.patid = m.patid WHERE gender <> '3'"""
+COVARIATES = {"medicated": MEDICATED, "diseased": DISEASED, "measured": MEASURED_ON, "latest": LATEST}
+
+
+@query("research_dataset", RESEARCH, **ENDED, **COVARIATES)
 def research(v: Views):
     return cohort.research_dataset(v.patient, v.drug_issue, v.observation, study(v), covariates(v))
 
@@ -384,20 +397,24 @@ def _(v: Views):
 ROLL_LISTS = (("active", ("purchase", "signup")), ("problem", ("error",)), ("seen", ("view", "click", "error")))
 
 
-def _roll_lists(v: Views) -> DataFrame:
+# The cross-section looks at drugs in an earlier period, moved back by so many days.
+DRUG_LISTS, DRUG_SHIFT = (("drug_a", ("click",)), ("drug_b", ("purchase", "error"))), 4
+
+
+def _roll_lists(v: Views, lists=ROLL_LISTS) -> DataFrame:
     codes = v.table("events").select(F.col("event_type").alias("code")).distinct()
     return union_lists([
         codes.filter(F.col("code").isin(list(types))).select(F.lit(name).alias("list_name"), "code", F.col("code").alias("term"))
-        for name, types in ROLL_LISTS
+        for name, types in lists
     ])
 
 
 _PERIOD = f"EffectiveDate BETWEEN DATE '{ROLL_START}' AND DATE '{ROLL_END}'"
 
 
-def _roll_code_columns() -> str:
+def _roll_code_columns(lists=ROLL_LISTS) -> str:
     out = []
-    for name, types in ROLL_LISTS:
+    for name, types in lists:
         mine = "CodeId IN (" + ", ".join(f"'{t}'" for t in types) + ")"
         out.append(
             f"""string_agg(DISTINCT CASE WHEN {mine} THEN CAST(EffectiveDate AS VARCHAR) END, ',' ORDER BY CASE WHEN {mine} THEN CAST(EffectiveDate AS VARCHAR) END) AS "timestamps@[{name}]",
@@ -458,8 +475,11 @@ def _terms(v: Views) -> DataFrame:
     return codes.filter("code IN ('error', 'signup')").select("code", F.upper("code").alias("term"))
 
 
-@query("rollup_category", """SELECT PatientIdentifier, max(EffectiveDate) AS "latest@category", arg_max(upper(CodeId), CAST(EffectiveDate AS VARCHAR) || upper(CodeId)) AS "term@category"
-    FROM roll_event WHERE CodeId IN ('error', 'signup') GROUP BY 1""")
+ROLL_CATEGORY = """SELECT PatientIdentifier, max(EffectiveDate) AS "latest@category", arg_max(upper(CodeId), CAST(EffectiveDate AS VARCHAR) || upper(CodeId)) AS "term@category"
+    FROM roll_event WHERE CodeId IN ('error', 'signup') GROUP BY 1"""
+
+
+@query("rollup_category", ROLL_CATEGORY)
 def _(v: Views):
     return rollup.rollup_category(v.roll_event, _terms(v))
 
@@ -470,10 +490,22 @@ def _(v: Views):
     return rollup.category_entries(v.roll_event, _terms(v))
 
 
-@query("cross_section", f"""SELECT c.*, w.* EXCLUDE (PatientIdentifier), Sex, YearOfBirth, DateOfDeath FROM ({ROLL_CODES}) c
-    JOIN ({ROLL_VALUES}) w ON c.PatientIdentifier = w.PatientIdentifier JOIN roll_patient p ON c.PatientIdentifier = p.PatientIdentifier WHERE IsAcceptable = '1'""")
+_MOVED = f"EffectiveDate BETWEEN DATE '{ROLL_START}' - {DRUG_SHIFT} AND DATE '{ROLL_END}' - {DRUG_SHIFT}"
+_DRUG_TYPES = ", ".join(f"'{t}'" for _, types in DRUG_LISTS for t in types)
+ROLL_DRUGS = f"SELECT PatientIdentifier, {_roll_code_columns(DRUG_LISTS)} FROM roll_event WHERE {_MOVED} AND CodeId IN ({_DRUG_TYPES}) GROUP BY 1"
+
+
+@query("cross_section", f"""SELECT p.PatientIdentifier, c.* EXCLUDE (PatientIdentifier), d.* EXCLUDE (PatientIdentifier), w.* EXCLUDE (PatientIdentifier),
+    k.* EXCLUDE (PatientIdentifier), Sex, YearOfBirth, DateOfDeath FROM roll_patient p LEFT JOIN ({ROLL_CODES}) c ON c.PatientIdentifier = p.PatientIdentifier
+    LEFT JOIN ({ROLL_DRUGS}) d ON d.PatientIdentifier = p.PatientIdentifier LEFT JOIN ({ROLL_VALUES}) w ON w.PatientIdentifier = p.PatientIdentifier
+    LEFT JOIN ({ROLL_CATEGORY}) k ON k.PatientIdentifier = p.PatientIdentifier
+    WHERE IsAcceptable = '1' AND p.PatientIdentifier IN (SELECT PatientIdentifier FROM roll_event)
+    AND coalesce(c.PatientIdentifier, d.PatientIdentifier, w.PatientIdentifier, k.PatientIdentifier) IS NOT NULL""")
 def _(v: Views):
-    wide = rollup.cross_section(v.roll_patient, [_rolled_codes(v), _rolled_values(v)])
+    names = [n for n, _ in DRUG_LISTS]
+    drugs = rollup.rollup_codes(v.roll_event, _roll_lists(v, DRUG_LISTS), names, ROLL_START, ROLL_END, DRUG_SHIFT)
+    category = rollup.rollup_category(v.roll_event, _terms(v))
+    wide = rollup.cross_section(v.roll_patient, [_rolled_codes(v), drugs, _rolled_values(v), category])
     return _null_empty(flatten_arrays_for_csv(wide))
 
 

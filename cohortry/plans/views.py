@@ -27,6 +27,9 @@ BANDS = {"1": (53000.0, 95000.0), "2": (40000.0, 80000.0)}
 ACCEPTED, CONVERT, TARGET = (276,), {155: 1.5}, 276
 MEASURE_LOW, MEASURE_HIGH, MEASURE_UNIT = 20000.0, 90000.0, "kg/m2"
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
+# Codes that some even-numbered parts of one size have in ``rare_observation``; other parts keep the brand.
+RARE = {"excluded": 30, "moderate": 31, "severe": 32, "measured": 33}
+RARE_CODE = "CASE " + " ".join(f"WHEN p_size = {size} AND p_partkey % 2 = 0 THEN '{code}'" for code, size in RARE.items()) + " ELSE p_brand END"
 TREATMENTS = {"ECONOMY": 1, "LARGE": 2, "MEDIUM": 3, "PROMO": 4, "SMALL": 5}
 
 
@@ -74,13 +77,25 @@ class Views:
 
     @cached_property
     def observation(self) -> DataFrame:
+        return self._observed("p_brand")
+
+    @cached_property
+    def rare_observation(self) -> DataFrame:
+        """Observations, some of which have one of the rare codes instead of the brand."""
+        return self._observed(RARE_CODE)
+
+    def rare_list(self, name: str, code: str) -> DataFrame:
+        rows = self.table("part").selectExpr(f"{RARE_CODE} AS code").filter(F.col("code") == code)
+        return rows.select(F.lit(name).alias("list_name"), "code", F.col("code").alias("term"))
+
+    def _observed(self, code: str) -> DataFrame:
         lines = self.table("lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_shipdate", "l_extendedprice", "l_returnflag")
         orders = self.table("orders").select("o_orderkey", "o_custkey", "o_orderdate")
-        parts = self.table("part").select("p_partkey", "p_brand")
+        parts = self.table("part").selectExpr("p_partkey", f"{code} AS medcodeid")
         return lines.join(parts, F.col("l_partkey") == F.col("p_partkey")).join(
             orders, F.col("l_orderkey") == F.col("o_orderkey")
         ).selectExpr(
-            "o_custkey AS patid", "p_brand AS medcodeid",
+            "o_custkey AS patid", "medcodeid",
             "CASE WHEN l_linenumber <> 7 THEN CAST(l_shipdate AS DATE) END AS obsdate",
             "CAST(o_orderdate AS DATE) AS enterdate", "l_extendedprice AS value",
             "CASE l_returnflag WHEN 'R' THEN '276' WHEN 'A' THEN '155' ELSE '9' END AS numunitid",
@@ -134,10 +149,10 @@ class Views:
 
     @cached_property
     def units(self) -> DataFrame:
-        """Unit dictionary from the flags in use: R and A are kg/m2, N is another unit."""
-        return self.table("lineitem").select("l_returnflag").distinct().selectExpr(
-            "CASE l_returnflag WHEN 'R' THEN 276 WHEN 'A' THEN 155 ELSE 9 END AS numunitid",
-            "CASE WHEN l_returnflag = 'N' THEN 'mmol/L' ELSE 'kg/m2' END AS Description",
+        """Unit dictionary, an entry for each region: 276 and 155 are kg/m2, 9 and others are not."""
+        return self.table("region").selectExpr(
+            "CASE r_regionkey WHEN 0 THEN 276 WHEN 1 THEN 155 WHEN 2 THEN 9 ELSE CAST(900 + r_regionkey AS INT) END AS numunitid",
+            "CASE WHEN r_regionkey >= 2 THEN 'mmol/L' ELSE 'kg/m2' END AS Description",
         )
 
     @cached_property
@@ -195,8 +210,8 @@ SQL_VIEWS = {
     "brands": "SELECT DISTINCT p_brand AS code FROM part",
     "condition_lists": f"""SELECT {_case("CAST(substr(code, 7) AS INTEGER)", CONDITIONS, FIRST_CONDITION_BRAND)} AS list_name, code
         FROM brands WHERE CAST(substr(code, 7) AS INTEGER) BETWEEN {FIRST_CONDITION_BRAND} AND {_LAST_CONDITION}""",
-    "units": """SELECT DISTINCT CASE l_returnflag WHEN 'R' THEN 276 WHEN 'A' THEN 155 ELSE 9 END AS numunitid,
-        CASE WHEN l_returnflag = 'N' THEN 'mmol/L' ELSE 'kg/m2' END AS Description FROM lineitem""",
+    "units": """SELECT CASE r_regionkey WHEN 0 THEN 276 WHEN 1 THEN 155 WHEN 2 THEN 9 ELSE CAST(900 + r_regionkey AS INTEGER) END AS numunitid,
+        CASE WHEN r_regionkey >= 2 THEN 'mmol/L' ELSE 'kg/m2' END AS Description FROM region""",
     "ethnicity": "SELECT c_custkey AS patid, CAST(1 + c_nationkey % 6 AS VARCHAR) AS ethnic_6 FROM customer WHERE c_custkey % 13 <> 0",
 }
 
