@@ -39,7 +39,11 @@ def read_codelists(spark: SparkSession, paths: Mapping[str, str], sep: str = "\t
 
 
 def long_codelist(lists: Iterable[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, lists)
+    """All lists as one; where their codes have several types they become text."""
+    frames = list(lists)
+    if len({f.schema["code"].dataType for f in frames}) > 1:
+        frames = [f.withColumn("code", F.col("code").cast("string")) for f in frames]
+    return reduce(DataFrame.unionByName, frames)
 
 
 def codelist_union(lists: DataFrame) -> DataFrame:

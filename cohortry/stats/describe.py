@@ -3,15 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.clean import few_valued, value_counts_long
+from ..operators.joins import broadcast_if_small
+from ..sources.tables import materialise
 from .groups import number
 
 ACCURACY = 100_000
+# Parts into which the bracket of a quantile is cut.
+BINS = 32
 
 
 def count_rows(df: DataFrame) -> DataFrame:
@@ -61,50 +66,51 @@ def exact_quantiles(
 ) -> DataFrame:
     """(grp, variable, prob, value), interpolated between neighbours; exact at any size.
 
-    A sketch first brackets each quantile, with an error bound. A second scan counts what lies below
-    the bracket and lists the distinct values inside, a few in ``accuracy`` of the data, among which the
-    quantile is then found by rank. Neither a full sort nor a map of all values is needed. The brackets
-    are a table of one row per group, column and quantile, joined like any other.
+    Three scans, the first two of them while the plan is built. A sketch brackets each quantile, with an
+    error bound; the brackets, cut into ``BINS`` parts, and what lies between them are cells that divide the
+    number line. The cells are counted, which tells the cell of each quantile, and only values in those
+    cells are listed and ranked. No row is repeated for a quantile, and a sketch that misses costs time only.
     """
     slack = 3.0 / accuracy
     ends = [p for q in probs for p in (max(0.0, q - slack), min(1.0, q + slack))]
+    if not names or not ends:
+        return df.sparkSession.createDataFrame([], "grp string, variable string, prob double, value double")
     group = F.lit("") if by is None else F.col(by).cast("string")
-    sketch = df.groupBy(group.alias("grp")).agg(*[
+    sketch = df.groupBy(group.alias("grp")).agg(*[F.percentile_approx(number(c), ends, accuracy).alias(f"q_{i}") for i, c in enumerate(names)])
+    cuts = F.array(*[F.struct(F.lit(c).alias("variable"), F.sort_array(f"q_{i}").alias("cuts")) for i, c in enumerate(names)])
+    bounds = materialise(sketch.select("grp", F.explode(cuts).alias("_b")).select("grp", "_b.*").filter("cuts IS NOT NULL"))
+
+    at = [F.get("cuts", F.lit(i)) for i in range(len(ends))]
+    part = reduce(lambda x, y: x + y, [(F.col("value") > c).cast("int") for c in at])
+    low, high = F.get("cuts", F.col("part") - 1), F.get("cuts", F.col("part"))
+    share = F.when((high - low > 0) & (high - low < float("inf")), (F.col("value") - low) / (high - low) * BINS)
+    bin_ = F.coalesce(F.least(F.floor(share), F.lit(BINS - 1)).cast("int"), F.lit(0))
+    cell = ["grp", "variable", "part", "bin"]
+    rows = _long_numbers(df, names, by).join(broadcast_if_small(bounds), ["grp", "variable"])
+    rows = rows.withColumn("part", part).withColumn("bin", bin_).select(*cell, "value")
+
+    mine = Window.partitionBy("grp", "variable")
+    counts = rows.groupBy(*cell).agg(F.count(F.lit(1)).alias("n")).withColumn("total", F.sum("n").over(mine))
+    counts = counts.withColumn("before", F.sum("n").over(mine.orderBy("part", "bin")) - F.col("n"))
+    place = {q: (F.col("total") - 1) * float(q) for q in probs}
+    ranks = F.array(*[
         F.struct(
-            F.count(number(c)).alias("total"), F.percentile_approx(number(c), ends, accuracy).alias("ends")
-        ).alias(f"q_{i}")
-        for i, c in enumerate(names)
-    ])
-    brackets = F.array(*[
-        F.struct(
-            F.lit(c).alias("variable"), F.lit(float(q)).alias("prob"), F.col(f"q_{i}.total").alias("total"),
-            F.get(f"q_{i}.ends", F.lit(2 * j)).alias("low"), F.get(f"q_{i}.ends", F.lit(2 * j + 1)).alias("high"),
+            F.lit(float(q)).alias("prob"), (x - F.floor(x)).alias("rest"), F.lit(k).alias("k"),
+            F.least(F.floor(x) + 1 + k, F.col("total")).cast("long").alias("rank"),
         )
-        for i, c in enumerate(names) for j, q in enumerate(probs)
+        for q, x in place.items() for k in (0, 1)
     ])
-    bounds = sketch.select("grp", F.explode(brackets).alias("_b")).select("grp", "_b.*").filter("total > 0")
-    keys = ["grp", "variable", "prob", "total"]
-    side = F.when(F.col("value") < F.col("low"), -1).when(F.col("value") > F.col("high"), 1).otherwise(0)
-    rows = _long_numbers(df, names, by).join(bounds, ["grp", "variable"]).withColumn("side", side)
-    pieces = rows.groupBy(*keys, "side", F.when(F.col("side") == 0, F.col("value")).alias("inside")).agg(
-        F.count(F.lit(1)).alias("n"), F.min("value").alias("least"), F.max("value").alias("most")
+    asked = counts.select(*cell, "before", "n", F.explode(ranks).alias("_r")).select(*cell, "before", "n", "_r.*")
+    asked = materialise(asked.filter("before < rank AND rank <= before + n").drop("n"))
+
+    listed = rows.join(broadcast_if_small(asked.select(*cell, "before").distinct()), cell).groupBy(*cell, "before", "value")
+    upto = F.col("before") + F.sum("n").over(Window.partitionBy(*cell).orderBy("value"))
+    ranked = listed.agg(F.count(F.lit(1)).alias("n")).withColumn("upto", upto).drop("before")
+    hits = asked.join(ranked, cell).filter("upto - n < rank AND rank <= upto")
+    both = hits.groupBy("grp", "variable", "prob", "rest").agg(
+        F.max(F.when(F.col("k") == 0, F.col("value"))).alias("a"), F.max(F.when(F.col("k") == 1, F.col("value"))).alias("b")
     )
-    upto = F.sum("n").over(Window.partitionBy(*keys).orderBy("side", "inside"))
-    ranked = pieces.withColumn("upto", upto).withColumn("over", F.col("upto") - F.col("n"))
-    place = (F.col("total") - 1) * F.col("prob")
-
-    def at(rank):
-        here = (F.col("over") < rank) & (rank <= F.col("upto"))
-        outside = ((F.col("side") < 0) & (rank < F.col("upto"))) | ((F.col("side") > 0) & (rank > F.col("over") + 1))
-        value = F.when(outside, F.raise_error(F.lit("quantile outside its bracket")).cast("double")).when(
-            F.col("side") > 0, F.col("least")
-        ).otherwise(F.col("most"))
-        return F.max(F.when(here, value))
-
-    lower = F.floor(place) + 1
-    both = ranked.groupBy(*keys).agg(at(lower).alias("a"), at(F.least(lower + 1, F.col("total"))).alias("b"))
-    part = place - F.floor(place)
-    return both.select("grp", "variable", "prob", (F.col("a") + (F.col("b") - F.col("a")) * part).alias("value"))
+    return both.select("grp", "variable", "prob", (F.col("a") + (F.col("b") - F.col("a")) * F.col("rest")).alias("value"))
 
 
 def box_summary(df: DataFrame, names: Sequence[str], by: str, accuracy: int = ACCURACY) -> DataFrame:

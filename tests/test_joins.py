@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cohortry.operators import events, joins, sets
+from cohortry.sources.codelists import long_codelist
 
 from .helpers import codes, day
 
@@ -35,6 +36,20 @@ def test_codelist_joins(spark, either_join):
     assert either_join == "shuffle" or "BroadcastHashJoin" in plan
 
 
+def test_codes_of_two_types_meet_as_text(spark, either_join):
+    """A list of numbers with events that have text codes, and the other way round: no error, and 007 is not 7."""
+    text = frame(spark, [("a", "7"), ("b", "007"), ("c", "2x"), ("d", None)])
+    numbers = spark.createDataFrame([("l", 7, "x")], "list_name string, code int, term string")
+    assert joins.codelist_filter(text, numbers, "code").collect() == joins.codelist_filter(text, codes(spark, "l", ("7", "x")), "code").collect()
+    assert [tuple(r) for r in joins.codelist_filter(text, numbers, "code", "term").collect()] == [("a", "7", "x")]
+    assert [tuple(r) for r in joins.tag_events(text, numbers, "code").select("patid", "code", "list_name").collect()] == [("a", "7", "l")]
+    events_by_number = frame(spark, [("a", 7), ("b", 8)], "patid string, code int")
+    kept = joins.codelist_filter(events_by_number, codes(spark, "l", ("7", "x"), ("2x", "y")), "code")
+    assert kept.dtypes == events_by_number.dtypes and [tuple(r) for r in kept.collect()] == [("a", 7)]
+    mixed = long_codelist([numbers, codes(spark, "m", ("2x", "y"))])
+    assert sorted(r.code for r in mixed.collect()) == ["2x", "7"]
+
+
 def test_patient_joins(spark, either_join):
     rows = frame(spark, [("a", "1"), ("a", "2"), ("b", "2"), ("x", "3")])
     people = frame(spark, [("a", "1", "1"), ("b", "2", "0"), ("c", "1", "1")], "patid string, gender string, acceptable string")

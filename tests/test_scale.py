@@ -16,8 +16,8 @@ from .conftest import SMALL
 from .helpers import codes, day
 
 # Each takes part of its work into Python on result rows only.
-TAIL_PROBABILITIES = {"chi_square_pairs", "chi_square_by_stratum", "welch_t_pairs", "table_one_tests"}
-FITTED = {"tmle_binary", "tmle_binary_covariates"}
+TAIL_PROBABILITIES = {"chi_square_pairs", "chi_square_by_stratum", "welch_t_pairs", "table_one_tests", "case_chi_square", "case_welch_t"}
+FITTED = {"tmle_binary", "tmle_binary_covariates", "case_tmle"}
 
 
 def plan(df):
