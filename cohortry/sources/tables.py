@@ -39,6 +39,8 @@ def write_table(df: DataFrame, path: str, save: bool = True, fmt: str = "parquet
         return df
     writer = df.write.mode("overwrite").format(fmt)
     if merge_schema:
+        if fmt != "delta":
+            raise ValueError(f"schemas can't be merged on writing {fmt}")
         writer = writer.option("mergeSchema", "true")
     writer.save(path)
     return df.sparkSession.read.format(fmt).load(path)

@@ -135,3 +135,8 @@ def test_shared_folder_is_the_one_the_session_names(spark):
 def test_materialise_reads_back_what_was_stored(spark):
     stored = tables.materialise(spark.range(5).selectExpr("id", "uuid() AS u"))
     assert stored.exceptAll(stored).count() == 0 and stored.count() == 5 and stored.inputFiles()
+
+
+def test_schemas_are_not_merged_on_writing_parquet(spark, tmp_path):
+    with pytest.raises(ValueError):
+        tables.write_table(spark.range(1), str(tmp_path / "t"), merge_schema=True)

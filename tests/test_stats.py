@@ -228,3 +228,16 @@ def test_missing_is_not_the_text_na(spark):
     assert {(r.level, r.missing): r.n for r in describe.category_counts(df, ["it's"]).collect()} == {("NA", False): 1, ("NA", True): 2}
     assert groups.level_counts(df.withColumn("g", F.lit("a")), ["it's"], "g").first().n == 1
     assert describe.missing_percent(df).first().missing == 2
+
+
+@pytest.mark.parametrize("accuracy", [10, 100, 100_000])
+def test_quantiles_whatever_the_sketch(spark, accuracy):
+    """A coarse sketch, many ties, steep tails and groups of one row or none: always the exact quantile."""
+    rng = np.random.default_rng(5)
+    data = {"steep": np.exp(rng.normal(0, 6, 3000)), "ties": rng.integers(0, 4, 500) * 1.0, "one": np.array([3.5]), "gone": np.array([])}
+    rows = [(g, float(x)) for g, xs in data.items() for x in xs] + [("gone", None), ("ties", None)]
+    df = spark.createDataFrame(rows, "g string, x double")
+    probs = (0.0, 0.01, 0.5, 0.9, 1.0)
+    got = {(r.grp, r.prob): r.value for r in describe.exact_quantiles(df, ["x"], probs, "g", accuracy).collect()}
+    want = {(g, q): float(np.quantile(xs, q)) for g, xs in data.items() if len(xs) for q in probs}
+    assert got == pytest.approx(want, rel=1e-12)
