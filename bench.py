@@ -42,19 +42,27 @@ def seconds(build, spark, sf_dir) -> float:
     return time.perf_counter() - start
 
 
+def plan_counts(build, spark, sf_dir) -> dict[str, int]:
+    """File scans and exchanges in the plan as first made."""
+    text = build(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    return {"scans": text.count("FileScan "), "exchanges": text.count("Exchange hashpartitioning")}
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus, runs = os.environ.get("BENCH_CPUS", "8"), int(os.environ.get("BENCH_RUNS", "3"))
     spark = local_session(cpus, int(cpus) if cpus.isdigit() else 8)
-    times = {}
+    times, plans = {}, {}
     for name, build in [*((n, QUERIES[n]) for n in HEADLINE), ("flags_one_join_per_list", one_join_per_list)]:
         seconds(build, spark, sf_dir)
+        plans[name] = plan_counts(build, spark, sf_dir)
         times[name] = round(statistics.median(seconds(build, spark, sf_dir) for _ in range(runs)), 3)
     per_list = times.pop("flags_one_join_per_list")
     print(json.dumps({
         "metric": "headline_queries_total", "value": round(sum(times.values()), 3), "unit": "sec", "queries": times,
         "sf": float(os.path.basename(sf_dir.rstrip("/")).removeprefix("sf") or "nan"),
         "one_join_per_list_sec": per_list, "one_pass_speedup": round(per_list / times["baseline_exposure_flags"], 2),
+        "plans": plans,
     }))
     spark.stop()
 
