@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.clean import forbid_columns
 from ..functions.dates import effective_date, parse_dates
-from .joins import broadcast_if_small, codelist_filter
+from .joins import broadcast_if_small, codelist_filter, fits
 from .summaries import ON, ROLE, Part, in_role, prefixed, role, role_sql, summarise_events
 
 MEDICATION, CONDITION = "medication:", "condition:"
@@ -141,8 +141,10 @@ def with_unit(events: DataFrame, units: DataFrame, text: str = BMI_UNIT) -> Data
     The dictionary is joined, not read while the plan is built; it may name a unit a few times.
     """
     ids = units.filter(F.col("Description") == text).select(F.col("numunitid").try_cast("int").alias("_unit"))
-    ids = broadcast_if_small(ids.distinct().withColumn(IN_UNIT, F.lit(True)))
-    return events.withColumn("_unit", F.col("numunitid").try_cast("int")).join(ids, "_unit", "left").drop("_unit")
+    unique = ids.distinct().withColumn(IN_UNIT, F.lit(True))
+    if fits(ids):  # small with all repeats
+        unique = F.broadcast(unique)
+    return events.withColumn("_unit", F.col("numunitid").try_cast("int")).join(unique, "_unit", "left").drop("_unit")
 
 
 def _in_range(low: float, high: float):
