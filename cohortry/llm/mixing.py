@@ -98,10 +98,15 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, block_rows: in
     )
 
 
-def in_mixed_order(docs: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
-    """``docs`` laid out in the order of the mixture, over ranges of slots; same columns, every row."""
+def in_mixed_order(docs: DataFrame, weights: dict[str, float] | None = None, places: bool = False) -> DataFrame:
+    """``docs`` laid out in the order of the mixture, over ranges of slots; same columns, every row.
+
+    Files that Spark reads again come in the order of their sizes. With ``places`` slot and place come
+    before the columns, so that stored rows can be put back into the order.
+    """
     mixed = mix(docs, weights).select("slot", "place", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    return mixed.repartitionByRange("slot", "place").sortWithinPartitions("slot", "place").select("row.*")
+    ordered = mixed.repartitionByRange("slot", "place").sortWithinPartitions("slot", "place")
+    return ordered.select(*(("slot", "place") if places else ()), "row.*")
 
 
 def mix_sql(block_rows: int = BLOCK_ROWS, period: int = PERIOD) -> str:

@@ -1,11 +1,12 @@
 import hashlib
+import math
 import struct
 
 from tokenizers import Tokenizer
 
 import __spark_entry__
 import corpus_pipeline
-from cohortry.llm.mixing import mix
+from cohortry.llm.mixing import BLOCK_ROWS, mix, quotas, schedule
 from cohortry.llm.quality import judge
 from cohortry.llm.queries import tokenizer_path
 
@@ -46,5 +47,27 @@ def test_stages_keep_the_columns_and_take_odd_tables(spark):
             out.collect()
 
 
+def test_places_of_the_mixture_are_in_the_result(spark, tmp_path):
+    sources = ("a",) * 6 + ("b",) * 2 + ("c",)
+    docs = documents(spark, *[(i, f"text {i}", None, sources[i % 9]) for i in range(400)])
+    of = {}
+    for i in range(400):
+        of.setdefault(sources[i % 9], []).append(i)
+    slots, period = quotas({s: math.sqrt(len(ids)) for s, ids in of.items()})
+    at = {(s, k): slot for s, k, slot in schedule(slots, period)}
+    want = {}
+    for s, ids in of.items():
+        for r, i in enumerate(sorted(ids, key=lambda i: hashlib.md5(str(i).encode()).hexdigest())):
+            block = r // BLOCK_ROWS
+            want[i] = (block // slots[s] * period + at[s, block % slots[s]], r % BLOCK_ROWS)
+    # Read again from several files, the largest of which is not the first.
+    corpus_pipeline.mixed(spark, docs, SMALL).filter("doc_id < 40 OR doc_id > 60").coalesce(1).write.parquet(f"{tmp_path}/docs")
+    docs.filter("doc_id BETWEEN 40 AND 60").write.mode("append").parquet(f"{tmp_path}/docs")
+    out = corpus_pipeline.encoded(spark, spark.read.parquet(f"{tmp_path}/docs"), SMALL)
+    assert [(r.slot, r.place) for r in out.collect()] == sorted(want.values())
+    out.repartition(3).write.parquet(f"{tmp_path}/out")
+    assert {r.doc_id: (r.slot, r.place) for r in spark.read.parquet(f"{tmp_path}/out").collect()} == want
+
+
 def test_registered():
     assert "pipeline" in __spark_entry__.queries() and "pipeline" not in __spark_entry__.oracle_sql()
