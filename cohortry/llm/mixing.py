@@ -4,7 +4,8 @@ The rows of a source, in the order of a hash of their ids, form blocks. With wei
 source is released at slot floor(i W / a) and due by slot ceil((i + 1) W / a); one block is served a slot,
 the earliest deadline first. All weights are shares of one period of W slots, after which releases and
 deadlines repeat, so one period is scheduled and every block finds its slot by arithmetic: no task ever
-walks the whole sequence. At any slot each source is less than one block from its target.
+walks the whole sequence. At any slot each source is less than one block from its share of the slots of a
+period; how near these are to the weights is said at ``quotas`` and ``even_quotas``.
 A source that has run out leaves its later slots empty; no row is dropped or repeated.
 """
 
@@ -12,6 +13,7 @@ from __future__ import annotations
 
 import heapq
 import math
+from fractions import Fraction
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,12 +21,43 @@ from pyspark.sql import functions as F
 from .common import fresh
 
 PERIOD, BLOCK_ROWS, CELL_ROWS = 1000, 16, 20_000
+EXACT_PERIOD = 100_000  # slots the driver schedules at most to meet weights exactly
 NO_SOURCE = "(none)"
 
 
-def quotas(weights: dict[str, float], period: int = PERIOD) -> tuple[dict[str, int], int]:
-    """Slots of each source in a period that are nearest to its weight, one at least, by largest
-    remainders. The period grows by whole multiples where there are more than a tenth as many sources."""
+def quotas(weights: dict[str, float | Fraction], period: int = PERIOD) -> tuple[dict[str, int], int]:
+    """Slots of each source in a period, and the period, for weights that are given.
+
+    Weights count as the decimals or fractions they are written as. Where their shares have a common
+    denominator of ``EXACT_PERIOD`` at most, the period is a multiple of it and every quota is exact, so a
+    source is less than a block from its weight at any slot. Otherwise a quota is nearest to its weight by
+    largest remainders, one at least, and the difference comes again in each period.
+    """
+    exact = {s: Fraction(str(w)) for s, w in weights.items()}
+    total = sum(exact.values())
+    common = math.lcm(*((w / total).denominator for w in exact.values()))
+    if common <= EXACT_PERIOD and min(exact.values()) > 0:
+        period = common * max(1, round(period / common))
+        return {s: int(period * w / total) for s, w in exact.items()}, period
+    period *= max(1, math.ceil(10 * len(weights) / period))
+    single: set[str] = set()
+    while True:  # sources below one slot get one, the others share what is left
+        left = sum(w for s, w in exact.items() if s not in single)
+        ideal = {s: (period - len(single)) * w / left for s, w in exact.items() if s not in single}
+        if not (below := {s for s, x in ideal.items() if x < 1}):
+            break
+        single |= below
+    slots = {s: 1 if s in single else math.floor(ideal[s]) for s in exact}
+    by_rest = sorted(ideal, key=lambda s: (math.floor(ideal[s]) - ideal[s], s))
+    for s in by_rest[: period - sum(slots.values())]:
+        slots[s] += 1
+    return slots, period
+
+
+def even_quotas(weights: dict[str, float], period: int = PERIOD) -> tuple[dict[str, int], int]:
+    """The rule of ``mix_sql``: one slot for each source and the rest of the period in proportion to its
+    weight, by largest remainders. The period grows by whole multiples where there are more than a tenth
+    as many sources. Sources with more than an even share get fewer slots than their weight says."""
     period *= max(1, math.ceil(10 * len(weights) / period))
     spare, total = period - len(weights), sum(weights.values())
     ideal = {s: spare * (w / total) for s, w in weights.items()}
@@ -59,7 +92,7 @@ def even_weights(docs: DataFrame) -> dict[str, float]:
     return {r["source"]: math.sqrt(r["n"]) for r in counts.collect()}
 
 
-def mix(docs: DataFrame, weights: dict[str, float] | None = None, block_rows: int = BLOCK_ROWS, period: int = PERIOD, cell_rows: int = CELL_ROWS) -> DataFrame:
+def mix(docs: DataFrame, weights: dict[str, float | Fraction] | None = None, block_rows: int = BLOCK_ROWS, period: int = PERIOD, cell_rows: int = CELL_ROWS) -> DataFrame:
     """``docs`` with block, release, due, slot and place (its row's number in the block).
 
     Sorted by (slot, place) the rows are the mixture. ``weights`` names the sources (a configuration, or
@@ -68,12 +101,13 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, block_rows: in
     table gives an empty result. Columns of ``docs`` with a result's name are replaced.
     """
     spark = docs.sparkSession
+    rule = even_quotas if weights is None else quotas
     weights = even_weights(docs) if weights is None else weights
     results = ("block", "release", "due", "slot", "place")
     docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in results])
     if not weights:
         return docs.withColumns({c: F.lit(None).cast("long") for c in results}).filter(F.lit(False))
-    slots, period = quotas(weights, period)
+    slots, period = rule(weights, period)
     name, hashed, cell, before, inside, quota, k, at = (fresh(docs, x) for x in ("mix_source", "mix_hash", "mix_cell", "mix_before", "mix_rank", "mix_quota", "mix_k", "mix_at"))
     cells = max(1, math.ceil(docs.count() / cell_rows))
     marked = docs.withColumn(name, F.coalesce("source", F.lit(NO_SOURCE))).withColumn(hashed, F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
@@ -98,7 +132,7 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, block_rows: in
     )
 
 
-def in_mixed_order(docs: DataFrame, weights: dict[str, float] | None = None, places: bool = False) -> DataFrame:
+def in_mixed_order(docs: DataFrame, weights: dict[str, float | Fraction] | None = None, places: bool = False) -> DataFrame:
     """``docs`` laid out in the order of the mixture, over ranges of slots; same columns, every row.
 
     Files that Spark reads again come in the order of their sizes. With ``places`` slot and place come

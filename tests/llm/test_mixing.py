@@ -4,7 +4,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from cohortry.llm.mixing import in_mixed_order, mix, quotas, schedule
+from cohortry.llm.mixing import even_quotas, in_mixed_order, mix, quotas, schedule
 
 from .data import documents, rows
 
@@ -23,6 +23,37 @@ def test_every_source_is_less_than_a_block_from_its_target(weights, period):
         assert all(abs(served[x] - Fraction(slots[x] * (t + 1), period)) < 1 for x in slots)
 
 
+@pytest.mark.parametrize("weights", [
+    {"hot": 0.333, "rare": 0.001, **{f"s{k}": Fraction(666, 98000) for k in range(98)}},
+    {"half": 0.5, **{f"s{k}": Fraction(1, 198) for k in range(99)}}, {"a": 1, "b": 2, "c": 4}, {"a": 0.95, "b": 0.05},
+])
+def test_given_weights_are_met_within_a_block_over_many_periods(weights):
+    slots, period = quotas(weights, 100)
+    plan, total = schedule(slots, period), sum(Fraction(str(w)) for w in weights.values())
+    served = dict.fromkeys(slots, 0)
+    for t in range(3 * period):
+        s = plan[t % period][0]
+        served[s] += 1
+        if t % 97 == 0 or t >= 3 * period - 50:
+            assert all(abs(served[x] - Fraction(str(weights[x])) / total * (t + 1)) < 1 for x in slots)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.floats(0.01, 100), min_size=1, max_size=12), st.sampled_from([10, 100, 250]))
+def test_slots_are_nearest_to_weights_without_a_common_period(weights, period):
+    slots, period = quotas({f"s{k}": w for k, w in enumerate(weights)}, period)
+    total = sum(weights)
+    if all(period * w >= total * 1.01 for w in weights):
+        assert all(abs(slots[f"s{k}"] - period * w / total) < 1 + 1e-9 for k, w in enumerate(weights))
+    assert sum(slots.values()) == sum(even_quotas({f"s{k}": w for k, w in enumerate(weights)}, period)[0].values())
+
+
+def test_mix_meets_given_weights(spark):
+    docs = documents(spark, *[(i, f"t{i}", None, "big" if i % 10 else "small") for i in range(400)])
+    slots = [r.slot for r in mix(docs, {"big": 0.9, "small": 0.1}, block_rows=1, period=10).filter("source = 'big' AND block < 360").collect()]
+    assert max(slots) < 400
+
+
 def test_rows_and_order(spark):
     docs = documents(spark, *[(i, f"t{i}", None, "big" if i % 3 else "small") for i in range(300)], (None, None, None, None), (7, "again", None, "big"))
     got = mix(docs, {"big": 3, "small": 1, "(none)": 0.5}, block_rows=4, period=20, cell_rows=10)

@@ -6,7 +6,7 @@ from tokenizers import Tokenizer
 
 import __spark_entry__
 import corpus_pipeline
-from cohortry.llm.mixing import BLOCK_ROWS, mix, quotas, schedule
+from cohortry.llm.mixing import BLOCK_ROWS, even_quotas, mix, schedule
 from cohortry.llm.quality import judge
 from cohortry.llm.queries import tokenizer_path
 
@@ -53,7 +53,7 @@ def test_places_of_the_mixture_are_in_the_result(spark, tmp_path):
     of = {}
     for i in range(400):
         of.setdefault(sources[i % 9], []).append(i)
-    slots, period = quotas({s: math.sqrt(len(ids)) for s, ids in of.items()})
+    slots, period = even_quotas({s: math.sqrt(len(ids)) for s, ids in of.items()})
     at = {(s, k): slot for s, k, slot in schedule(slots, period)}
     want = {}
     for s, ids in of.items():
