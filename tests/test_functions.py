@@ -107,6 +107,24 @@ def test_column_names(spark):
     assert clean.rename_drop(df.toDF("p", "obsdate_q", "r"), {"p": "s"}, ["R"], "obsdate").columns == ["s"]
 
 
+def test_tails_with_very_many_degrees_of_freedom(monkeypatch):
+    assert tails.f_tail(1.0, 4, 1e12) == pytest.approx(3 * math.exp(-2), rel=1e-9)
+    assert tails.f_tail(1.0, 1e12, 4) == pytest.approx(1 - 3 * math.exp(-2), rel=1e-9)
+    assert tails.t_two_sided(2.0, 1e12) == pytest.approx(math.erfc(math.sqrt(2)), rel=1e-9)
+    assert tails.chi2_tail(1e12, 1e12) == pytest.approx(0.5 - 2 / 3 / math.sqrt(4e12 * math.pi), abs=1e-9)
+    assert tails.f_tail(1.0, 1e12, 1e12) == pytest.approx(0.5, abs=1e-9)
+    for many in (tails.chi2_tail, tails.t_two_sided):
+        stat = {tails.chi2_tail: 1.0002e7, tails.t_two_sided: 3.0}[many]
+        assert many(stat, 1e7) == pytest.approx(many(stat, 1e7 + 1), rel=1e-3 if many is tails.chi2_tail else 1e-6)
+    for few in (1, 4, 1000, 30000, 5e6):
+        stat = 1 + 1 / math.sqrt(few)
+        assert tails.f_tail(stat, few, 1e7) == pytest.approx(tails.f_tail(stat, few, 1e7 + 1), rel=1e-5)
+        assert tails.f_tail(stat, 1e7, few) == pytest.approx(tails.f_tail(stat, 1e7 + 1, few), rel=1e-5)
+    monkeypatch.setattr(tails, "_STEPS", 3)
+    with pytest.raises(ArithmeticError, match="did not converge"):
+        tails.f_tail(1.0, 400, 1e6)
+
+
 def test_tails():
     assert tails.chi2_tail(3.841458820694124, 1) == pytest.approx(0.05, abs=1e-12)
     assert tails.chi2_tail(10.0, 2) == pytest.approx(math.exp(-5), rel=1e-12)
