@@ -162,7 +162,7 @@ def _(v: Views):
 @query("export_delimited", "SELECT patid, gender, yob, regstartdate FROM patient")
 def _(v: Views):
     df = v.patient.select("patid", "gender", "yob", "regstartdate")
-    folder = tables.export_delimited(df, shared_dir(v.spark), sep="\t", single_file=True)
+    folder = tables.export_delimited(df, shared_dir(v.spark), sep="\t")
     return extracts.read_csv_typed(v.spark, folder, df.schema, sep="\t")
 
 

@@ -1,8 +1,11 @@
 import pytest
 
+from cohortry.plans import QUERIES
 from cohortry.session import shared_dir
 from cohortry.sources import codelists, extracts, tables
 
+from .conftest import SMALL
+
 SCHEMA_XML = """<schema><columns>
 <datacolumn><displayname>Value</displayname><header>value</header><columnposition>3</columnposition></datacolumn>
 <datacolumn><displayname>Patient</displayname><header>patid</header><columnposition>1</columnposition></datacolumn>
@@ -140,3 +143,8 @@ def test_materialise_reads_back_what_was_stored(spark):
 def test_schemas_are_not_merged_on_writing_parquet(spark, tmp_path):
     with pytest.raises(ValueError):
         tables.write_table(spark.range(1), str(tmp_path / "t"), merge_schema=True)
+
+
+def test_export_query_is_written_in_parallel(spark, monkeypatch):
+    monkeypatch.setattr(type(spark.range(1)), "coalesce", lambda self, n: pytest.fail("one task writes the table"))
+    assert QUERIES["export_delimited"](spark, SMALL).count() > 0
