@@ -164,17 +164,29 @@ def few_valued(df: DataFrame, names: Sequence[str], limit: int = 20) -> list[str
 
 
 def index_categories(df: DataFrame, names: Sequence[str] | None = None, limit: int = 20, keep: Iterable[str] = ()) -> DataFrame:
-    """Replace each few-valued column by its index, the most frequent value being 0 (ties by text)."""
+    """Replace each few-valued column by its index, the most frequent value being 0 (ties by text).
+
+    The other columns become numbers: text a double, null where it is no number, and booleans 0 or 1.
+    Numbers keep their types, so that long ids stay whole; dates and nested columns stay as they are.
+    """
     keep = set(keep)
-    todo = few_valued(df, [c for c in (names or df.columns) if c not in keep], limit)
+    asked = list(names or df.columns)
+    todo = few_valued(df, [c for c in asked if c not in keep], limit)
+    kinds = dict(df.dtypes)
+
+    def number(c: str) -> Column:
+        if c in asked and kinds[c] in ("string", "boolean"):
+            return F.col(f"`{c}`").try_cast("double" if kinds[c] == "string" else "int").alias(c)
+        return F.col(f"`{c}`")
+
     if not todo:
-        return df
+        return df.select(*[number(c) for c in df.columns])
     texts = df.withColumns({c: F.col(c).cast("string") for c in todo})
     model = StringIndexer(
         inputCols=todo, outputCols=[f"{c}__index" for c in todo], handleInvalid="keep", stringOrderType="frequencyDesc"
     ).fit(texts)
     out = model.transform(texts)
-    return out.select(*[F.col(f"{c}__index").cast("int").alias(c) if c in todo else F.col(f"`{c}`") for c in df.columns])
+    return out.select(*[F.col(f"{c}__index").cast("int").alias(c) if c in todo else number(c) for c in df.columns])
 
 
 def dedupe_column_names(df: DataFrame, suffix: str = "_dup") -> DataFrame:

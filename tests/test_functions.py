@@ -95,6 +95,15 @@ def test_index_by_frequency_then_text(spark):
     assert rows == {1.5: 0, 2.5: 0, 3.5: 1, 4.5: 2}
 
 
+def test_columns_that_are_not_indexed_become_numbers(spark):
+    rows = [(str(i % 3), f"{i}.5" if i else "none", i % 2 == 0, i) for i in range(30)]
+    df = spark.createDataFrame(rows, "k string, x string, b boolean, id long")
+    out = clean.index_categories(df, keep=["b"])
+    assert out.dtypes == [("k", "int"), ("x", "double"), ("b", "int"), ("id", "bigint")]
+    assert {r.id: (r.x, r.b) for r in out.collect()} == {i: (i + 0.5 if i else None, 1 - i % 2) for i in range(30)}
+    assert clean.index_categories(df.select("x")).dtypes == [("x", "double")]
+
+
 def test_only_few_valued_columns_are_indexed(spark):
     df = spark.range(100).select((F.col("id") % 19).alias("few"), (F.col("id") % 20).alias("edge"), "id")
     assert clean.few_valued(df, ["few", "edge", "id"]) == ["few"]
