@@ -241,6 +241,19 @@ def _(v: Views):
     return rounded(rows, "missing_percent", "minimum", "q1", "median", "q3", "maximum")
 
 
+PROFILE_MODES = PROFILE.replace("distinct_values, mode_count,", "distinct_values, mode, mode_count,").replace(
+    "coalesce(string_agg(", "first(level ORDER BY n DESC, level DESC) FILTER (WHERE level IS NOT NULL) AS mode, coalesce(string_agg(")
+# The 25 nations are too many for a factor.
+PROFILE_MODES = PROFILE_MODES.replace("ELSE 'factor' END", "WHEN b.variable = 'nation' THEN 'string' ELSE 'factor' END").replace("NOT IN ('c_acctbal', 'age')", "NOT IN ('c_acctbal', 'age', 'nation')")
+PROFILE_LONG_ALL = PROFILE_LONG + " UNION ALL SELECT 'nation', nation FROM customers"
+
+
+@query("profile_columns_modes", PROFILE_MODES, **C, profile_long=PROFILE_LONG_ALL, profile_counts=PROFILE_COUNTS, five=FIVE)
+def _(v: Views):
+    """Every column, and the mode: the level with most rows, the last by text among equals."""
+    return rounded(describe.profile_columns(customers(v), rare=250), "missing_percent", "minimum", "q1", "median", "q3", "maximum")
+
+
 def _effect_rows(v: Views) -> DataFrame:
     """High price by order status, with the priority as the only covariate."""
     return v.table("orders").selectExpr(
