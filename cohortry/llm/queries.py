@@ -11,6 +11,7 @@ from .bpe import encoded_digests
 from .chat import format_conversations, read_back, with_odd_conversation
 from .exact_dedup import exact_groups
 from .language import identify
+from .merkle import manifest, manifest_sql, tampered_thirds
 from .mixing import mix, mix_sql
 from .quality import judge, judge_sql
 from .secrets import secret_digests
@@ -110,3 +111,12 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op9_chat_format"] = op9_chat_format
+
+
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir)
+    return manifest(docs, tampered_thirds(docs))
+
+
+QUERIES["op11_merkle_manifest"] = op11_merkle_manifest
+ORACLES["op11_merkle_manifest"] = manifest_sql()

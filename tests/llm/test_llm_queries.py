@@ -28,4 +28,4 @@ def test_same_as_sql(spark, duck, name):
 
 
 def test_names():
-    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 14))
