@@ -18,6 +18,7 @@ from .secrets import secret_digests
 from .sharding import shards, shards_sql
 from .simhash import near_groups
 from .substrings import cut_repeats
+from .topk import top_k, top_k_sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -120,3 +121,11 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES["op11_merkle_manifest"] = op11_merkle_manifest
 ORACLES["op11_merkle_manifest"] = manifest_sql()
+
+
+def op12_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES["op12_exact_topk"] = op12_exact_topk
+ORACLES["op12_exact_topk"] = top_k_sql()
