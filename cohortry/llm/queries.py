@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .bpe import encoded_digests
 from .chat import format_conversations, read_back, with_odd_conversation
+from .collocation import collocations, collocations_sql
 from .exact_dedup import exact_groups
 from .language import identify
 from .merkle import manifest, manifest_sql, tampered_thirds
@@ -129,3 +130,11 @@ def op12_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES["op12_exact_topk"] = op12_exact_topk
 ORACLES["op12_exact_topk"] = top_k_sql()
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir))
+
+
+QUERIES["op13_collocations"] = op13_collocations
+ORACLES["op13_collocations"] = collocations_sql()
