@@ -28,7 +28,7 @@ from .common import ranked
 
 LEAST, LONGEST, TOP, COVERED, NO_LANG = 30, 4, 2000, 80, "und"
 # Sizes of work at a time; results do not depend on them.
-SHARD_WORDS, PART_ENTRIES, SHARDS_A_FILE, SALT = 1 << 20, 1 << 21, 8, 64
+SHARD_WORDS, OPEN_WORDS, PART_ENTRIES, SHARDS_A_FILE, SALT = 1 << 20, 1 << 22, 1 << 22, 8, 64
 # The end of a piece; a full stop is no part of any word.
 STOP = b"."
 _PIECES = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t.,;:!?\n\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz " + STOP * 10)
@@ -189,12 +189,13 @@ def _load_numbers(data: bytes) -> np.ndarray:
 
 def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Whole texts of one language, up to about SHARD_WORDS words: words, their counts, and the texts as
-    numbers of these words from 1, with 0 at the end of each piece."""
+    numbers of these words from 1, with 0 at the end of each piece. All shards of a task are closed when
+    they hold OPEN_WORDS, however many languages there are."""
     base, number = TaskContext.get().partitionId() << 32, count()
     open_: dict[str, list] = {}
 
     def closed(lang: str) -> pa.RecordBatch | None:
-        vocabulary, parts = open_.pop(lang)
+        vocabulary, parts, _ = open_.pop(lang)
         ids = np.concatenate(parts)
         n = np.bincount(ids, minlength=len(vocabulary))
         if n[1:].sum() == 0:
@@ -215,15 +216,16 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if langs[k] not in open_:
                 vocabulary = defaultdict(count().__next__)
                 vocabulary[STOP]
-                open_[langs[k]] = [vocabulary, []]
-            vocabulary, parts = open_[langs[k]]
+                open_[langs[k]] = [vocabulary, [], 0]
+            vocabulary, parts, own = open_[langs[k]]
             parts += [np.fromiter(map(vocabulary.__getitem__, found), np.uint32, len(found)), np.zeros(1, np.uint32)]
+            open_[langs[k]][2] = own + len(found)
             held += len(found)
-            if held >= SHARD_WORDS:
-                for lang in list(open_):
-                    if (row := closed(lang)) is not None:
-                        yield row
-                held = 0
+            full = list(open_) if held >= OPEN_WORDS else [langs[k]] if own + len(found) >= SHARD_WORDS else []
+            for lang in full:
+                held -= open_[lang][2]
+                if (row := closed(lang)) is not None:
+                    yield row
     for lang in list(open_):
         if (row := closed(lang)) is not None:
             yield row
@@ -298,18 +300,23 @@ def _merge(n: int, bits: int, least: int, last: bool):
         filters = [load_filter(x) for x in table["data"].to_pylist()]
         half, _, part_bits = np.frombuffer(table["data"][0].as_py(), "<i8", 3).tolist()
         hi, lo, counts = (np.concatenate(x) for x in zip(*filters))
-        hi, lo, counts = summed(hi, lo, counts, half)
-        often = counts >= least
-        hi, lo, counts = hi[often], lo[often], counts[often]
-        shards, data = [-1], [store_filter(hi, lo, counts, half, part_bits, part)]
-        if not last and len(hi):
-            for shard, (a, b, c) in zip(table["shard"].to_pylist(), filters):
-                own = member(a, b, hi, lo, half)
+        order, head = _sorted(hi, lo, half)
+        at = np.flatnonzero(head)
+        totals = np.add.reduceat(counts[order], at)
+        often = totals >= least
+        first = order[at[often]]
+        shards, data = [], []
+        if len(first):
+            shards.append(-1)
+            data.append(store_filter(hi[first], lo[first], totals[often], half, part_bits, part))
+        if not last and len(first):
+            stays = np.zeros(len(order), bool)
+            stays[order] = often[np.cumsum(head) - 1]
+            ends = np.cumsum([len(f[0]) for f in filters])
+            for shard, (a, b, c), own in zip(table["shard"].to_pylist(), filters, np.split(stays, ends[:-1])):
                 if own.any():
                     shards.append(shard)
                     data.append(store_filter(a[own], b[own], c[own], half, part_bits, part))
-        if not len(hi):
-            shards, data = [], []
         m = len(shards)
         return pa.table({"lang": pa.array([lang] * m, pa.string()), "shard": pa.array(shards, pa.int64()), "data": pa.array(data, pa.binary())})
 

@@ -72,6 +72,7 @@ def answer(df):
 @pytest.mark.parametrize("shard_words,part_entries", [(1 << 20, 1 << 21), (60, 8)])
 def test_same_as_brute_force(spark, monkeypatch, shard_words, part_entries):
     monkeypatch.setattr(collocation, "SHARD_WORDS", shard_words)
+    monkeypatch.setattr(collocation, "OPEN_WORDS", 3 * shard_words)
     monkeypatch.setattr(collocation, "PART_ENTRIES", part_entries)
     r = random.Random(5)
     vocabulary = ["the", "The", "of", "naïve", "été", "x y", "a\x1cb", "\x00", "red", "fox", "über", "日本"]
