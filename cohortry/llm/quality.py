@@ -4,18 +4,23 @@ Each rule votes for (1) or against (-1) a document or abstains (0). Expectation-
 counts of vote patterns estimates how often each rule is right and how common good documents are; a
 document is kept when its posterior probability of being good is at least one half. Everything is a
 DataFrame or SQL expression: the counts of a text are array functions inside its row, the patterns (at
-most 3 to the number of rules) one small aggregate, and the estimation one fold over that aggregate.
+most 3 to the number of rules) one small aggregate, and the estimation one fold over that aggregate. A
+text of more than ``LONG_BYTES`` is cut into slices at word ends, and what its row would hold as arrays is
+counted over rows of words and lines instead, with the same result.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.tables import materialise
 from .common import WORD_GAP, WORD_SPACE, fresh, whole
 
 SYMBOLS = "#*$%&|<>"
 LEAST_WORDS = 50
+# Texts up to so many bytes are counted inside their rows; slices of longer ones have so many characters.
+LONG_BYTES, SLICE_CHARS = 1 << 20, 1 << 16
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 # Rule, vote for, vote against; neither: it abstains. {0} stands for the struct of counts.
 RULES = (
@@ -36,13 +41,71 @@ def _number_of(text: Column, letters: str) -> Column:
     return F.length(text) - F.length(F.translate(text, letters, ""))
 
 
+def _words(text: Column) -> Column:
+    trimmed = F.btrim(text, F.lit(WORD_SPACE))
+    return F.when(trimmed == "", F.expr("CAST(array() AS array<string>)")).otherwise(F.split(trimmed, WORD_GAP))
+
+
+def _lines(text: Column) -> Column:
+    """The lines that have a word."""
+    return F.filter(F.split(text, "\n"), lambda x: F.btrim(x, F.lit(WORD_SPACE)) != "")
+
+
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+def _sums(text: Column) -> list[Column]:
+    """The counts that can be added up over slices of a text."""
+    return [
+        F.length(F.translate(text, WORD_SPACE, "")).cast("long").alias("word_chars"),
+        *[_number_of(text, letters).cast("long").alias(n) for n, letters in (("n_symbols", SYMBOLS), ("n_upper", UPPER), ("n_lower", UPPER.lower()), ("n_marks", "!?"))],
+    ]
+
+
+FIELDS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_lower", "n_marks")
+
+
 def with_counts(docs: DataFrame, name: str) -> DataFrame:
     """``docs`` with the struct ``name`` of what the rules look at."""
+    long_text = F.coalesce(F.octet_length("text") > LONG_BYTES, F.lit(False))
+    row = fresh(docs, f"{name}_row")
+    found = materialise(docs.filter(long_text).withColumn(row, F.monotonically_increasing_id()))
+    short = _counts_in_row(docs.filter(~long_text), name)
+    if found.isEmpty():
+        return short
+    counts = _counts_of_slices(found.select(F.col(row).alias("row"), "text")).select(F.col("row").alias(row), F.struct(*FIELDS).alias(name))
+    return short.unionByName(found.join(counts, row).drop(row))
+
+
+def _counts_of_slices(texts: DataFrame) -> DataFrame:
+    """The counts of each row of ``texts`` (row, text): a row for every slice, window and line."""
+    gap = r"\x20\x09-\x0D"
+    # A slice ends where a word ends; the two words that follow come with it, for windows over its end.
+    pattern = rf"(?s)(.{{1,{SLICE_CHARS}}}+[^{gap}]*+)(?=((?:[{gap}]*+[^{gap}]++){{0,2}}))"
+    cut = F.arrays_zip(F.regexp_extract_all("text", F.lit(pattern), F.lit(1)).alias("own"), F.regexp_extract_all("text", F.lit(pattern), F.lit(2)).alias("next"))
+    slices = texts.select("row", F.posexplode(cut).alias("k", "x")).select("row", "k", "x.own", "x.next")
+    slices = materialise(slices.withColumn("n", F.size(_words(F.col("own"))).cast("long")))
+    sums = slices.select("row", "n", *_sums(F.col("own"))).groupBy("row").agg(F.sum("n").alias("n_words"), *[F.sum(c).alias(c) for c in ("word_chars", "n_symbols", "n_upper", "n_lower", "n_marks")])
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("row").orderBy("k").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = slices.select("row", "k", before.alias("start"))
+    spelled = slices.join(starts, ["row", "k"]).select("row", "start", _words(F.concat("own", "next")).alias("w"))
+    windows = F.transform(F.sequence(F.lit(0), F.size("w") - 3), lambda i: F.xxhash64(F.get("w", i), F.get("w", i + 1), F.get("w", i + 2)))
+    places = spelled.filter(F.size("w") >= 3).select("row", "start", F.posexplode(windows).alias("i", "h")).select("row", "h", (F.col("start") + F.col("i")).alias("at"))
+    twice = places.withColumn("c", F.count(F.lit(1)).over(Window.partitionBy("row", "h"))).filter("c > 1")
+    step = F.lead("at").over(Window.partitionBy("row").orderBy("at")) - F.col("at")
+    repeated = twice.select("row", F.least(F.lit(3).cast("long"), F.coalesce(step, F.lit(3).cast("long"))).alias("c")).groupBy("row").agg(F.sum("c").alias("n_repeat_words"))
+    blocks = F.regexp_extract_all("text", F.lit(rf"(?s).{{1,{SLICE_CHARS}}}+[^\n]*+"), F.lit(0))
+    # A block after the first begins with the line end that closed the one before.
+    lines = texts.select("row", F.explode(blocks).alias("own")).select("row", F.explode(_lines(F.col("own"))).alias("line"))
+    lines = lines.groupBy("row", "line").agg(F.count(F.lit(1)).alias("c")).groupBy("row").agg(F.sum("c").alias("n_lines"), F.sum(F.col("c") - 1).alias("n_dup_lines"))
+    out = sums.join(repeated, "row", "left").join(lines, "row", "left")
+    return out.select("row", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in FIELDS])
+
+
+def _counts_in_row(docs: DataFrame, name: str) -> DataFrame:
     text, words, order, spots = (fresh(docs, f"{name}_{x}") for x in ("text", "words", "order", "spots"))
-    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
     df = docs.withColumn(text, whole())
-    trimmed = F.btrim(F.col(text), F.lit(WORD_SPACE))
-    df = df.withColumn(words, F.when(trimmed == "", F.expr("CAST(array() AS array<string>)")).otherwise(F.split(trimmed, WORD_GAP)))
+    df = df.withColumn(words, _words(F.col(text)))
     w = F.col(words)
     # Windows of three words by hash and place, in the order of the hashes; equal ones are neighbours.
     windows = F.transform(F.sequence(F.lit(0), F.size(w) - 3), lambda i: F.struct(F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)).alias("h"), i.alias("i")))
@@ -52,21 +115,15 @@ def with_counts(docs: DataFrame, name: str) -> DataFrame:
     df = df.withColumn(spots, F.sort_array(F.transform(twice, lambda x: x["i"])))
     s = F.col(spots)
     covered = F.aggregate(F.transform(s, lambda p, k: F.least(F.lit(3), F.coalesce(F.get(s, k + 1) - p, F.lit(3)))), F.lit(0), lambda a, b: a + b)
-    lines = F.filter(F.split(F.col(text), "\n"), lambda x: F.btrim(x, F.lit(WORD_SPACE)) != "")
     line_list = fresh(docs, f"{name}_lines")
-    df = df.withColumn(line_list, lines)
+    df = df.withColumn(line_list, _lines(F.col(text)))
+    counts = {
+        "n_words": F.size(w), "n_dup_lines": F.size(line_list) - F.size(F.array_distinct(line_list)),
+        "n_repeat_words": F.coalesce(covered, F.lit(0)), "n_lines": F.size(line_list),
+    }
+    sums = dict(zip(("word_chars", "n_symbols", "n_upper", "n_lower", "n_marks"), _sums(F.col(text))))
     # One row from one row: behind a generator the struct is made once, however often it is looked at.
-    return df.withColumn(name, F.explode(F.array(F.struct(
-        F.size(w).cast("long").alias("n_words"),
-        F.length(F.translate(F.col(text), WORD_SPACE, "")).cast("long").alias("word_chars"),
-        _number_of(F.col(text), SYMBOLS).cast("long").alias("n_symbols"),
-        (F.size(line_list) - F.size(F.array_distinct(line_list))).cast("long").alias("n_dup_lines"),
-        F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"),
-        F.size(line_list).cast("long").alias("n_lines"),
-        _number_of(F.col(text), upper).cast("long").alias("n_upper"),
-        _number_of(F.col(text), upper.lower()).cast("long").alias("n_lower"),
-        _number_of(F.col(text), "!?").cast("long").alias("n_marks"),
-    )))).drop(text, words, order, spots, line_list)
+    return df.withColumn(name, F.explode(F.array(F.struct(*[(sums[c] if c in sums else counts[c].cast("long")).alias(c) for c in FIELDS])))).drop(text, words, order, spots, line_list)
 
 
 def votes(counts: str) -> Column:
@@ -122,8 +179,6 @@ def judge(docs: DataFrame) -> DataFrame:
     A null or empty text has no words, so it fails the base and is not kept. Repeated rows are judged
     alike, each on its own. An empty table gives an empty result. Only doc_id and text are read.
     """
-    from ..sources.tables import materialise
-
     counted = materialise(with_counts(docs.select("doc_id", "text"), "counts").select("doc_id", "counts", votes("counts").alias("votes")))
     return (
         counted.join(F.broadcast(fit(counted)), "votes")  # at most 3 ** len(RULES) patterns
@@ -133,12 +188,16 @@ def judge(docs: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """``docs`` without the rows that ``judge`` rejects, same columns."""
-    counts, pattern, chance = fresh(docs, "counts"), fresh(docs, "pattern"), fresh(docs, "chance")
-    counted = with_counts(docs, counts).withColumn(pattern, votes(counts))
-    model = fit(with_counts(docs.select("doc_id", "text"), "counts").select(votes("counts").alias("votes")))
-    judged = counted.join(F.broadcast(model.select(F.col("votes").alias(pattern), F.col("posterior").alias(chance))), pattern)
-    return judged.filter(~base_failed(counts) & (F.col(chance) >= 0.5)).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """``docs`` without the rows that ``judge`` rejects, same columns.
+
+    Every text is counted once: rows are stored with their votes, and read again when the model is known.
+    """
+    counts, pattern, chance, failed = (fresh(docs, x) for x in ("counts", "pattern", "chance", "failed"))
+    counted = with_counts(docs, counts).withColumns({pattern: votes(counts), failed: base_failed(counts)}).drop(counts)
+    counted = materialise(counted)
+    model = fit(counted.select(F.col(pattern).alias("votes")))
+    judged = counted.filter(~F.col(failed)).join(F.broadcast(model.select(F.col("votes").alias(pattern), F.col("posterior").alias(chance))), pattern)
+    return judged.filter(F.col(chance) >= 0.5).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def judge_sql() -> str:

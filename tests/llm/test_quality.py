@@ -1,5 +1,8 @@
 import re
 
+import pytest
+
+from cohortry.llm import quality
 from cohortry.llm.quality import COUNTS, RULES, fit, judge, keep_good, votes, with_counts
 
 from .data import documents, rows
@@ -45,3 +48,14 @@ def test_stage_keeps_columns_and_agrees_with_the_verdict(spark):
     assert kept.columns == docs.columns
     assert rows(kept, "doc_id") == rows(judge(docs).filter("kept"), "doc_id")
     assert votes("c") is not None and with_counts(docs, "counts").columns[-1] == "counts"
+
+
+@pytest.mark.parametrize("slice_chars", [3, 40, 1 << 16])
+def test_sliced_texts_are_counted_alike(spark, monkeypatch, slice_chars):
+    monkeypatch.setattr(quality, "LONG_BYTES", 20)
+    monkeypatch.setattr(quality, "SLICE_CHARS", slice_chars)
+    texts = [*TEXTS[:8], "word " * 400, "#" * 3000, " \n" * 50 + "one", "\nx y\n\n" + "a b c\n" * 9 + "tail " + " " * 99, GOOD.replace(" ", "\n")]
+    docs = documents(spark, *enumerate(texts), (0, GOOD))
+    got = rows(judge(docs), "doc_id", *COUNTS)
+    assert got == [(i, *plain(t)) for i, t in sorted([*enumerate(texts), (0, GOOD)], key=lambda r: r[0])]
+    assert rows(keep_good(docs), *docs.columns) == rows(docs.join(judge(docs).filter("kept").select("doc_id").distinct(), "doc_id"), *docs.columns)
