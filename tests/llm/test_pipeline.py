@@ -1,17 +1,17 @@
 import hashlib
-import math
 import struct
 
 from tokenizers import Tokenizer
 
 import __spark_entry__
 import corpus_pipeline
-from cohortry.llm.mixing import BLOCK_ROWS, even_quotas, mix, schedule
+from cohortry.llm.mixing import BLOCK_ROWS, even_weights, mix
 from cohortry.llm.quality import judge
 from cohortry.llm.queries import tokenizer_path
 
 from ..conftest import SMALL
 from .data import documents
+from .test_mixing import plain_schedule
 from .test_simhash import brute, plain
 
 
@@ -53,13 +53,13 @@ def test_places_of_the_mixture_are_in_the_result(spark, tmp_path):
     of = {}
     for i in range(400):
         of.setdefault(sources[i % 9], []).append(i)
-    slots, period = even_quotas({s: math.sqrt(len(ids)) for s, ids in of.items()})
-    at = {(s, k): slot for s, k, slot in schedule(slots, period)}
+    names = sorted(of)
+    weights = even_weights({s: len(ids) for s, ids in of.items()})
+    at = {(names[k], i): slot for k, i, slot in plain_schedule([weights[s] for s in names], 2000)}
     want = {}
     for s, ids in of.items():
         for r, i in enumerate(sorted(ids, key=lambda i: hashlib.md5(str(i).encode()).hexdigest())):
-            block = r // BLOCK_ROWS
-            want[i] = (block // slots[s] * period + at[s, block % slots[s]], r % BLOCK_ROWS)
+            want[i] = (at[s, r // BLOCK_ROWS], r % BLOCK_ROWS)
     # Read again from several files, the largest of which is not the first.
     corpus_pipeline.mixed(spark, docs, SMALL).filter("doc_id < 40 OR doc_id > 60").coalesce(1).write.parquet(f"{tmp_path}/docs")
     docs.filter("doc_id BETWEEN 40 AND 60").write.mode("append").parquet(f"{tmp_path}/docs")
