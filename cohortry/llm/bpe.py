@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import gc
 import json
+import os
 import re
 import struct
 import sys
@@ -33,7 +34,7 @@ from tokenizers import Regex, normalizers, pre_tokenizers
 from .common import fresh, whole
 
 # Bounds of the caches of one Python worker; a full one starts anew, results do not depend on them.
-CACHED_CHUNKS, CACHED_WORDS, CACHED_PREFIXES, CACHED_STEPS = 250_000, 250_000, 400_000, 400_000
+CACHED_CHUNKS, CACHED_WORDS, CACHED_PREFIXES, CACHED_STEPS = 250_000, 100_000, 200_000, 200_000
 # Only pieces up to so many bytes are kept in a cache.
 SHARED_BYTES = 48
 # Texts below this code point (Latin letters) take a shorter pattern.
@@ -80,6 +81,8 @@ class Automaton:
 
     def __init__(self, vocab: dict[str, int], merges: list[tuple[str, str]], suffix: str, special: dict[str, int], pattern: str):
         self.special, self.pattern = special, pattern
+        # What all special strings begin with; None without any. Empty: any text may hold one.
+        self.mark = os.path.commonprefix(list(special)).encode() if special else None
         self.classes = {name: class_members(name) for name in (r"\p{L}", r"\p{N}", r"\s")}
         self.lower = lower_differences()
         size = max([*vocab.values(), *special.values()]) + 1
@@ -116,7 +119,7 @@ class Automaton:
         self.steps: dict[int, bool] = {}
         self.states: dict[bytes, int] = {}
         self.of_word: dict[bytes, list[int]] = {}
-        self.coded: dict[bytes, tuple[bytes, str]] = {}
+        self.coded: dict[bytes, bytes] = {}
         self.narrow, self.wide = word_pattern(self.pattern, self.classes, NARROW), None
         self.marks = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
 
@@ -212,26 +215,30 @@ class Automaton:
     def encode(self, text: bytes) -> tuple[bytes, str]:
         """(ids as little-endian unsigned 32-bit integers, their labels joined by a space)."""
         # ASCII letters may be lowered at once, unless that could make a special string of another one.
-        chunks = (text if b"<|" in text else text.lower()).split()
+        chunks = (text.lower() if self.mark is None or self.mark and self.mark not in text else text).split()
         coded = self.coded
         if len(coded) >= CACHED_CHUNKS:
             coded.clear()
         found = list(map(coded.get, chunks))
         if None in found:
-            own: dict[bytes, tuple[bytes, str]] = {}  # long pieces are not kept beyond their text
+            own: dict[bytes, bytes] = {}  # long pieces are not kept beyond their text
             for k, c in enumerate(chunks):
                 if found[k] is None:
-                    found[k] = coded.get(c) or own.get(c) or self._code(c, coded if len(c) <= SHARED_BYTES else own)
-        return b"".join([f[0] for f in found]), " ".join([f[1] for f in found if f[1]])
-
-    def _code(self, chunk: bytes, into: dict[bytes, tuple[bytes, str]]) -> tuple[bytes, str]:
+                    code = coded.get(c)
+                    if code is None:
+                        code = own.get(c)
+                    found[k] = self._code(c, coded if len(c) <= SHARED_BYTES else own) if code is None else code
+        ids = b"".join(found)
+        return ids, self.decode(struct.unpack(f"<{len(ids) // 4}I", ids))
+
+    def _code(self, chunk: bytes, into: dict[bytes, bytes]) -> bytes:
         ids = self.encode_chunk(chunk)
-        into[chunk] = code = struct.pack(f"<{len(ids)}I", *ids), self.decode(ids)
+        into[chunk] = code = struct.pack(f"<{len(ids)}I", *ids)
         return code
 
     def decode(self, ids) -> str:
         """The labels of the arcs, joined by a space: what a tokenizer file without a decoder asks for."""
-        return " ".join([self.labels[i] for i in ids])
+        return " ".join(map(self.labels.__getitem__, ids))
 
 
 def load_automaton(path: str) -> Automaton:
@@ -266,12 +273,15 @@ def encode_texts(docs: DataFrame, path: str, ids: str = "token_ids", decoded: st
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = compiled.value
         gc.disable()  # nothing here makes cycles, and going through the caches again and again is dear
-        for batch in batches:
-            for start in range(0, batch.num_rows, 1024):
-                part = batch.slice(start, 1024)
-                found = [automaton.encode(t) for t in part.column(part.num_columns - 1).cast(pa.binary()).to_pylist()]
-                new = [pa.array([f[0] for f in found], pa.binary()), pa.array([f[1] for f in found], pa.string())]
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], *new], names=[*part.schema.names[:-1], ids, decoded])
+        try:
+            for batch in batches:
+                for start in range(0, batch.num_rows, 1024):
+                    part = batch.slice(start, 1024)
+                    found = [automaton.encode(t) for t in part.column(part.num_columns - 1).cast(pa.binary()).to_pylist()]
+                    new = [pa.array([f[0] for f in found], pa.binary()), pa.array([f[1] for f in found], pa.string())]
+                    yield pa.RecordBatch.from_arrays([*part.columns[:-1], *new], names=[*part.schema.names[:-1], ids, decoded])
+        finally:
+            gc.enable()
 
     return plain.mapInArrow(run, schema)
 

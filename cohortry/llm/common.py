@@ -33,6 +33,16 @@ def joined_words(text: Column) -> Column:
     return F.regexp_replace(F.btrim(text, F.lit(WORD_SPACE)), WORD_GAP, " ")
 
 
+def first_rows(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """One row for each value of ``keys``, the one whose other columns come first, compared in turn; without ``keys``.
+
+    An aggregate, so each task sends one row a key at most, and the row does not depend on the partitions.
+    """
+    one = fresh(rows, "first_row")
+    others = [F.col(f"`{c}`") for c in rows.columns if c not in keys]
+    return rows.groupBy(*keys).agg(F.min(F.struct(*others)).alias(one)).select(f"{one}.*")
+
+
 def ranked(rows: DataFrame, key: str, order: list[str], place: str, size: str) -> DataFrame:
     """``rows`` with ``place``, the number of rows before it among those of its ``key``, and ``size``, their number.
 

@@ -3,8 +3,8 @@
 Every row enters a stream as (digest, stable identifier, content locator). A keyed state without expiry,
 kept on disk by RocksDB and checkpointed in the shared folder, retains for each digest the identifier and
 locator of the row that stays and the number of rows seen. When the stream has read all there is, the
-state itself is the answer and is read as a table. Rows whose digests meet are compared byte by byte;
-texts that differ in spite of equal digests are told apart by their bytes.
+state itself is the answer and is read as a table. Where the state says that a digest came more than
+once, the texts behind it are compared byte by byte; should they differ, they are grouped by their bytes.
 """
 
 from __future__ import annotations
@@ -16,7 +16,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_dir
-from .common import ascii_lower, fresh, whole
+from ..sources.tables import materialise
+from .common import ascii_lower, first_rows, fresh, whole
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 # Files of a store are not allocated ahead of use: there is a store for each shuffle partition.
@@ -59,9 +60,15 @@ def stream_state(spark: SparkSession, ledger: str, checkpoint: str, files_per_ba
     return kept.select("key.digest", F.col(f"value.{values[0]}").alias("keep"), F.col(f"value.{values[1]}").alias("group_size"))
 
 
-def _mixed(normal: DataFrame) -> DataFrame:
-    """Digests whose texts are not all the same bytes; each task sends two texts a digest at most."""
-    return normal.groupBy("digest").agg(F.min("normal").alias("lo"), F.max("normal").alias("hi")).filter("lo <> hi").select("digest")
+def _mixed(normal: DataFrame, state: DataFrame) -> DataFrame:
+    """Digests that came more than once and whose texts are not all the same bytes.
+
+    The digests that came again go out as 64-bit hashes, so that they are small where copies are few; a text
+    that has such a hash by chance is compared with its own copies only. Each task sends two texts a digest at most.
+    """
+    hits = materialise(state.filter("group_size > 1").select(F.xxhash64("digest").alias("hit")).distinct())
+    suspects = normal.select("digest", "normal", F.xxhash64("digest").alias("hit")).join(hits, "hit", "left_semi")
+    return suspects.groupBy("hit", "digest").agg(F.min("normal").alias("lo"), F.max("normal").alias("hi")).filter("lo <> hi").select("digest")
 
 
 def exact_groups(docs: DataFrame, digest: Callable[[Column], Column] = sha256_digest, files_per_batch: int = 1000) -> DataFrame:
@@ -86,24 +93,26 @@ def exact_groups(docs: DataFrame, digest: Callable[[Column], Column] = sha256_di
         state = spark.createDataFrame([], "digest binary, keep struct<doc_id:bigint,row:bigint,locator:string>, group_size bigint")
     else:
         state = stream_state(spark, f"{base}/ledger", f"{base}/state", files_per_batch)
-    _mixed(normal).write.parquet(f"{base}/mixed")
-    mixed = spark.read.parquet(f"{base}/mixed")
-    found = ledger.join(state, "digest")
-    if not mixed.isEmpty():
-        # The bytes differ behind one digest: these rows are grouped by their second, independent digest.
-        own = ledger.join(mixed, "digest", "left_semi")
-        apart = own.groupBy("digest", "sha").agg(F.max(F.struct("doc_id", "row", "locator")).alias("keep"), F.count(F.lit(1)).alias("group_size"))
-        found = found.join(mixed, "digest", "left_anti").unionByName(own.join(apart, ["digest", "sha"]).select(found.columns))
-    return found.select(
-        "doc_id", F.col("keep.doc_id").alias("keep_id"), "group_size",
-        (F.col("row") == F.col("keep.row")).alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"),
+    mixed = materialise(_mixed(normal, state))
+    result = lambda found, sha: found.select(
+        "doc_id", F.col("keep.doc_id").alias("keep_id"), "group_size", (F.col("row") == F.col("keep.row")).alias("kept"), F.lower(F.hex(sha)).alias("text_sha256"),
     )
+    if mixed.isEmpty():
+        return result(ledger.join(state, "digest"), "sha")
+    # The bytes differ behind one digest: these rows are grouped by their bytes.
+    own = materialise(normal.join(mixed, "digest", "left_semi").withColumn("row", F.monotonically_increasing_id()))
+    apart = own.groupBy("normal").agg(F.max(F.struct("doc_id", "row")).alias("keep"), F.count(F.lit(1)).alias("group_size"))
+    others = ledger.join(mixed, "digest", "left_anti").join(state, "digest")
+    return result(others, "sha").unionByName(result(own.join(apart, "normal"), F.unhex(F.sha2("normal", 256))))
 
 
 def drop_exact_copies(docs: DataFrame) -> DataFrame:
-    """``docs`` without the rows that ``exact_groups`` does not keep; same columns, one row per text."""
+    """``docs`` without the rows that ``exact_groups`` does not keep; same columns, one row per text.
+
+    Of rows with the same doc_id and text the one whose columns come first, compared in turn, stays.
+    """
     key, sha = fresh(docs, "id_key"), fresh(docs, "sha")
     id_key = F.coalesce("doc_id", F.lit(-(2**63)))
     kept = exact_groups(docs).filter("kept").select(id_key.alias(key), F.unhex("text_sha256").alias(sha))
     marked = docs.withColumns({key: id_key, sha: F.unhex(F.sha2(ascii_lower(whole()), 256))})
-    return marked.join(kept, [key, sha], "left_semi").dropDuplicates([key, sha]).drop(key, sha)
+    return first_rows(marked.join(kept, [key, sha], "left_semi"), [key, sha])

@@ -88,7 +88,7 @@ def train(docs: DataFrame, rows_per_language: int = 5_000) -> tuple[list[str], n
     by a hash of the id that has ``rows_per_language`` rows on average. Priors count all admitted rows. What
     comes to the driver is bounded by languages x buckets.
     """
-    admitted = docs.select("doc_id", "text", "lang").filter(F.col("lang").isNotNull() & F.coalesce(may_learn(F.col("doc_id")), F.lit(False)))
+    admitted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang").filter(F.col("lang").isNotNull() & F.coalesce(may_learn(F.col("doc_id")), F.lit(False)))
     totals = {r["lang"]: r["n"] for r in admitted.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     names = sorted(totals)
     if not names:
@@ -120,6 +120,7 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray]) -> DataFrame:
     """doc_id, lang_pred, score: the likeliest language and its probability, from the text alone.
 
     A text that is null or has no letter, or a model without languages, gives ``und`` and 0.
+    Ids are whole numbers, of any width.
     """
     names, logs = model
     shared = docs.sparkSession.sparkContext.broadcast(np.ascontiguousarray(logs.T))
@@ -143,7 +144,7 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray]) -> DataFrame:
                 said = [names[b] if s else UNDETERMINED for b, s in zip(best, seen)]
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(said, pa.string()), pa.array(np.where(seen, score, 0.0))], names=["doc_id", "lang_pred", "score"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, lang_pred string, score double")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, lang_pred string, score double")
 
 
 def identify(docs: DataFrame, rows_per_language: int = 5_000) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.tables import materialise
-from .common import fresh
+from .common import first_rows, fresh
 
 WORDS, BITS, BUDGET, SEED = 4, 64, 4, 42
 BLOCKS = tuple((start, min(start + 13, BITS)) for start in range(0, BITS, 13))
@@ -55,7 +55,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
                 found = np.array([fingerprint(t) for t in part.column("text").to_pylist()], np.uint64).view(np.int64)
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(found), part.column("text_hash")], names=["doc_id", "fp", "text_hash"])
 
-    return docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(run, "doc_id long, fp long, text_hash long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash")).mapInArrow(run, "doc_id long, fp long, text_hash long")
 
 
 def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -203,7 +203,7 @@ def near_groups(docs: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
     ``component_id`` is the smallest doc_id of those reachable over links of fingerprints, the row's own
     included; null ids come after all others. Null, empty and wordless texts have fingerprint 0 and are
     linked like any other. Repeated rows and equal fingerprints are one node. An empty table gives no
-    rows. Only doc_id and text are read.
+    rows. Only doc_id and text are read; ids are whole numbers, of any width.
     """
     marked = materialise(fingerprints(docs))
     rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
@@ -216,9 +216,13 @@ def near_groups(docs: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
 
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:
-    """``docs`` with one row of each component, that of the smallest doc_id; same columns."""
+    """``docs`` with one row of each component, that of the smallest doc_id; same columns.
+
+    Of rows with that doc_id the one with the smallest 64-bit hash of its text stays, and of rows equal in
+    both the one whose columns come first, compared in turn.
+    """
     key, hashed = fresh(docs, "near_key"), fresh(docs, "near_hash")
-    id_key = F.coalesce("doc_id", F.lit(-(2**63)))
-    kept = near_groups(docs).select("keeper.doc_id", "keeper.text_hash").distinct().select(id_key.alias(key), F.col("text_hash").alias(hashed))
+    id_key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63)))
+    kept = near_groups(docs).select("keeper.doc_id", "keeper.text_hash").distinct().select(F.coalesce("doc_id", F.lit(-(2**63))).alias(key), F.col("text_hash").alias(hashed))
     marked = docs.withColumns({key: id_key, hashed: F.xxhash64("text")})
-    return marked.join(kept, [key, hashed], "left_semi").dropDuplicates([key, hashed]).drop(key, hashed)
+    return first_rows(marked.join(kept, [key, hashed], "left_semi"), [key, hashed])

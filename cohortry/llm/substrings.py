@@ -285,9 +285,10 @@ def cut_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     Each word is removed that a window of ``window`` words covers which also starts in a document with a
     smaller doc_id, judged on the input. A null text has no words. A null doc_id is neither smaller nor
     larger than any: its text stays whole and cuts no other. Rows that share a doc_id don't cut each other;
-    rows equal in id and text are cut alike. An empty table gives no rows. Only doc_id and text are read.
+    rows equal in id and text are cut alike. An empty table gives no rows. Only doc_id and text are read;
+    ids are whole numbers, of any width.
     """
-    base = docs.select("doc_id", whole().alias("text"))
+    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole().alias("text"))
     base = base.withColumn("tag", (F.xxhash64("text").bitwiseAND(F.lit(0x3FFFFFFF))).cast("int"))
     words = joined_words(F.col("text"))
     count = F.when(words == "", 0).otherwise(F.length(words) - F.length(F.translate(words, " ", "")) + 1)

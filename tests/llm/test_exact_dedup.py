@@ -1,6 +1,9 @@
 from pyspark.sql import functions as F
 
 from cohortry.llm.exact_dedup import drop_exact_copies, exact_groups, stream_state
+from cohortry.llm.language import identify
+from cohortry.llm.simhash import drop_near_copies, near_groups
+from cohortry.llm.substrings import cut_repeats
 
 from .data import documents, rows
 
@@ -18,6 +21,26 @@ def test_texts_behind_one_digest_are_told_apart(spark):
     assert rows(got, "doc_id", "keep_id", "group_size", "kept") == WANT
 
 
+def test_one_digest_and_one_hash_for_all(spark, monkeypatch):
+    real = F.sha2
+    monkeypatch.setattr(F, "sha2", lambda c, n: F.substring(real(c, n), 1, 1))
+    got = exact_groups(documents(spark, *CASES))
+    assert rows(got, "doc_id", "keep_id", "group_size", "kept") == WANT
+
+
+def test_the_row_that_stays_does_not_depend_on_partitions(spark):
+    docs = documents(spark, *[(1, "same", None, s) for s in "dbcae"], (2, None, None, "y"), (2, None, None, "x"))
+    for stage in (drop_exact_copies, drop_near_copies):
+        assert {tuple(sorted((r.doc_id, r.source) for r in stage(docs.repartition(n)).collect())) for n in (1, 3, 7)} == {((1, "a"), (2, "x"))}
+
+
+def test_narrow_ids(spark):
+    docs = documents(spark, *[c for c in CASES if c[0] is not None])
+    narrow = docs.withColumn("doc_id", docs.doc_id.cast("int"))
+    for f in (lambda d: identify(d).drop("score"), cut_repeats, lambda d: near_groups(d).select("doc_id", "fp", "component_id"), exact_groups):
+        assert sorted(map(str, f(narrow).collect())) == sorted(map(str, f(docs).collect()))
+
+
 def test_stage_keeps_columns_and_one_row_of_each_text(spark):
     docs = documents(spark, *CASES)
     left = drop_exact_copies(docs)

@@ -1,4 +1,8 @@
+import math
 import zlib
+from collections import Counter
+
+import pytest
 
 from cohortry.llm import language
 from cohortry.llm.language import identify, predict, train
@@ -42,3 +46,37 @@ def test_held_out_accuracy(spark):
     rows = [r for r in QUERIES["op2_language_id"](spark, SMALL).collect() if r.held_out]
     assert {r.doc_id for r in rows} == {d for d in truth if zlib.crc32(str(d).encode()) % 4 == 2}
     assert sum(r.lang_pred == truth[r.doc_id] for r in rows) / len(rows) >= 0.95
+
+
+def _plain_buckets(text):
+    """Buckets of the bigrams and trigrams with a letter, one n-gram at a time."""
+    points = [0, 0, *[ord(c) if c.isalpha() else 0 for c in (text or "").lower()], 0, 0]
+    out = Counter()
+    for a, b, c in zip(points, points[1:], points[2:]):
+        for n, x in ((a or b, a * 0x9E3779B97F4A7C15 + b * 0xC2B2AE3D27D4EB4F), (a or b or c, a * 0x9E3779B97F4A7C15 + b * 0xC2B2AE3D27D4EB4F + c * 0x165667B19E3779F9 + 1)):
+            if n:
+                x %= 2**64
+                x = ((x ^ x >> 29) * 0xBF58476D1CE4E5B9) % 2**64
+                out[x >> 64 - language.BUCKET_BITS] += 1
+    return out
+
+
+def test_same_as_plain_naive_bayes(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    found = {r.doc_id: (r.text, r.lang) for r in docs.collect()}
+    counts, prior = {}, Counter()
+    for i, (text, lang) in found.items():
+        if lang is not None and zlib.crc32(str(i).encode()) % 4 != 2:
+            counts.setdefault(lang, Counter()).update(_plain_buckets(text))
+            prior[lang] += 1
+    size = {lang: sum(c.values()) + language.SMOOTHING * 2**language.BUCKET_BITS for lang, c in counts.items()}
+    log = {lang: math.log(n / prior.total()) for lang, n in prior.items()}
+    got = {r.doc_id: (r.lang_pred, r.score) for r in identify(docs).collect()}
+    for i, (text, _) in found.items():
+        own = _plain_buckets(text)
+        if not own:
+            assert got[i] == ("und", 0)
+            continue
+        total = {lang: log[lang] + sum(n * math.log((c[b] + language.SMOOTHING) / size[lang]) for b, n in own.items()) for lang, c in counts.items()}
+        best = max(sorted(total), key=total.get)
+        assert got[i][0] == best and got[i][1] == pytest.approx(1 / sum(math.exp(t - total[best]) for t in total.values()), abs=1e-3)
