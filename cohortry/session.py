@@ -27,23 +27,29 @@ def local_session(cores: str | int = 8, shuffle_partitions: int = 8) -> SparkSes
     return spark
 
 
-_LOCAL_BASE: dict[str, str] = {}
+_OWN_BASE: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
     """A new folder name below the cluster's shared checkpoint folder.
 
     The folder is read from the session. A local session without the setting, as in tests, gets a
-    temporary one; on a cluster that would be out of the executors' reach, so there it is an error.
+    temporary one; on a cluster that would be out of the executors' reach, so there it is an error. All
+    folders of an application stand in one of its own, which its driver deletes when it exits.
     """
-    base = spark.conf.get(CHECKPOINT_CONF, None)
-    if not base and spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        base = spark.sparkContext._jsc.sc().getCheckpointDir().get()
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError(f"{CHECKPOINT_CONF} must name a folder that every executor can reach")
-        app = spark.sparkContext.applicationId
-        if app not in _LOCAL_BASE:
-            _LOCAL_BASE[app] = tempfile.mkdtemp(prefix="cohortry-")
-        base = _LOCAL_BASE[app]
-    return f"{base.rstrip('/')}/cohortry-{uuid.uuid4().hex}"
+    app = spark.sparkContext.applicationId
+    if app not in _OWN_BASE:
+        base = spark.conf.get(CHECKPOINT_CONF, None)
+        if not base and spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
+            base = spark.sparkContext._jsc.sc().getCheckpointDir().get()
+        if not base:
+            if not spark.sparkContext.master.startswith("local"):
+                raise RuntimeError(f"{CHECKPOINT_CONF} must name a folder that every executor can reach")
+            base = tempfile.gettempdir()
+        own = f"{base.rstrip('/')}/cohortry-{uuid.uuid4().hex}"
+        path = spark._jvm.org.apache.hadoop.fs.Path(own)
+        files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+        _OWN_BASE[app] = own
+    return f"{_OWN_BASE[app]}/{uuid.uuid4().hex}"
