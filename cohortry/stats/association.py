@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.tails import chi2_p, t_p
-from .groups import explode_pairs, gather, group_totals, level_counts, level_pairs, moments, of_group, only_groups, pairs_of
+from .groups import group_totals, level_counts, level_pairs, moments, only_groups, pair_up
 
 
 def chi_square(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -16,12 +16,13 @@ def chi_square(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
 
     Cells without rows are not in ``counts``; each adds its expected count, which is what the others leave over.
     """
-    def total(*by):
-        return F.sum("n").over(Window.partitionBy(*keys, *by))
-
-    # Margins as doubles: their product passes 64 bits for a few billion rows.
-    expected = F.col("_row").cast("double") * F.col("_col") / F.col("_all")
-    cells = counts.withColumns({"_row": total("level"), "_col": total("grp"), "_all": total()}).withColumn("_exp", expected)
+    keys = list(keys)
+    # Margins from small aggregates, as doubles: their product passes 64 bits for a few billion rows.
+    rows = counts.groupBy(*keys, "level").agg(F.sum("n").cast("double").alias("_row"))
+    columns = counts.groupBy(*keys, "grp").agg(F.sum("n").cast("double").alias("_col"))
+    everything = counts.groupBy(*keys).agg(F.sum("n").alias("_all"))
+    cells = counts.join(rows, [*keys, "level"]).join(columns, [*keys, "grp"]).join(everything, keys)
+    cells = cells.withColumn("_exp", F.col("_row") * F.col("_col") / F.col("_all"))
     sums = cells.groupBy(*keys).agg(
         F.sum((F.col("n") - F.col("_exp")) * (F.col("n") - F.col("_exp")) / F.col("_exp")).alias("_filled"),
         F.sum("_exp").alias("_expected"), F.max("_all").alias("n"), F.count(F.lit(1)).alias("_cells"),
@@ -36,16 +37,22 @@ def chi_square(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
 def chi_square_pairs(df: DataFrame, group: str, names: Sequence[str], pairs: Sequence[tuple] | None = None) -> DataFrame:
     """(variable, group1, group2, statistic, dof, p_value) of each column within each pair of groups."""
     counts = level_counts(only_groups(df, group, pairs), names, group)
-    # Each cell goes to the pairs of its own group only.
-    known = group_totals(counts).select("variable", F.map_keys("totals").alias("groups"))
-    if pairs is None:
-        others = F.filter("groups", lambda g: g != F.col("grp"))
-        own = F.transform(others, lambda g: F.struct(F.least(g, F.col("grp")).alias("group1"), F.greatest(g, F.col("grp")).alias("group2")))
-    else:
-        own = F.filter(pairs_of(F.col("groups"), pairs), lambda p: (p["group1"] == F.col("grp")) | (p["group2"] == F.col("grp")))
-    inside = counts.join(known, "variable").withColumn("_pair", F.explode(own)).select("variable", "level", "grp", "n", "_pair.*")
-    tested = chi_square(inside, ["variable", "group1", "group2"])
-    return tested.select("variable", "group1", "group2", "statistic", "dof", chi2_p("statistic", "dof").alias("p_value"))
+    keys = ["variable", "group1", "group2"]
+    # Levels that both groups have are met level by level; what the others add depends on the totals only.
+    both = pair_up(counts, ["variable", "level"], ["n"], pairs)
+    whole = pair_up(group_totals(counts), ["variable"], ["t", "levels"], pairs)
+    n1, n2, t1, t2 = (F.col(c).cast("double") for c in ("n1", "n2", "t1", "t2"))
+    apart = n1 * t2 - n2 * t1
+    shared = both.join(whole.select(*keys, "t1", "t2"), keys).groupBy(*keys).agg(
+        F.sum(apart * apart / ((n1 + n2) * t1 * t2)).alias("_shared"), F.sum("n1").alias("_n1"), F.sum("n2").alias("_n2"), F.count(F.lit(1)).alias("_both")
+    )
+    none = F.lit(0)
+    tested = whole.join(shared, keys, "left").select(
+        *keys,
+        (F.coalesce("_shared", F.lit(0.0)) + (t1 - F.coalesce("_n1", none)) * t2 / t1 + (t2 - F.coalesce("_n2", none)) * t1 / t2).alias("statistic"),
+        (F.col("levels1") + F.col("levels2") - F.coalesce("_both", none) - 1).alias("dof"),
+    )
+    return tested.select(*keys, "statistic", "dof", chi2_p("statistic", "dof").alias("p_value"))
 
 
 def chi_square_by_stratum(df: DataFrame, stratum: str, group: str, pairs: Sequence[tuple] | None = None) -> DataFrame:
@@ -62,20 +69,12 @@ def chi_square_by_stratum(df: DataFrame, stratum: str, group: str, pairs: Sequen
 
 def welch_t_pairs(df: DataFrame, group: str, names: Sequence[str], pairs: Sequence[tuple] | None = None) -> DataFrame:
     """(variable, group1, group2, statistic, dof, p_value): two-sided t test with unequal variances."""
-    spread = moments(only_groups(df, group, pairs), names, group)
-    wide = explode_pairs(gather(spread, ["variable"], ["n", "mean", "var"]), "groups", pairs)
-
-    def part(which, field):
-        return of_group("groups", which, field)
-
-    a, b = part("group1", "var") / part("group1", "n"), part("group2", "var") / part("group2", "n")
+    wide = pair_up(moments(only_groups(df, group, pairs), names, group), ["variable"], ["n", "mean", "var"], pairs)
+    a, b = F.col("var1") / F.col("n1"), F.col("var2") / F.col("n2")
     error = a + b
     out = wide.select(
-        "variable", "group1", "group2",
-        F.when(error > 0, (part("group1", "mean") - part("group2", "mean")) / F.sqrt(error)).alias("statistic"),
-        F.when(
-            error > 0, error * error / (a * a / (part("group1", "n") - 1) + b * b / (part("group2", "n") - 1))
-        ).alias("dof"),
+        "variable", "group1", "group2", F.when(error > 0, (F.col("mean1") - F.col("mean2")) / F.sqrt(error)).alias("statistic"),
+        F.when(error > 0, error * error / (a * a / (F.col("n1") - 1) + b * b / (F.col("n2") - 1))).alias("dof"),
     )
     return out.withColumn("p_value", t_p("statistic", "dof"))
 

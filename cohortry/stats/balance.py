@@ -10,17 +10,13 @@ from pyspark.sql import functions as F
 from ..functions.tails import chi2_p, f_p
 from .association import anova, chi_square
 from .describe import missing_percent
-from .groups import (
-    OVERALL, explode_pairs, gather, level_counts, level_pairs, moments, of_group, only_groups, overall_moments,
-)
+from .groups import OVERALL, level_counts, level_pairs, moments, only_groups, overall_moments, pair_up
 
 
 def _numeric_smd(df: DataFrame, group: str, names: Sequence[str], pairs) -> DataFrame:
-    spread = moments(only_groups(df, group, pairs), names, group)
-    wide = explode_pairs(gather(spread, ["variable"], ["mean", "var"]), "groups", pairs)
-    pooled = F.sqrt((of_group("groups", "group1", "var") + of_group("groups", "group2", "var")) / 2)
-    diff = of_group("groups", "group2", "mean") - of_group("groups", "group1", "mean")
-    return wide.select("variable", "group1", "group2", F.when(pooled > 0, diff / pooled).alias("smd"))
+    wide = pair_up(moments(only_groups(df, group, pairs), names, group), ["variable"], ["mean", "var"], pairs)
+    pooled = F.sqrt((F.col("var1") + F.col("var2")) / 2)
+    return wide.select("variable", "group1", "group2", F.when(pooled > 0, (F.col("mean2") - F.col("mean1")) / pooled).alias("smd"))
 
 
 def smd_numeric(df: DataFrame, group: str, names: Sequence[str], pairs: Sequence[tuple] | None = None) -> DataFrame:
@@ -60,7 +56,7 @@ def smd_multilevel(df: DataFrame, group: str, names: Sequence[str], pairs: Seque
     place = F.row_number().over(Window.partitionBy(*keys).orderBy("level"))
     rows = shares.withColumn("_place", place)
     p, q = F.col("p1"), F.col("p2")
-    mid, diff, used = (p + q) / 2, q - p, F.col("_place") > 1
+    mid, diff, used = (p + q) / 2, q - p, (F.col("_place") > 1) & (p + q > 0)
 
     def total(expression):
         return F.sum(F.when(used, expression / mid))

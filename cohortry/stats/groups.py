@@ -1,7 +1,9 @@
 """Per-group counts and moments, the small tables that all comparisons start from.
 
-Pairs of groups are made inside the rows of such a table, from the groups it holds: no name of a group
-comes to the driver or into the plan, and the number of groups has no limit.
+Pairs of groups are made by a self-join of such a table over blocks of groups: every group belongs to one
+block by a hash of its name, and each pair of blocks (i <= j) is a join key of its own. So a key compares
+two bounded blocks, no row holds a list of groups, no name of a group comes to the driver, and the number
+of groups has no limit.
 """
 
 from __future__ import annotations
@@ -12,6 +14,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 OVERALL = "Overall"
+# Groups of a block on average; results do not depend on it.
+BLOCK_GROUPS = 256
 Pairs = Sequence[tuple] | None
 
 
@@ -65,47 +69,54 @@ def only_groups(df: DataFrame, by: str, pairs: Pairs) -> DataFrame:
     return df.filter(F.col(by).cast("string").isin(sorted({str(g) for pair in pairs for g in pair})))
 
 
-def pairs_of(groups: Column, pairs: Pairs) -> Column:
-    """Array of (group1, group2): the given pairs, or all pairs of the array ``groups``, in order."""
-    if pairs is None:
-        g = F.array_sort(groups)
-        return F.flatten(F.transform(g, lambda a, i: F.transform(
-            F.slice(g, i + 2, F.size(g)), lambda b: F.struct(a.alias("group1"), b.alias("group2"))
-        )))
-    given = [F.struct(F.lit(str(a)).alias("group1"), F.lit(str(b)).alias("group2")) for a, b in pairs]
-    return F.array(*given).cast("array<struct<group1:string,group2:string>>")
-
-
-def explode_pairs(rows: DataFrame, groups: str, pairs: Pairs) -> DataFrame:
-    """Each row once per pair of the groups that are keys of its map ``groups``, as columns group1 and group2."""
-    return rows.withColumn("_pair", F.explode(pairs_of(F.map_keys(groups), pairs))).select("*", "_pair.*").drop("_pair")
-
-
-def gather(rows: DataFrame, keys: Sequence[str], values: Sequence[str], name: str = "groups") -> DataFrame:
-    """One row per key with a map from group to its values, an entry per group."""
-    entries = F.collect_list(F.struct(F.col("grp"), F.struct(*values)))
-    return rows.groupBy(*keys).agg(F.map_from_entries(entries).alias(name))
+def in_blocks(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``rows`` (keys, grp, ...) with the number of blocks of each key and the block of each group."""
+    sizes = rows.groupBy(*keys).agg(F.ceil(F.count_distinct("grp") / BLOCK_GROUPS).cast("int").alias("_blocks"))
+    return rows.join(sizes, list(keys)).withColumn("_block", F.pmod(F.xxhash64("grp"), "_blocks").cast("int"))
+
+
+def pair_up(rows: DataFrame, keys: Sequence[str], values: Sequence[str], pairs: Pairs) -> DataFrame:
+    """(keys, group1, group2, and each value as value1 and value2) of two groups with the same keys.
+
+    ``rows`` has one row for each key and group. All pairs come once, group1 before group2; or the given ones,
+    in their own order.
+    """
+    keys = list(keys)
+    if pairs is not None:
+        given = rows.sparkSession.createDataFrame([(str(a), str(b)) for a, b in pairs], "group1 string, group2 string")
+
+        def side(n):
+            return rows.select(*keys, F.col("grp").alias(f"group{n}"), *[F.col(v).alias(f"{v}{n}") for v in values])
+
+        return side(1).join(given, "group1").join(side(2), [*keys, "group2"]).select(
+            *keys, "group1", "group2", *[f"{v}{n}" for v in values for n in (1, 2)]
+        )
+    blocked = rows if "_block" in rows.columns else in_blocks(rows, keys)
+    own = F.struct("grp", *values)
+    left = blocked.select(*keys, F.col("_block").alias("_i"), F.explode(F.sequence("_block", F.col("_blocks") - 1)).alias("_j"), own.alias("_a"))
+    right = blocked.select(*keys, F.explode(F.sequence(F.lit(0), "_block")).alias("_i"), F.col("_block").alias("_j"), own.alias("_b"))
+    met = left.join(right, [*keys, "_i", "_j"])
+    a_first = F.col("_a.grp") < F.col("_b.grp")
+    met = met.filter(a_first | ((F.col("_i") < F.col("_j")) & (F.col("_b.grp") < F.col("_a.grp"))))
+    met = met.select(*keys, F.when(a_first, F.col("_a")).otherwise(F.col("_b")).alias("_1"), F.when(a_first, F.col("_b")).otherwise(F.col("_a")).alias("_2"))
+    return met.select(
+        *keys, F.col("_1.grp").alias("group1"), F.col("_2.grp").alias("group2"), *[F.col(f"_{n}.{v}").alias(f"{v}{n}") for v in values for n in (1, 2)]
+    )
 
 
 def group_totals(counts: DataFrame) -> DataFrame:
-    """(variable, totals) from level counts: a map from group to its known values of the variable."""
-    sums = counts.groupBy("variable", "grp").agg(F.sum("n").alias("n"))
-    return gather(sums, ["variable"], ["n"], "totals")
+    """(variable, grp, t, levels): known values of each group, and how many different ones, from level counts."""
+    return counts.groupBy("variable", "grp").agg(F.sum("n").alias("t"), F.count(F.lit(1)).alias("levels"))
 
 
 def level_pairs(counts: DataFrame, pairs: Pairs) -> DataFrame:
     """(variable, level, group1, group2, n1, n2, t1, t2): each level's rows in both groups, 0 where one lacks
     it, and the groups' rows with a known value."""
-    wide = gather(counts, ["variable", "level"], ["n"]).join(group_totals(counts), "variable")
-
-    def value(name, which):
-        return F.coalesce(of_group(name, which, "n"), F.lit(0)).cast("double")
-
-    return explode_pairs(wide, "totals", pairs).select(
-        "variable", "level", "group1", "group2", value("groups", "group1").alias("n1"), value("groups", "group2").alias("n2"),
-        value("totals", "group1").alias("t1"), value("totals", "group2").alias("t2"),
-    )
-
-
-def of_group(name: str, which: str, field: str) -> Column:
-    return F.try_element_at(F.col(name), F.col(which))[field]
+    totals = in_blocks(group_totals(counts).select("variable", "grp", "t"), ["variable"])
+    # Every level meets every block of groups, a key of its own.
+    sizes = totals.groupBy("variable").agg(F.max("_blocks").alias("_n"))
+    levels = counts.select("variable", "level").distinct().join(sizes, "variable")
+    levels = levels.select("variable", "level", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)).alias("_block"))
+    cells = levels.join(totals, ["variable", "_block"]).join(counts.select("variable", "level", "grp", "n"), ["variable", "level", "grp"], "left")
+    cells = cells.withColumns({"n": F.coalesce("n", F.lit(0)).cast("double"), "t": F.col("t").cast("double")})
+    return pair_up(cells, ["variable", "level"], ["n", "t"], pairs)

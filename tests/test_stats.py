@@ -241,3 +241,32 @@ def test_quantiles_whatever_the_sketch(spark, accuracy):
     got = {(r.grp, r.prob): r.value for r in describe.exact_quantiles(df, ["x"], probs, "g", accuracy).collect()}
     want = {(g, q): float(np.quantile(xs, q)) for g, xs in data.items() if len(xs) for q in probs}
     assert got == pytest.approx(want, rel=1e-12)
+
+
+def test_blocks_of_groups_change_nothing(spark, monkeypatch):
+    rows = [(f"g{i * i % 23}", f"l{i % 3 if i % 23 % 2 else i % 5}", float(i % 11), None if i % 4 else f"r{i % 2}") for i in range(500)]
+    df = spark.createDataFrame([*rows, (None, "l1", 1.0, "r0"), ("only", "l9", None, None)], "g string, c string, x double, rare string").cache()
+    calls = (
+        lambda pairs: association.welch_t_pairs(df, "g", ["x"], pairs), lambda pairs: balance.smd_numeric(df, "g", ["x"], pairs),
+        lambda pairs: association.chi_square_pairs(df, "g", ["c", "rare"], pairs), lambda pairs: balance.smd_categorical(df, "g", ["c", "rare"], pairs),
+        lambda pairs: association.chi_square_by_stratum(df, "c", "g", pairs),
+    )
+
+    def answers(call, pairs=None):
+        return sorted(str(tuple(f"{v:.9g}" if isinstance(v, float) else v for v in r)) for r in call(pairs).collect())
+
+    once = [answers(c) for c in calls]
+    given = [("g1", "g0"), ("g2", "only")]
+    asked = [answers(c, given) for c in calls]
+    monkeypatch.setattr(groups, "BLOCK_GROUPS", 2)
+    assert [answers(c) for c in calls] == once
+    assert [answers(c, given) for c in calls] == asked and all(asked)
+
+
+def test_every_pair_of_many_groups_comes_once(spark):
+    n = 2500
+    df = spark.range(4 * n).selectExpr(f"concat('g', id % {n}) AS g", "CAST(id % 7 AS double) AS x")
+    found = balance.smd_numeric(df, "g", ["x"])
+    assert found.agg(F.count("*"), F.count_distinct("group1", "group2"), F.count_if(F.col("group1") < F.col("group2"))).first() == (n * (n - 1) // 2,) * 3
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
