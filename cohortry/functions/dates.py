@@ -58,3 +58,42 @@ def assumed_birthday(yob: str = "yob", mob: str = "mob") -> Column:
 def age_at(date: str, yob: str = "yob", mob: str = "mob") -> Column:
     """Whole years from the assumed birthday to ``date``, a year being 365.25 days."""
     return F.floor(F.datediff(date, assumed_birthday(yob, mob)) / F.lit(DAYS_PER_YEAR)).cast("int")
+
+
+# Whole numbers that sort like records, so that the first or last record of a group is the min or max of a
+# long: a hash aggregate with a fixed buffer, where a struct needs a sort.
+
+
+def packed_day(day: Column) -> Column:
+    """The day as a number from 0 to 2 ** 32 - 1 in the order of time; null stays null."""
+    return F.unix_date(day).cast("bigint") + F.lit(1 << 31)
+
+
+def unpacked_day(number: Column) -> Column:
+    return F.date_from_unix_date((number - F.lit(1 << 31)).cast("int"))
+
+
+def pack_pick(day: Column, rank: Column, undated_last: bool) -> Column:
+    """(day, rank from 0 to 7) as a long in that order, records without a day first or last."""
+    undated, dated = (1, 0) if undated_last else (0, 1)
+    base = F.when(day.isNull(), F.lit(undated << 35)).otherwise(F.lit(dated << 35) + F.shiftleft(packed_day(day), 3))
+    return base + rank
+
+
+def unpack_pick(packed: Column, undated_last: bool) -> tuple[Column, Column]:
+    """Day and rank of ``pack_pick``."""
+    undated = F.shiftright(packed, 35) == (1 if undated_last else 0)
+    number = F.shiftright(packed, 3).bitwiseAND(F.lit((1 << 32) - 1))
+    return F.when(~undated, unpacked_day(number)), packed.bitwiseAND(F.lit(7)).cast("int")
+
+
+def pack_last(day: Column, amount: Column) -> Column:
+    """(day, int) as a long in that order, a null amount below all others. Days of the years -30,000 to 30,000."""
+    low = F.coalesce(amount.cast("bigint") + F.lit((1 << 31) + 1), F.lit(0))
+    return F.shiftleft(F.unix_date(day).cast("bigint") + F.lit(1 << 24), 33) + low
+
+
+def unpack_last(packed: Column) -> tuple[Column, Column]:
+    """Day and amount of ``pack_last``."""
+    low = packed.bitwiseAND(F.lit((1 << 33) - 1))
+    return F.date_from_unix_date((F.shiftright(packed, 33) - F.lit(1 << 24)).cast("int")), F.when(low > 0, (low - F.lit((1 << 31) + 1)).cast("int"))

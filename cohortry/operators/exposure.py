@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.clean import forbid_columns, require_columns
-from ..functions.dates import as_date, birthday_bound, days_between
+from ..functions.dates import as_date, birthday_bound, days_between, pack_last, unpack_last
 from .summaries import TERM, Part, in_role, role, summarise_events
 
 EXPOSURE = "exposure"
@@ -21,7 +21,7 @@ def exposure_part(codes: DataFrame, date: str = "issuedate", duration: str | Non
     """
     mine = in_role(EXPOSURE)
     issue = F.struct(F.col(date).alias("on"), F.col(TERM).alias("term"))
-    last = F.struct(F.col(date).alias("on"), F.col(duration).try_cast("int").alias("days") if duration else F.lit(None).cast("int").alias("days"))
+    last = pack_last(F.col(date), F.col(duration).try_cast("int") if duration else F.lit(None).cast("int"))
     return Part(
         role(codes, EXPOSURE),
         [
@@ -34,9 +34,10 @@ def exposure_part(codes: DataFrame, date: str = "issuedate", duration: str | Non
 
 
 def unpack_exposure(summary: DataFrame) -> DataFrame:
+    last_day, last_duration = unpack_last(F.col("_last"))
     return summary.withColumns({
         "first_exposure_date": F.col("_first.on"), "drugsubstancename": F.col("_first.term"),
-        "last_exposure_date": F.col("_last.on"), "last_duration": F.col("_last.days"),
+        "last_exposure_date": last_day, "last_duration": last_duration,
     }).drop("_first", "_last")
 
 

@@ -15,7 +15,7 @@ from ..functions.clean import (
     ACCEPTED_UNITS, CK_BANDS, CONVERTED_UNITS, TARGET_UNIT, UNDEFINED_CODE, band_code, converted_value, threshold_by_group, unit_convert,
     unit_gate,
 )
-from ..functions.dates import effective_date, parse_dates
+from ..functions.dates import effective_date, pack_pick, parse_dates, unpack_pick
 from ..sources.codelists import long_codelist
 from .joins import attach_patient_attrs, tag_events
 from .summaries import ON, ROLE, Part, in_role, role, role_number, summarise_events
@@ -85,19 +85,20 @@ def outcome_part(rules: OutcomeRules) -> Part:
     """
     date, coded, value = F.col(ON), _coder(rules), converted_value(rules.convert)
     ranks, last = _codes_by_rank(), F.lit(len(_CODES_BY_RANK) + 1)
-    undated, on = date.isNull().alias("undated"), date.alias("on")
     aggregates = []
     for name, cuts in [*rules.bands.items(), (None, None)]:
         code = coded(F.lit(None).cast("int") if cuts is None else band_code(cuts, value))
-        rank = F.coalesce(F.array_position(ranks, code), last).alias("rank")
-        if rules.mode == "earliest_positive":
-            pick = F.when(code > 0, F.struct(undated, on, rank))
-        else:
-            pick = F.when(in_role(MEASURED, MODERATE, SEVERE), F.struct(on, rank))
+        rank = F.coalesce(F.array_position(ranks, code), last)
+        deciding = code > 0 if rules.mode == "earliest_positive" else in_role(MEASURED, MODERATE, SEVERE)
+        pick = F.when(deciding, pack_pick(date, rank, _undated_last(rules)))
         aggregates.append(F.min(pick).alias(_column(rules, name)))
     return Part(rules.lists, aggregates, ["value", "numunitid"])
 
 
+def _undated_last(rules: OutcomeRules) -> bool:
+    return rules.mode == "earliest_positive"
+
+
 def _column(rules: OutcomeRules, group: str | None) -> str:
     return "_outcome_other" if group is None else f"_outcome_{list(rules.bands).index(group)}"
 
@@ -108,9 +109,10 @@ def unpack_outcome(patients: DataFrame, rules: OutcomeRules, group: str = "gende
     for name in rules.bands:
         chosen = F.when(F.col(group).cast("string") == F.lit(name), F.col(_column(rules, name))).otherwise(chosen)
     out = patients.withColumn("_chosen", chosen)
-    code = F.get(_codes_by_rank(), F.col("_chosen.rank").cast("int") - 1)
+    day, rank = unpack_pick(F.col("_chosen"), _undated_last(rules))
+    code = F.get(_codes_by_rank(), rank - 1)
     out = out.withColumn("outcome", F.coalesce(code, F.lit(0)))
-    out = out.withColumn("outcome_date", F.when(F.col("outcome") > 0, F.col("_chosen.on")))
+    out = out.withColumn("outcome_date", F.when(F.col("outcome") > 0, day))
     return out.drop("_chosen", _column(rules, None), *[_column(rules, g) for g in rules.bands])
 
 

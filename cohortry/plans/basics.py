@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import clean, dates
 from ..operators import events, joins, patterns, rollup, sets
 from ..session import shared_dir
-from ..sources import codelists, extracts, tables
+from ..sources import codelists, extracts, layout, tables
 from ..stats import describe
 from .registry import query
 from .views import ACCEPTED, BANDS, CONVERT, CONDITIONS, STUDY_END, STUDY_START, TARGET, Views
@@ -78,6 +78,28 @@ def _(v: Views):
     return extracts.check_count(extracts.read_log_counts(v.spark, folder), {f"{n} data request": getattr(v, n) for n in names})
 
 
+FILE_HEADER = "patid\tmedcodeid\tnumunitid"
+FILE_LINE = "concat_ws(chr(9), CAST(patid AS {text}), medcodeid, CASE WHEN patid % 3 <> 2 OR patid % 11 <> 0 THEN numunitid END)"
+
+
+@query(
+    "check_files",
+    f"""SELECT CAST(patid % 3 AS INTEGER) AS batch, count(*) AS records, concat_ws(chr(9), 'patid', 'medcodeid', 'numunitid') AS header,
+        count(*) FILTER (WHERE patid % 3 = 2 AND patid % 11 = 0) AS bad_records, CAST(sum(CAST(concat('0x', substr(md5({FILE_LINE.format(text="VARCHAR")}), 1, 8)) AS BIGINT)) AS BIGINT) AS checksum
+        FROM observation GROUP BY 1""",
+)
+def _(v: Views):
+    """Three files, one of which has records that were cut off."""
+    folder = shared_dir(v.spark)
+    header = v.spark.createDataFrame([(FILE_HEADER,)], "value string")
+    for k in range(3):
+        lines = v.observation.filter(F.col("patid") % 3 == k).select(F.expr(FILE_LINE.format(text="STRING")).alias("value"))
+        header.unionByName(lines).coalesce(1).write.option("extension", "txt").text(f"{folder}/batch{k}")
+    found = extracts.check_files(v.spark, folder, 3)
+    batch = F.regexp_extract("file", r"batch(\d)", 1).cast("int").alias("batch")
+    return found.select(batch, "records", "header", "bad_records", "checksum")
+
+
 @query("read_codelist", "SELECT 'exposure' AS list_name, CAST(code AS VARCHAR) AS code, term FROM exposure_codes")
 def _(v: Views):
     folder = shared_dir(v.spark)
@@ -159,6 +181,13 @@ def _(v: Views):
     return tables.cluster_layout(v.spark, stored, shared_dir(v.spark))
 
 
+@query("interleaved_layout", "SELECT * FROM drug_issue")
+def _(v: Views):
+    stored = shared_dir(v.spark)
+    tables.write_table(v.drug_issue, stored)
+    return layout.interleaved_layout(v.spark, stored, shared_dir(v.spark))
+
+
 @query("export_delimited", "SELECT patid, gender, yob, regstartdate FROM patient")
 def _(v: Views):
     df = v.patient.select("patid", "gender", "yob", "regstartdate")
@@ -418,6 +447,41 @@ def _(v: Views):
     return events.running_dates(v.roll_event, "EffectiveDate", ("PatientIdentifier", "CodeId"))
 
 
+RUNNING = {
+    "appeared": "SELECT PatientIdentifier, CodeId, min(EffectiveDate) AS since FROM roll_event GROUP BY 1, 2",
+    "days": "SELECT DISTINCT PatientIdentifier, EffectiveDate FROM roll_event",
+}
+
+
+@query(
+    "running_sets",
+    """SELECT d.PatientIdentifier, d.EffectiveDate, list(CodeId ORDER BY since, CodeId) AS seen
+       FROM days d JOIN appeared a ON a.PatientIdentifier = d.PatientIdentifier AND a.since <= d.EffectiveDate GROUP BY 1, 2""",
+    **RUNNING,
+)
+def _(v: Views):
+    return events.running_sets(v.roll_event, "EffectiveDate", "CodeId", ("PatientIdentifier",))
+
+
+@query(
+    "running_counts",
+    """SELECT d.PatientIdentifier, d.EffectiveDate, count(CodeId) AS values_so_far
+       FROM days d LEFT JOIN appeared a ON a.PatientIdentifier = d.PatientIdentifier AND a.since <= d.EffectiveDate GROUP BY 1, 2""",
+    **RUNNING,
+)
+def _(v: Views):
+    return events.running_counts(v.roll_event, "EffectiveDate", "CodeId", ("PatientIdentifier",))
+
+
+@query(
+    "first_appearances",
+    "SELECT *, row_number() OVER (PARTITION BY PatientIdentifier ORDER BY since, CodeId) AS place FROM appeared",
+    **RUNNING,
+)
+def _(v: Views):
+    return events.first_appearances(v.roll_event, "EffectiveDate", "CodeId", ("PatientIdentifier",))
+
+
 @query("condition_flag", "SELECT patid, enterdate, obsdate AS obsdate_asthma, CASE WHEN medcodeid IN ('Brand#3', 'Brand#4') THEN 1 ELSE 0 END AS asthma FROM observation")
 def _(v: Views):
     return events.condition_flag(v.observation.select("patid", "medcodeid", "obsdate", "enterdate"), v.brand_list("asthma", 3, 4), "asthma")
@@ -455,6 +519,17 @@ def _(v: Views):
     return sets.diff_frames(left, right).withColumn("gender", F.substring("gender", 1, 1))
 
 
+@query("diff_frames_by_hash", "SELECT patid, gender, 'left' AS side FROM patient WHERE patid % 5 = 0 UNION ALL SELECT patid, gender, 'right' FROM patient WHERE patid % 7 = 0 AND patid % 5 <> 0 UNION ALL SELECT patid, gender, 'right' FROM patient WHERE patid % 5 = 0")
+def _(v: Views):
+    """Two frames that differ: the second repeats some patients and lacks others."""
+    rows = v.patient.select("patid", "gender")
+    fifth, seventh = rows.filter("patid % 5 = 0"), rows.filter("patid % 7 = 0 AND patid % 5 <> 0")
+    marked = F.concat("gender", F.lit("x"))
+    left = rows.unionByName(fifth.withColumn("gender", marked))
+    right = rows.unionByName(seventh).unionByName(fifth)
+    return sets.diff_frames_by_hash(left, right).withColumn("gender", F.substring("gender", 1, 1))
+
+
 @query("drop_duplicates", "SELECT patid, issuedate, prodcodeid FROM (SELECT patid, issuedate, prodcodeid, row_number() OVER (PARTITION BY patid ORDER BY issuedate NULLS FIRST, prodcodeid) AS rn FROM drug_issue) WHERE rn = 1")
 def _(v: Views):
     return sets.drop_duplicates(v.drug_issue.select("patid", "issuedate", "prodcodeid"), ["patid"])

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..operators import cohort, outcome
 from ..operators.sets import union_lists
+from ..sources.layout import write_bucketed
 from ..sources.tables import materialise
 from ..stats import association, balance, describe, tmle
 from .cohorts import (
@@ -20,7 +21,7 @@ from .registry import query
 from .statistics import COUNTS, PAIR_COUNTS, PAIRED, SHARES, SPREAD, WELCH, _chi_sql, _long, _quantiles_sql, chi2_p_sql, rounded, t_p_sql
 from .views import ACCEPTED, BANDS, CONVERT, RARE_CODE, SQL_VIEWS, STUDY_END, STUDY_START, TARGET, Views
 
-LARGEST = 3
+LARGEST, BUCKETS = 3, 8
 NOT_EXCLUDED = """NOT EXISTS (SELECT 1 FROM observation d WHERE d.medcodeid = 'excluded' AND d.patid = e.patid
     AND coalesce(d.obsdate, d.enterdate) > e.study_entry_date)"""
 VIEWS = {
@@ -72,6 +73,13 @@ def research(v: Views):
     return cohort.research_dataset(v.patient, v.drug_issue, v.rare_observation, whole_study(v), covariates(v))
 
 
+@query("whole_research_bucketed", RESEARCH, **ENDED, **COVARIATES)
+def research_bucketed(v: Views):
+    """The same on tables that are stored in buckets of the patient."""
+    patients, drugs, seen = (write_bucketed(t, "patid", BUCKETS) for t in (v.patient, v.drug_issue, v.rare_observation))
+    return cohort.research_dataset(patients, drugs, seen, whole_study(v), covariates(v))
+
+
 # Complete cases, compared by treatment.
 NUMBERS, CATEGORIES = ("age_at_exposure", "BMI"), ("gender", "Ethnic", "asthma")
 _WANTED = ("patid", "outcome", "treatment", *NUMBERS, *CATEGORIES)

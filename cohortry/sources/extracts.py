@@ -80,3 +80,41 @@ def check_count(expected: DataFrame, tables: Mapping[str, DataFrame], strict: bo
         if bad is not None:
             raise ValueError(f"{bad.section}: expected {bad.expected} records, found {bad.found}")
     return out
+
+
+def check_files(spark: SparkSession, path: str, columns: int, sep: str = "\t") -> DataFrame:
+    """(file, records, header, bad_records, checksum) of every text file of the folder, from one scan.
+
+    ``records`` are the lines after the first, ``bad_records`` those with another number of fields than
+    ``columns``. The checksum is the sum of the first eight hex digits of each record's MD5, so it does not
+    depend on the order, and a repeated or missing record shows. Files without a line are not listed.
+    """
+    lines = spark.read.option("pathGlobFilter", "*.txt").option("recursiveFileLookup", True).text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("row"),
+    )
+    # Each part of a split file keeps its first line; the header is that of the part that starts the file.
+    digest = F.conv(F.substring(F.md5("value"), 1, 8), 16, 10).cast("decimal(38,0)")
+    fields = F.length("value") - F.length(F.replace("value", F.lit(sep), F.lit(""))) + 1
+    found = lines.groupBy("file").agg(
+        F.min(F.struct("start", "row", "value")).alias("first"), F.count(F.lit(1)).alias("lines"),
+        F.count_if(fields != columns).alias("bad"), F.sum(digest).alias("sum"),
+    )
+    header = F.col("first.value")
+    own = F.conv(F.substring(F.md5(header), 1, 8), 16, 10).cast("decimal(38,0)")
+    off = F.length(header) - F.length(F.replace(header, F.lit(sep), F.lit(""))) + 1 != columns
+    return found.select(
+        "file", (F.col("lines") - 1).alias("records"), header.alias("header"),
+        (F.col("bad") - off.cast("bigint")).alias("bad_records"), (F.col("sum") - own).cast("bigint").alias("checksum"),
+    )
+
+
+def reconcile_files(expected: DataFrame, found: DataFrame) -> DataFrame:
+    """``expected`` (file, records, header, checksum) against ``check_files``: (file, missing, unexpected, records_ok,
+    header_ok, checksum_ok, bad_records) for every file of either; the checks are false where one side lacks it."""
+    e, f = expected.alias("e"), found.alias("f")
+    same = {f"{c}_ok": F.coalesce(F.col(f"e.{c}") == F.col(f"f.{c}"), F.lit(False)) for c in ("records", "header", "checksum")}
+    return e.join(f, F.col("e.file") == F.col("f.file"), "full").select(
+        F.coalesce("e.file", "f.file").alias("file"), F.col("f.file").isNull().alias("missing"), F.col("e.file").isNull().alias("unexpected"),
+        *[v.alias(k) for k, v in same.items()], F.col("f.bad_records").alias("bad_records"),
+    )
