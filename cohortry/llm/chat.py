@@ -31,7 +31,6 @@ _PLAIN = {v: k for k, v in _CODES.items()}
 _TURN = re.compile(r"### ([^:#<]*): ([^#<]*)</turn>\n")
 ODD_CONVERSATION = -7
 ODD_TEXT = "\\### Assistant: </turn> ok"
-TURNS = "array<struct<role:string,text:string>>"
 
 
 def escape(text: str, chars: str = "\\#<") -> str:
@@ -64,55 +63,63 @@ def parse(formatted: str) -> list[tuple[str | None, str, int, int]]:
     return out
 
 
-def _paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The names of a conversation's nodes: each a digest of the one before, the role and the text."""
+def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+    """The rows of a sorted stream as tuples, some at a time."""
     for batch in batches:
-        for at in range(0, batch.num_rows, 512):
-            part = batch.slice(at, 512)
-            paths = []
-            for turns in part.column("turns").to_pylist():
-                path, name = [], b""
-                for t in turns:
-                    role = b"-" if t["role"] is None else b"=" + t["role"].encode()
-                    name = hashlib.sha256(name + len(role).to_bytes(8, "big") + role + t["text"].encode()).digest()[:16]
-                    path.append(name)
-                paths.append(path)
-            yield pa.RecordBatch.from_arrays([part.column("conv_id"), part.column("turns"), pa.array(paths, pa.list_(pa.binary()))], names=["conv_id", "turns", "path"])
+        for at in range(0, batch.num_rows, 1024):
+            yield list(zip(*(c.to_pylist() for c in batch.slice(at, 1024).columns)))
+
+
+_NODE = {
+    "conv_id": pa.int64(), "depth": pa.int64(), "node": pa.binary(), "parent": pa.binary(), "formatted": pa.string(), "length": pa.int64(),
+    "position": pa.int64(), "loss_start": pa.int64(), "loss_end": pa.int64(),
+}
+
+
+def _batch(rows: list[tuple], kinds: dict[str, pa.DataType]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds.values())], names=list(kinds))
 
 
 def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row for each node of a path, formatted, with its position."""
-    names = ["rank", "depth", "node", "parent", "formatted", "length", "position", "loss_start", "loss_end"]
-    kinds = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
-    for batch in batches:
-        for rank, path, turns in zip(*(batch.column(c).to_pylist() for c in ("rank", "path", "turns"))):
-            rows, position = [], 0
-            for depth, (name, turn) in enumerate(zip(path, turns)):
-                said, start, end = format_turn(turn["role"], turn["text"])
-                if turn["role"] != LEARNED:
-                    start = end = 0
-                rows.append((rank, depth, name, path[depth - 1] if depth else None, said, len(said), position, start, end))
-                position += len(said)
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
+    """Turns, sorted by conversation, as nodes: the name is a digest of the one before, the role and the text.
+
+    Only the digest and the position of the turn before are held, however long a conversation is.
+    """
+    last, name, depth, position = (), b"", 0, 0
+    for part in _cells(batches):
+        rows = []
+        for conv_id, role, text in part:
+            if last != (conv_id,):
+                last, name, depth, position = (conv_id,), b"", 0, 0
+            marked = b"-" if role is None else b"=" + role.encode()
+            parent, name = name or None, hashlib.sha256(name + len(marked).to_bytes(8, "big") + marked + text.encode()).digest()[:16]
+            said, start, end = format_turn(role, text)
+            if role != LEARNED:
+                start = end = 0
+            rows.append((conv_id, depth, name, parent, said, len(said), position, start, end))
+            depth, position = depth + 1, position + len(said)
+        yield _batch(rows, _NODE)
+
+
+_ATTENDS = {"node": pa.binary(), "attends": pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))}
 
 
 def _intervals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The attention intervals of the nodes that belong to a path, neighbours joined."""
-    span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-    for batch in batches:
-        for rank, chain in zip(batch.column("rank").to_pylist(), batch.column("chain").to_pylist()):
-            names, attends, above = [], [], []
-            for x in sorted(chain, key=lambda x: x["depth"]):
-                if x["owner"] == rank:
-                    names.append(x["node"])
-                    attends.append([{"start": a, "end": b} for a, b in above])
-                if above and above[-1][1] == x["offset"]:
-                    above[-1] = (above[-1][0], x["offset"] + x["length"])
-                else:
-                    above.append((x["offset"], x["offset"] + x["length"]))
-            if names:
-                yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array(attends, span)], names=["node", "attends"])
+    """The attention intervals of the nodes that belong to a path, neighbours joined; nodes sorted by path."""
+    last, above = None, []
+    for part in _cells(batches):
+        rows = []
+        for rank, node, owner, offset, length in part:
+            if rank != last:
+                last, above = rank, []
+            if owner == rank:
+                rows.append((node, [{"start": a, "end": b} for a, b in above]))
+            if above and above[-1][1] == offset:
+                above[-1] = (above[-1][0], offset + length)
+            else:
+                above.append((offset, offset + length))
+        if rows:
+            yield _batch(rows, _ATTENDS)
 
 
 @dataclass
@@ -130,20 +137,26 @@ def format_conversations(rows: DataFrame) -> Formatted:
 
     Turns are in the order of ``turn``, null first, equal numbers by role and text. A null text counts as
     empty, a null role is kept apart from every other, a null conv_id is a conversation of its own, repeated
-    rows are repeated turns. A conversation is read in one piece, the tree never is. Other columns are ignored.
+    rows are repeated turns. Turns are read as a sorted stream, so that a conversation of any length passes
+    through a task without being held; of a path only the nodes' names (16 bytes a turn) stand in one row.
+    Other columns are ignored.
     """
-    turn = F.struct("turn", "role", F.coalesce("text", F.lit("")).alias("text"))
-    talks = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list(turn)).alias("turns"))
-    talks = talks.select("conv_id", F.transform("turns", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text"))).alias("turns"))
-    talks = materialise(talks.mapInArrow(_paths, f"conv_id long, turns {TURNS}, path array<binary>").withColumn("leaf", F.element_at("path", -1)))
-    distinct = talks.groupBy("leaf").agg(F.first("path").alias("path"), F.first("turns").alias("turns"))
+    order = ["conv_id", "turn", "role", "text"]
+    turns = rows.select(F.col("conv_id").cast("long").alias("conv_id"), "turn", "role", F.coalesce("text", F.lit("")).alias("text"))
+    turns = turns.repartition("conv_id").sortWithinPartitions(*order).select("conv_id", "role", "text")
+    made = materialise(turns.mapInArrow(
+        _nodes, "conv_id long, depth long, node binary, parent binary, formatted string, length long, position long, loss_start long, loss_end long"
+    ))
+    talks = materialise(made.groupBy("conv_id").agg(F.max_by("node", "depth").alias("leaf")))
+    # Of equal conversations one goes on.
+    one = talks.groupBy("leaf").agg(F.min(F.struct(F.col("conv_id").isNull().alias("none"), "conv_id")).alias("first"))
+    chosen = made.join(one.select("leaf", F.col("first.conv_id").alias("of")), F.col("conv_id").eqNullSafe(F.col("of"))).drop("of", "conv_id")
+    paths = chosen.groupBy("leaf").agg(F.sort_array(F.collect_list(F.struct("depth", "node"))).alias("path"))
     # The number of a row in sorted parts grows along them; stored, it is the same whenever it is read.
-    sorted_paths = materialise(distinct.orderBy("path").withColumn("rank", F.monotonically_increasing_id()))
-    made = sorted_paths.select("rank", "path", "turns").mapInArrow(
-        _nodes, "rank long, depth int, node binary, parent binary, formatted string, length long, position long, loss_start long, loss_end long"
-    )
+    sorted_paths = materialise(paths.select("leaf", F.col("path.node").alias("path")).orderBy("path").withColumn("rank", F.monotonically_increasing_id()))
+    ranks = sorted_paths.select("leaf", "rank")
     payload = ("parent", "depth", "formatted", "length", "position", "loss_start", "loss_end")
-    owned = materialise(made.groupBy("node").agg(F.min("rank").alias("owner"), *[F.first(c).alias(c) for c in payload]))
+    owned = materialise(chosen.join(ranks, "leaf").groupBy("node").agg(F.min("rank").alias("owner"), *[F.first(c).alias(c) for c in payload]))
     # Offsets: running lengths within a sorted part, after the lengths of the parts before.
     owned = owned.withColumn("part", F.expr("shiftright(owner, 33)"))
     parts = owned.groupBy("part").agg(F.sum("length").alias("size"))
@@ -152,33 +165,49 @@ def format_conversations(rows: DataFrame) -> Formatted:
     inside = Window.partitionBy("part").orderBy("owner", "depth").rowsBetween(Window.unboundedPreceding, -1)
     placed = owned.withColumn("inside", F.coalesce(F.sum("length").over(inside), F.lit(0))).join(parts, "part")
     placed = materialise(placed.withColumn("offset", F.col("base") + F.col("inside")).drop("part", "base", "inside"))
-    chains = sorted_paths.select("rank", F.explode("path").alias("node")).join(placed.select("node", "owner", "depth", "offset", "length"), "node")
-    chains = chains.groupBy("rank").agg(F.collect_list(F.struct("depth", "node", "owner", "offset", "length")).alias("chain"))
+    chains = chosen.select("leaf", "node").join(ranks, "leaf").join(placed.select("node", "owner", "depth", "offset", "length"), "node")
+    chains = chains.repartition("rank").sortWithinPartitions("rank", "depth").select("rank", "node", "owner", "offset", "length")
     attends = chains.mapInArrow(_intervals, "node binary, attends array<struct<start:long,end:long>>")
     nodes = placed.drop("owner").join(attends, "node")
-    return Formatted(nodes, talks.select("conv_id", "leaf"), sorted_paths.select("leaf", "path"))
+    return Formatted(nodes, talks, sorted_paths.select("leaf", "path"))
+
+
+_READ = {"leaf": pa.binary(), "n_turns": pa.int64(), "turns_sha256": pa.string(), "loss_chars": pa.int64(), "loss_sha256": pa.string(), "formatted_chars": pa.int64()}
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["leaf", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
-    kinds = [pa.binary(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
-    for batch in batches:
+    """Formatted nodes, sorted by conversation and position, read turn by turn; digests are kept, texts not."""
+    last, n, chars, learned = None, 0, 0, 0
+    said, loss = hashlib.sha256(), hashlib.sha256()
+
+    def ended() -> list[tuple]:
+        return [(last, n, said.hexdigest(), learned, loss.hexdigest(), chars)] if last is not None else []
+
+    for part in _cells(batches):
         rows = []
-        for leaf, pieces in zip(batch.column("leaf").to_pylist(), batch.column("pieces").to_pylist()):
-            pieces.sort(key=lambda p: p["position"])
-            formatted = "".join([p["formatted"] for p in pieces])
-            turns = "".join([f"{'' if role is None else role}\n{text}\n" for role, text, _, _ in parse(formatted)])
-            learned = "".join([unescape(formatted[p["position"] + p["loss_start"] : p["position"] + p["loss_end"]]) for p in pieces])
-            rows.append((leaf, len(pieces), hashlib.sha256(turns.encode()).hexdigest(), len(learned), hashlib.sha256(learned.encode()).hexdigest(), len(formatted)))
+        for leaf, formatted, start, end in part:
+            if leaf != last:
+                rows += ended()
+                last, n, chars, learned = leaf, 0, 0, 0
+                said, loss = hashlib.sha256(), hashlib.sha256()
+            for role, text, _, _ in parse(formatted):
+                said.update(f"{'' if role is None else role}\n{text}\n".encode())
+                n += 1
+            taught = unescape(formatted[start:end])
+            loss.update(taught.encode())
+            learned += len(taught)
+            chars += len(formatted)
         if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
+            yield _batch(rows, _READ)
+    if rows := ended():
+        yield _batch(rows, _READ)
 
 
 def read_back(out: Formatted) -> DataFrame:
     """conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars from the formatted output;
     a null role reads as an empty one in the digest. Equal conversations are read once."""
     pieces = out.paths.select("leaf", F.explode("path").alias("node")).join(out.nodes.select("node", "position", "formatted", "loss_start", "loss_end"), "node")
-    pieces = pieces.groupBy("leaf").agg(F.collect_list(F.struct("position", "formatted", "loss_start", "loss_end")).alias("pieces"))
+    pieces = pieces.repartition("leaf").sortWithinPartitions("leaf", "position").select("leaf", "formatted", "loss_start", "loss_end")
     read = pieces.mapInArrow(_read, "leaf binary, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
     return out.conversations.join(read, "leaf").drop("leaf")
 

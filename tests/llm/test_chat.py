@@ -74,3 +74,14 @@ def test_query(spark):
     assert read(got) == plain([*rows, (-7, 0, "user", ODD_TEXT), (-7, 1, "assistant", ODD_TEXT)])
     odd = got.filter("conv_id = -7").first()
     assert odd.formatted_chars == sum(len(format_turn(r, ODD_TEXT)[0]) for r in ("user", "assistant"))
+
+
+def test_long_conversations_in_small_batches(spark):
+    rows = [(c, k, ("user", "assistant")[k % 2], f"t{k // 3 if k < 40 else k * (c or 7)}") for c in (1, 2, None) for k in range(120)]
+    df = spark.createDataFrame([(*r, "x") for r in rows], SCHEMA)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        assert read(read_back(format_conversations(df))) == plain(rows)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
