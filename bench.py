@@ -22,7 +22,7 @@ HEADLINE = (
     "add_first_exposure", "attrition_table", "acceptable_cohort", "add_outcome", "add_study_end", "baseline_exposure_flags",
     "condition_flags", "latest_measurement", "research_dataset", "first_treatment_share", "treatment_sequence", "rollup_codes",
     "rollup_values", "value_timeline", "cross_section", "smd_pairs", "table_one", "chi_square_pairs", "welch_t_pairs",
-    "profile_columns", "box_summary", "tmle_binary",
+    "profile_columns", "box_summary", "tmle_binary", "whole_research", "whole_research_bucketed", "running_counts",
 )
 
 
