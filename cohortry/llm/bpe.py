@@ -34,7 +34,7 @@ from tokenizers import Regex, normalizers, pre_tokenizers
 from .common import fresh, whole
 
 # Bounds of the caches of one Python worker; a full one starts anew, results do not depend on them.
-CACHED_CHUNKS, CACHED_WORDS, CACHED_PREFIXES, CACHED_STEPS = 250_000, 100_000, 200_000, 200_000
+CACHED_CHUNKS, CACHED_WORDS, CACHED_PREFIXES, CACHED_STEPS = 150_000, 100_000, 100_000, 100_000
 # Only pieces up to so many bytes are kept in a cache.
 SHARED_BYTES = 48
 # Texts below this code point (Latin letters) take a shorter pattern.
@@ -280,7 +280,8 @@ def encode_texts(docs: DataFrame, path: str, ids: str = "token_ids", decoded: st
                     found = [automaton.encode(t) for t in part.column(part.num_columns - 1).cast(pa.binary()).to_pylist()]
                     new = [pa.array([f[0] for f in found], pa.binary()), pa.array([f[1] for f in found], pa.string())]
                     yield pa.RecordBatch.from_arrays([*part.columns[:-1], *new], names=[*part.schema.names[:-1], ids, decoded])
-        finally:
+        finally:  # a worker that waits for its next task holds no caches
+            automaton._fresh_caches()
             gc.enable()
 
     return plain.mapInArrow(run, schema)
