@@ -34,7 +34,7 @@ from tokenizers import Regex, normalizers, pre_tokenizers
 from .common import fresh, whole
 
 # Bounds of the caches of one Python worker; a full one starts anew, results do not depend on them.
-CACHED_CHUNKS, CACHED_WORDS, CACHED_PREFIXES, CACHED_STEPS = 150_000, 100_000, 100_000, 100_000
+CACHED_CHUNKS, CACHED_WORDS, CACHED_PREFIXES, CACHED_STEPS = 250_000, 200_000, 100_000, 100_000
 # Only pieces up to so many bytes are kept in a cache.
 SHARED_BYTES = 48
 # Texts below this code point (Latin letters) take a shorter pattern.
