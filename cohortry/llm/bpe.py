@@ -33,12 +33,16 @@ from tokenizers import Regex, normalizers, pre_tokenizers
 
 from .common import fresh, whole
 
-# Bounds of the caches of one Python worker; a full one starts anew, results do not depend on them.
-CACHED_CHUNKS, CACHED_WORDS, CACHED_PREFIXES, CACHED_STEPS = 250_000, 200_000, 100_000, 100_000
-# Only pieces up to so many bytes are kept in a cache.
-SHARED_BYTES = 48
+# Bounds of the caches of one Python worker; a full one starts anew, results do not depend on them. Of words
+# the ones before are kept until it is full again.
+CACHED_WORDS, CACHED_PREFIXES, CACHED_STEPS = 175_000, 100_000, 100_000
+# Only words up to so many letters are kept beyond their slice, and their prefixes up to so many bytes.
+SHARED = 48
+# A text is encoded in slices of so many letters that end at white space, so that a long one is never held as words.
+SLICE = 1 << 18
 # Texts below this code point (Latin letters) take a shorter pattern.
 NARROW = 0x250
+_GAP = re.compile(r"[ \t-\r]")
 
 
 def byte_letters() -> list[str]:
@@ -76,13 +80,35 @@ def word_pattern(pattern: str, classes: dict[str, list[tuple[int, int]]], end: i
     return re.compile(pattern)
 
 
+class _Coded(dict):
+    """Ids of words as they are packed, read when first met."""
+
+    def __init__(self, read):
+        super().__init__()
+        self.read, self.before, self.long = read, {}, {}
+
+    def __missing__(self, word: str) -> bytes:
+        code = self.before.get(word) or self.long.get(word)
+        if code is None:
+            ids = self.read(word.encode())
+            code = struct.pack(f"<{len(ids)}I", *ids)
+        if len(word) > SHARED:
+            self.long[word] = code
+            return code
+        if len(self) >= CACHED_WORDS:
+            self.before = dict(self)
+            self.clear()
+        self[word] = code
+        return code
+
+
 class Automaton:
     """Compiled merges; see the head of this file. Instances travel to the tasks without their caches."""
 
     def __init__(self, vocab: dict[str, int], merges: list[tuple[str, str]], suffix: str, special: dict[str, int], pattern: str):
         self.special, self.pattern = special, pattern
         # What all special strings begin with; None without any. Empty: any text may hold one.
-        self.mark = os.path.commonprefix(list(special)).encode() if special else None
+        self.mark = os.path.commonprefix(list(special)) if special else None
         self.classes = {name: class_members(name) for name in (r"\p{L}", r"\p{N}", r"\s")}
         self.lower = lower_differences()
         size = max([*vocab.values(), *special.values()]) + 1
@@ -118,13 +144,15 @@ class Automaton:
     def _fresh_caches(self) -> None:
         self.steps: dict[int, bool] = {}
         self.states: dict[bytes, int] = {}
-        self.of_word: dict[bytes, list[int]] = {}
-        self.coded: dict[bytes, bytes] = {}
+        self.coded = _Coded(self.read)
         self.narrow, self.wide = word_pattern(self.pattern, self.classes, NARROW), None
+        # Letters that need the long way: beyond the short pattern, or once they are in lower case, or lowered apart.
+        apart = [chr(c) for c in range(128, NARROW) if c in self.lower or max(chr(c).lower()) >= chr(NARROW)]
+        self.beyond = re.compile(f"[{''.join(apart)}{chr(NARROW)}-{chr(sys.maxunicode)}]")
         self.marks = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
 
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k not in ("steps", "states", "of_word", "coded", "narrow", "wide", "marks")}
+        return {k: v for k, v in self.__dict__.items() if k not in ("steps", "states", "coded", "narrow", "wide", "beyond", "marks")}
 
     def __setstate__(self, state):
         self.__dict__.update(state)
@@ -150,8 +178,8 @@ class Automaton:
         if len(steps) >= CACHED_STEPS:
             steps.clear()
         # Short words share the states of their prefixes, which are known by their bytes.
-        at = [word[:i] for i in range(end + 1)] if end <= SHARED_BYTES else range(end + 1)
-        states = self.states if end <= SHARED_BYTES else {}
+        at = [word[:i] for i in range(end + 1)] if end <= SHARED else range(end + 1)
+        states = self.states if end <= SHARED else {}
         if len(states) >= CACHED_PREFIXES:
             states.clear()
         known = end - 1
@@ -184,63 +212,53 @@ class Automaton:
             end -= self.size[label]
         return ids[::-1]
 
-    def split(self, text: str) -> list[bytes]:
+    def split(self, text: str) -> list[str]:
         """Normalised words of a text without special strings: composed, lower case, cut by the pattern."""
-        low = (text if text.isascii() else unicodedata.normalize("NFC", text).translate(self.lower)).lower()
-        if low.isascii() or max(low) < chr(NARROW):
-            return [w.encode() for w in self.narrow.findall(low)]
+        if text.isascii():
+            return self.narrow.findall(text.lower())
+        text = unicodedata.normalize("NFC", text)
+        if not self.beyond.search(text):
+            return self.narrow.findall(text.lower())
         if self.wide is None:
             self.wide = word_pattern(self.pattern, self.classes, sys.maxunicode + 1)
-        return [w.encode() for w in self.wide.findall(low)]
-
-    def encode_chunk(self, chunk: bytes) -> list[int]:
-        """Label ids of a piece of text without ASCII white space."""
-        out: list[int] = []
-        text = chunk.decode()
-        for part in self.marks.split(text) if self.marks else [text]:
-            if part in self.special:
-                out.append(self.special[part])
-            else:
-                for word in self.split(part):
-                    known = self.of_word.get(word)
-                    if known is None:
-                        if len(self.of_word) >= CACHED_WORDS:
-                            self.of_word.clear()
-                        known = self.read(word)
-                        if len(word) <= SHARED_BYTES:
-                            self.of_word[word] = known
-                    out += known
-        return out
+        return self.wide.findall(text.translate(self.lower).lower())
 
     def encode(self, text: bytes) -> tuple[bytes, str]:
         """(ids as little-endian unsigned 32-bit integers, their labels joined by a space)."""
-        # ASCII letters may be lowered at once, unless that could make a special string of another one.
-        chunks = (text.lower() if self.mark is None or self.mark and self.mark not in text else text).split()
-        coded = self.coded
-        if len(coded) >= CACHED_CHUNKS:
-            coded.clear()
-        found = list(map(coded.get, chunks))
-        if None in found:
-            own: dict[bytes, bytes] = {}  # long pieces are not kept beyond their text
-            for k, c in enumerate(chunks):
-                if found[k] is None:
-                    code = coded.get(c)
-                    if code is None:
-                        code = own.get(c)
-                    found[k] = self._code(c, coded if len(c) <= SHARED_BYTES else own) if code is None else code
-        ids = b"".join(found)
-        return ids, self.decode(struct.unpack(f"<{len(ids) // 4}I", ids))
-
-    def _code(self, chunk: bytes, into: dict[bytes, bytes]) -> bytes:
-        ids = self.encode_chunk(chunk)
-        into[chunk] = code = struct.pack(f"<{len(ids)}I", *ids)
-        return code
+        found, said = [], []
+        for part in slices(text.decode()):
+            self.coded.long.clear()
+            ids = self._ids(part)
+            if ids:
+                found.append(ids)
+                said.append(self.decode(struct.unpack(f"<{len(ids) // 4}I", ids)))
+        return b"".join(found), " ".join(said)
+
+    def _ids(self, text: str) -> bytes:
+        code = self.coded.__getitem__
+        # None: no special string in the file; an empty mark may stand anywhere.
+        if self.mark is None or self.mark and self.mark not in text:
+            return b"".join(map(code, self.split(text)))
+        return b"".join(
+            struct.pack("<I", self.special[part]) if part in self.special else b"".join(map(code, self.split(part)))
+            for part in self.marks.split(text)
+        )
 
     def decode(self, ids) -> str:
         """The labels of the arcs, joined by a space: what a tokenizer file without a decoder asks for."""
         return " ".join(map(self.labels.__getitem__, ids))
 
 
+def slices(text: str) -> Iterator[str]:
+    """The text in pieces of about ``SLICE`` letters. A piece ends before ASCII white space, over which nothing is composed or joined."""
+    at = 0
+    while at < len(text):
+        gap = _GAP.search(text, at + SLICE)
+        end = gap.start() if gap else len(text)
+        yield text[at:end]
+        at = end
+
+
 def load_automaton(path: str) -> Automaton:
     """Compile a tokenizer file of the kind: NFC, lower case, a splitting pattern, byte-level letters,
     merges with a word-end suffix, no decoder. Read on the driver; the tables are bounded by the file."""
@@ -275,8 +293,8 @@ def encode_texts(docs: DataFrame, path: str, ids: str = "token_ids", decoded: st
         gc.disable()  # nothing here makes cycles, and going through the caches again and again is dear
         try:
             for batch in batches:
-                for start in range(0, batch.num_rows, 1024):
-                    part = batch.slice(start, 1024)
+                for start in range(0, batch.num_rows, 256):
+                    part = batch.slice(start, 256)
                     found = [automaton.encode(t) for t in part.column(part.num_columns - 1).cast(pa.binary()).to_pylist()]
                     new = [pa.array([f[0] for f in found], pa.binary()), pa.array([f[1] for f in found], pa.string())]
                     yield pa.RecordBatch.from_arrays([*part.columns[:-1], *new], names=[*part.schema.names[:-1], ids, decoded])

@@ -58,13 +58,22 @@ def test_as_the_library_on_any_text(automaton, library, text):
 def test_full_caches_change_nothing(library, monkeypatch):
     from cohortry.llm import bpe
 
-    for name in ("CACHED_CHUNKS", "CACHED_WORDS", "CACHED_PREFIXES", "CACHED_STEPS"):
+    for name in ("CACHED_WORDS", "CACHED_PREFIXES", "CACHED_STEPS"):
         monkeypatch.setattr(bpe, name, 3)
     small = load_automaton(PATH)
     for text in ("one two three four five one two six", "seven eight nine ten seven"):
         assert got(small, text) == want(library, text)
 
 
+def test_slices_change_nothing(automaton, library, monkeypatch):
+    from cohortry.llm import bpe
+
+    monkeypatch.setattr(bpe, "SLICE", 7)
+    for text in [*TEXTS, " a \n\n<|endoftext|> b<|endoftext|>c " + "word " * 50, "e \u0301e\u0301 \u023a\u0130 " * 9, "x" * 200 + " " + "x" * 200]:
+        assert got(automaton, text) == want(library, text)
+        assert "".join(bpe.slices(text)) == text
+
+
 def test_round_trip_and_columns(spark, automaton):
     docs = documents(spark, (1, "Some words"), (None, None), (3, ""))
     coded = encode_texts(docs, PATH)
