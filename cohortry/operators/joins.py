@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -113,6 +113,48 @@ def attach_ethnicity(patients: DataFrame, ethnicity: DataFrame, key: str = "pati
     return patients.join(ethnicity.select(key, F.col("ethnic_6").alias("Ethnic")), key, how)
 
 
+def _ordered_bands(bands: DataFrame) -> DataFrame:
+    """(_group, _low, _high, _code) with open ends as infinities; bands that overlap or are empty are an error."""
+    ends = bands.select(
+        F.col("group").cast("string").alias("_group"), F.coalesce(F.col("low").cast("double"), F.lit(float("-inf"))).alias("_low"),
+        F.coalesce(F.col("high").cast("double"), F.lit(float("inf"))).alias("_high"), F.col("code").alias("_code"),
+    ).filter("_group IS NOT NULL")
+    sooner = Window.partitionBy("_group").orderBy("_low", "_high").rowsBetween(Window.unboundedPreceding, -1)
+    wrong = ends.withColumn("_before", F.max("_high").over(sooner)).filter("_before > _low OR _low >= _high OR isnan(_low) OR isnan(_high)")
+    if (found := wrong.orderBy("_group", "_low").first()) is not None:
+        raise ValueError(f"bands of group {found._group} overlap or are empty at ({found._low}, {found._high}]")
+    return ends
+
+
+def band_join(rows: DataFrame, bands: DataFrame, group: str, value: str, code: str = "level") -> DataFrame:
+    """``rows`` with ``code``, the code of the band (low, high] of the row's group that holds the value.
+
+    ``bands`` is a table (group, low, high, code), where a null low or high leaves that end open; groups meet as
+    text. A row in a gap, of an unknown or null group, or whose value is null, no number or NaN, gets null. Every
+    group's span is cut into as many cells as it has bands and a band stands in each cell it touches, so bands that
+    do not overlap make at most two entries a band, and a row meets those of its own cell only.
+    """
+    ends = _ordered_bands(bands)
+    inner = lambda c: F.when(~F.abs(c).isin(float("inf")), F.col(c))
+    spans = ends.groupBy("_group").agg(
+        F.least(F.min(inner("_low")), F.min(inner("_high"))).alias("_from"), F.greatest(F.max(inner("_low")), F.max(inner("_high"))).alias("_to"),
+        F.count(F.lit(1)).cast("double").alias("_cells"),
+    )
+
+    def cell(x: str) -> Column:
+        """Never falls as x grows, so a value's cell lies between those of its band's ends."""
+        place = (F.col(x) - F.col("_from")) * (F.col("_cells") / (F.col("_to") - F.col("_from")))
+        return F.when(F.col("_to") > F.col("_from"), F.floor(F.least(F.greatest(place, F.lit(0.0)), F.col("_cells") - 1)).cast("long")).otherwise(F.lit(0).cast("long"))
+
+    entries = ends.join(spans, "_group").select("_group", F.explode(F.sequence(cell("_low"), cell("_high"))).alias("_cell"), "_low", "_high", "_code")
+    marked = rows.withColumns({"_group": F.col(group).cast("string"), "_value": F.col(value).try_cast("double")})
+    marked = marked.join(broadcast_if_small(spans), "_group", "left").withColumn("_cell", cell("_value")).drop("_from", "_to", "_cells")
+    inside = (F.col("r._value") > F.col("b._low")) & (F.col("r._value") <= F.col("b._high"))
+    same = (F.col("r._group") == F.col("b._group")) & (F.col("r._cell") == F.col("b._cell"))
+    found = marked.alias("r").join(broadcast_if_small(entries).alias("b"), same & inside, "left")
+    return found.select(*[F.col(f"r.`{c}`") for c in rows.columns], F.col("b._code").alias(code))
+
+
 def outer(left: DataFrame, right: DataFrame, key: str = "patid") -> DataFrame:
     return left.join(right, key, "full_outer")
 

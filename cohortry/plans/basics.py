@@ -265,6 +265,22 @@ def _(v: Views):
     return rows.select("patid", "medcodeid", clean.threshold_by_group(BANDS).alias("level"))
 
 
+@query(
+    "threshold_by_band_table", """SELECT patid, medcodeid, value, b.code AS level FROM observation LEFT JOIN patient USING (patid)
+    LEFT JOIN bands b ON b.grp = patient.gender AND value > b.low AND (value <= b.high OR b.high IS NULL)""",
+    bands="""SELECT CAST(p_partkey % 2 + 1 AS VARCHAR) AS grp, p_partkey * 40.0 AS low, CASE WHEN p_partkey <> (SELECT max(p_partkey) FROM part) THEN p_partkey * 40.0 + 60.0 END AS high, p_partkey AS code FROM part""",
+)
+def _(v: Views):
+    """A band for each part, with gaps between them; the last has no upper end."""
+    part = v.table("part")
+    last = part.agg(F.max("p_partkey").alias("last"))
+    bands = part.join(F.broadcast(last), F.col("p_partkey") == F.col("last"), "left").selectExpr(
+        "p_partkey % 2 + 1 AS group", "p_partkey * 40.0D AS low", "CASE WHEN last IS NULL THEN p_partkey * 40.0D + 60.0D END AS high", "p_partkey AS code",
+    )
+    rows = joins.attach_patient_attrs(v.observation, v.patient, ["gender"])
+    return joins.band_join(rows, tables.materialise(bands), "gender", "value").select("patid", "medcodeid", "value", "level")
+
+
 @query("value_range_filter", "SELECT patid, value, Description AS unit FROM observation LEFT JOIN units ON CAST(observation.numunitid AS INTEGER) = units.numunitid WHERE value BETWEEN 20000 AND 90000 AND Description = 'kg/m2'")
 def _(v: Views):
     rows = joins.lookup_join(v.observation.withColumn("numunitid", F.col("numunitid").cast("int")), v.units.withColumnRenamed("Description", "unit"), "numunitid")

@@ -130,3 +130,26 @@ def test_fold_loses_nothing_silently(spark):
         joins.full_outer_fold([one, two]).collect()
     with pytest.raises(ValueError, match="share column names"):
         joins.full_outer_fold([two, two])
+
+
+def test_bands_as_a_table(spark, either_join):
+    inf, nan = float("inf"), float("nan")
+    bands = [("1", None, 0.0, 0), ("1", 0.0, 5.0, 1), ("1", 7.0, None, 2), ("2", 1.0, 2.0, 3), ("3", None, None, 4)]
+    bands += [("4", float(i), float(i + 1), i) for i in range(10_000)]
+    rows = [(g, x) for g in ("1", "2", "3", "4", "5", None) for x in (-inf, -3.0, 0.0, 0.1, 1.0, 2.0, 5.0, 6.0, 7.0, 7.1, 9_999.5, 10_000.0, 10_001.0, inf, nan, None)]
+
+    def want(g, x):
+        if x is None or x != x:
+            return None
+        return next((c for b, low, high, c in bands if b == g and x > (-inf if low is None else low) and x <= (inf if high is None else high)), None)
+
+    got = joins.band_join(frame(spark, rows, "grp string, x double"), frame(spark, bands, "group string, low double, high double, code int"), "grp", "x")
+    assert sorted(str(tuple(r)) for r in got.collect()) == sorted(str((g, x, want(g, x))) for g, x in rows)
+
+
+def test_bands_that_overlap(spark):
+    for bad in ([("1", 0.0, 5.0, 0), ("1", 4.0, 6.0, 1)], [("1", 5.0, 5.0, 0)], [("1", None, 5.0, 0), ("1", None, 6.0, 1)]):
+        with pytest.raises(ValueError, match="overlap or are empty"):
+            joins.band_join(frame(spark, [("1", 1.0)], "grp string, x double"), frame(spark, bad, "group string, low double, high double, code int"), "grp", "x")
+    none = frame(spark, [], "group string, low double, high double, code int")
+    assert [r.level for r in joins.band_join(frame(spark, [("1", 1.0)], "grp string, x double"), none, "grp", "x").collect()] == [None]
