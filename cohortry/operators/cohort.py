@@ -19,6 +19,7 @@ from .flags import (
     unpack_measurement, unpack_medications, with_unit,
 )
 from .joins import attach_ethnicity, patient_semi
+from .keyfilter import early_filter
 from .outcome import OutcomeRules, no_prior_outcome, outcome_part, unpack_outcome
 from .summaries import ON, Part, in_role, role, summarise_events
 
@@ -78,11 +79,13 @@ def steps(study: Study) -> list[tuple[str, Column]]:
 
 def eligibility(
     patients: DataFrame, drugs: DataFrame, events: DataFrame | None, study: Study,
-    drug_parts: Sequence[Part] = (), event_parts: Sequence[Part] = (),
+    drug_parts: Sequence[Part] = (), event_parts: Sequence[Part] = (), early: bool = False,
 ) -> DataFrame:
     """All patients with exposure, exclusion and outcome columns. Each event table is scanned once.
 
-    Further parts ride along in the same scans.
+    Further parts ride along in the same scans. With ``early`` only patients are returned that pass the steps
+    told by patients and drugs alone: they are worked out and stored first, and events of others are
+    dropped by a filter of their keys before anything is tagged, sorted or shuffled.
     """
     on_drugs, on_events = [exposure_part(study.exposure, study.drug_dates[0]), *drug_parts], list(event_parts)
     if study.exclusion is not None:
@@ -91,6 +94,9 @@ def eligibility(
         on_events.append(outcome_part(study.outcome))
     summary = summarise_events(drugs, on_drugs, "prodcodeid", study.drug_dates)
     out = with_study_entry(with_time_to_exposure(unpack_exposure(patients.join(summary, "patid", "left"))), study.lookback)
+    if on_events and early:
+        out = materialise(keep_eligible(out, study, events_known=False))
+        events = early_filter(events, out)
     if on_events:
         out = out.join(summarise_events(events, on_events, "medcodeid", study.event_dates), "patid", "left")
     return unpack_outcome(out, study.outcome) if study.outcome is not None else out
@@ -100,15 +106,18 @@ def _holds(condition: Column) -> Column:
     return F.coalesce(condition, F.lit(False))
 
 
-def keep_eligible(patients: DataFrame, study: Study) -> DataFrame:
-    for _, condition in steps(study):
-        patients = patients.filter(_holds(condition))
+def keep_eligible(patients: DataFrame, study: Study, events_known: bool = True) -> DataFrame:
+    """Patients that pass the steps; without ``events_known`` those that need no events."""
+    later = set() if events_known else {"no_prior_outcome"} | ({"exclusion"} if study.exclusion_in == "events" else set())
+    for name, condition in steps(study):
+        if name not in later:
+            patients = patients.filter(_holds(condition))
     return patients
 
 
-def acceptable_cohort(patients: DataFrame, drugs: DataFrame, events: DataFrame | None, study: Study) -> DataFrame:
-    """Patients that pass every step, with exposure, study entry and outcome."""
-    kept = keep_eligible(eligibility(patients, drugs, events, study), study)
+def acceptable_cohort(patients: DataFrame, drugs: DataFrame, events: DataFrame | None, study: Study, early: bool = False) -> DataFrame:
+    """Patients that pass every step, with exposure, study entry and outcome; ``early`` as in ``eligibility``."""
+    kept = keep_eligible(eligibility(patients, drugs, events, study, early=early), study)
     return kept.drop("_last_excluded", "single_class")
 
 
@@ -161,15 +170,15 @@ WORKING_COLUMNS = (
 
 
 def research_dataset(
-    patients: DataFrame, drugs: DataFrame, events: DataFrame, study: Study, covariates: Covariates
+    patients: DataFrame, drugs: DataFrame, events: DataFrame, study: Study, covariates: Covariates, early: bool = False
 ) -> DataFrame:
-    """One row per eligible patient: outcome within the study, treatment, age and all covariates."""
+    """One row per eligible patient: outcome within the study, treatment, age and all covariates; ``early`` as in ``eligibility``."""
     c = covariates
     measured = measurement_part(c.measurement, "BMI", *c.measurement_range)
     wide = eligibility(
         patients, drugs, with_unit(events, c.units, c.measurement_unit), study,
         [medication_part(c.medications, c.medication_names)],
-        [condition_part(c.conditions, c.condition_names), measured],
+        [condition_part(c.conditions, c.condition_names), measured], early,
     )
     cohort = keep_eligible(wide, study).withColumnRenamed("first_exposure_date", "index_date")
     cohort = censor_outcome(add_study_end(cohort, study.end))

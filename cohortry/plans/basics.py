@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import clean, dates
-from ..operators import events, joins, patterns, rollup, sets
+from ..operators import events, joins, keyfilter, patterns, rollup, sets
 from ..session import shared_dir
 from ..sources import codelists, extracts, layout, tables
 from ..stats import describe
@@ -344,6 +344,12 @@ def _(v: Views):
     return joins.patient_semi(v.drug_issue.select("patid", "prodcodeid", "issuedate"), v.patient.filter("acceptable = '0'"))
 
 
+@query("early_semi", "SELECT patid, prodcodeid, issuedate FROM drug_issue WHERE patid IN (SELECT patid FROM patient WHERE acceptable = '0')")
+def _(v: Views):
+    """With no room for the keys themselves: reduced by the filter of their bits, then joined."""
+    return keyfilter.early_semi(v.drug_issue.select("patid", "prodcodeid", "issuedate"), v.patient.filter("acceptable = '0'"), max_bytes=0)
+
+
 @query("patient_anti", "SELECT patid, gender FROM patient WHERE patid NOT IN (SELECT patid FROM exposed)", exposed=EXPOSED)
 def _(v: Views):
     found = joins.codelist_filter(v.drug_issue.select("patid", "prodcodeid"), v.exposure_codes, "prodcodeid")

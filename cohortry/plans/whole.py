@@ -80,6 +80,12 @@ def research_bucketed(v: Views):
     return cohort.research_dataset(patients, drugs, seen, whole_study(v), covariates(v))
 
 
+@query("whole_research_early", RESEARCH, **ENDED, **COVARIATES)
+def research_early(v: Views):
+    """The same with observations reduced by a filter of the patients that drugs leave eligible."""
+    return cohort.research_dataset(v.patient, v.drug_issue, v.rare_observation, whole_study(v), covariates(v), early=True)
+
+
 # Complete cases, compared by treatment.
 NUMBERS, CATEGORIES = ("age_at_exposure", "BMI"), ("gender", "Ethnic", "asthma")
 _WANTED = ("patid", "outcome", "treatment", *NUMBERS, *CATEGORIES)
