@@ -35,7 +35,8 @@ def shared_dir(spark: SparkSession) -> str:
 
     The folder is read from the session. A local session without the setting, as in tests, gets a
     temporary one; on a cluster that would be out of the executors' reach, so there it is an error. All
-    folders of an application stand in one of its own, which its driver deletes when it exits.
+    folders of an application stand in one of its own, which its driver deletes when it exits. Names are short, as
+    plans show no more than 100 letters of a path.
     """
     app = spark.sparkContext.applicationId
     if app not in _OWN_BASE:
@@ -46,10 +47,10 @@ def shared_dir(spark: SparkSession) -> str:
             if not spark.sparkContext.master.startswith("local"):
                 raise RuntimeError(f"{CHECKPOINT_CONF} must name a folder that every executor can reach")
             base = tempfile.gettempdir()
-        own = f"{base.rstrip('/')}/cohortry-{uuid.uuid4().hex}"
+        own = f"{base.rstrip('/')}/cohortry-{uuid.uuid4().hex[:12]}"
         path = spark._jvm.org.apache.hadoop.fs.Path(own)
         files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
         files.mkdirs(path)
         files.deleteOnExit(path)
         _OWN_BASE[app] = own
-    return f"{_OWN_BASE[app]}/{uuid.uuid4().hex}"
+    return f"{_OWN_BASE[app]}/{uuid.uuid4().hex[:16]}"
