@@ -144,7 +144,7 @@ def with_unit(events: DataFrame, units: DataFrame, text: str = BMI_UNIT) -> Data
     unique = ids.distinct().withColumn(IN_UNIT, F.lit(True))
     if fits(ids):  # small with all repeats
         unique = F.broadcast(unique)
-    return events.withColumn("_unit", F.col("numunitid").try_cast("int")).join(unique, "_unit", "left").drop("_unit")
+    return events.join(unique, F.col("numunitid").try_cast("int") == F.col("_unit"), "left").drop("_unit")
 
 
 def _in_range(low: float, high: float):

@@ -1,4 +1,4 @@
-"""Early reduction of events to the patients that can matter, by a Bloom filter of their keys."""
+"""Early reduction of events to the patients and codes that can matter, by semi joins and Bloom filters of their keys."""
 
 from __future__ import annotations
 
@@ -53,9 +53,21 @@ def early_filter(events: DataFrame, patients: DataFrame, key: str = "patid", max
         return events
     word, mask = _spot(F.col(key).cast("long") if whole else F.col(key), words)
     bits = unique.select(word.alias(_WORD), mask.alias(_MASK)).groupBy(_WORD).agg(F.bit_or(_MASK).alias(_BITS))
-    asked = events.filter(F.col(key).isNotNull()).withColumns({_WORD: word, _MASK: mask})
-    hit = F.col(_BITS).bitwiseAND(F.col(_MASK)) == F.col(_MASK)
-    return asked.join(F.broadcast(bits), _WORD).filter(hit).select(*events.columns)
+    # A semi join: where events are a join themselves, Spark moves it to the side that holds the key, before any shuffle.
+    hit = (word == F.col(_WORD)) & (F.col(_BITS).bitwiseAND(mask) == mask)
+    return events.filter(F.col(key).isNotNull()).join(F.broadcast(bits), hit, "left_semi")
+
+
+def early_codes(events: DataFrame, codes: DataFrame, code: str) -> DataFrame:
+    """``events`` without most rows whose code is not in the list; no listed row is lost. The join with the list still has to follow.
+
+    Being a semi join, this is moved below the joins that events are made of, so that other rows are never shuffled. Distinct
+    codes are broadcast where they fit, else a filter of them; codes of two types meet as text, as in ``join_codes``.
+    """
+    codes = codes.select("code")
+    if joins.fits(codes) or joins.fits(codes.distinct()):
+        return joins.join_codes(events, F.broadcast(codes.distinct()), code, "left_semi").select(*events.columns)
+    return early_filter(events, codes.withColumnRenamed("code", code), code)
 
 
 def early_semi(events: DataFrame, patients: DataFrame, key: str = "patid", max_bytes: int | None = None) -> DataFrame:

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import parse_dates
 from ..sources.codelists import long_codelist
 from .joins import tag_events
+from .keyfilter import early_codes
 
 ROLE, TERM, ON = "_role", "_term", "_on"
 
@@ -66,7 +67,7 @@ def summarise_events(
     """One row per patient that has any event in the parts' lists, with all their aggregates."""
     parts = list(parts)
     wanted = list(dict.fromkeys([key, code, *dates, *(c for p in parts for c in p.columns)]))
-    rows = parse_dates(events.select(*wanted), *dates).withColumn(ON, F.coalesce(*dates))
     lists = long_codelist(p.lists for p in parts).withColumn("list_name", role_number(F.col("list_name")))
+    rows = parse_dates(early_codes(events.select(*wanted), lists, code), *dates).withColumn(ON, F.coalesce(*dates))
     tagged = tag_events(rows, lists, code, term=TERM).withColumnRenamed("list_name", ROLE)
     return tagged.groupBy(key).agg(*[a for p in parts for a in p.aggregates])

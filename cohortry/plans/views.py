@@ -11,6 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..operators.joins import patient_semi
+from ..operators.keyfilter import early_filter
+from ..sources.tables import materialise
+
 STUDY_START, STUDY_END = "1996-01-01", "2000-12-31"
 ROLL_START, ROLL_END = "2024-01-05", "2024-01-25"
 # Medication and condition columns of the research dataset.
@@ -64,16 +68,32 @@ class Views:
     def practice(self) -> DataFrame:
         return self.table("nation").join(self.table("region"), F.col("n_regionkey") == F.col("r_regionkey")).selectExpr("n_nationkey AS pracid", "r_name AS region")
 
+    @cached_property
+    def _orders(self) -> DataFrame:
+        return self.table("orders").selectExpr("o_orderkey", "o_custkey AS patid", "CAST(o_orderdate AS DATE) AS enterdate")
+
+    @cached_property
+    def _lines(self) -> DataFrame:
+        return self.table("lineitem")
+
+    def of_patients(self, keys: DataFrame) -> Views:
+        """The same views where drug issues and observations are made from the orders of the given patients only.
+
+        Their orders are stored, and lines of other orders are dropped by a filter of order keys before the join.
+        """
+        mine = Views(self.spark, self.dir)
+        mine._orders = materialise(patient_semi(self._orders, keys))
+        mine._lines = early_filter(self._lines, mine._orders.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey")
+        return mine
+
     @cached_property
     def drug_issue(self) -> DataFrame:
-        lines = self.table("lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_shipdate", "l_quantity", "l_returnflag")
-        orders = self.table("orders").select("o_orderkey", "o_custkey", "o_orderdate")
-        return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).selectExpr(
-            "o_custkey AS patid", "l_partkey AS prodcodeid",
-            "CASE WHEN l_linenumber <> 7 THEN CAST(l_shipdate AS DATE) END AS issuedate",
-            "CAST(o_orderdate AS DATE) AS enterdate",
+        # Worked out before the join and only picked after it: a semi join on a patient or code then moves below the join.
+        lines = self._lines.selectExpr(
+            "l_orderkey", "l_partkey AS prodcodeid", "CASE WHEN l_linenumber <> 7 THEN CAST(l_shipdate AS DATE) END AS issuedate",
             "CASE WHEN l_returnflag <> 'N' THEN CAST(l_quantity AS INT) END AS duration",
         )
+        return lines.join(self._orders, F.col("l_orderkey") == F.col("o_orderkey")).select("patid", "prodcodeid", "issuedate", "enterdate", "duration")
 
     @cached_property
     def observation(self) -> DataFrame:
@@ -89,17 +109,14 @@ class Views:
         return rows.select(F.lit(name).alias("list_name"), "code", F.col("code").alias("term"))
 
     def _observed(self, code: str) -> DataFrame:
-        lines = self.table("lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_shipdate", "l_extendedprice", "l_returnflag")
-        orders = self.table("orders").select("o_orderkey", "o_custkey", "o_orderdate")
-        parts = self.table("part").selectExpr("p_partkey", f"{code} AS medcodeid")
-        return lines.join(parts, F.col("l_partkey") == F.col("p_partkey")).join(
-            orders, F.col("l_orderkey") == F.col("o_orderkey")
-        ).selectExpr(
-            "o_custkey AS patid", "medcodeid",
-            "CASE WHEN l_linenumber <> 7 THEN CAST(l_shipdate AS DATE) END AS obsdate",
-            "CAST(o_orderdate AS DATE) AS enterdate", "l_extendedprice AS value",
+        lines = self._lines.selectExpr(
+            "l_orderkey", "l_partkey", "CASE WHEN l_linenumber <> 7 THEN CAST(l_shipdate AS DATE) END AS obsdate", "l_extendedprice AS value",
             "CASE l_returnflag WHEN 'R' THEN '276' WHEN 'A' THEN '155' ELSE '9' END AS numunitid",
         )
+        parts = self.table("part").selectExpr("p_partkey", f"{code} AS medcodeid")
+        return lines.join(parts, F.col("l_partkey") == F.col("p_partkey")).join(
+            self._orders, F.col("l_orderkey") == F.col("o_orderkey")
+        ).select("patid", "medcodeid", "obsdate", "enterdate", "value", "numunitid")
 
     @cached_property
     def roll_event(self) -> DataFrame:

@@ -61,7 +61,9 @@ def _(v: Views):
 @query("whole_restricted", """SELECT 'drug' AS kind, patid, CAST(prodcodeid AS VARCHAR) AS code, coalesce(issuedate, enterdate) AS on_day FROM drug_issue WHERE patid IN (SELECT patid FROM cohort)
     UNION ALL SELECT 'observation', patid, medcodeid, coalesce(obsdate, enterdate) FROM observation WHERE patid IN (SELECT patid FROM cohort)""", **FULL)
 def _(v: Views):
-    drugs, seen = cohort.restrict_events(kept(v), v.drug_issue, v.rare_observation)
+    patients = materialise(kept(v).select("patid"))
+    own = v.of_patients(patients)
+    drugs, seen = cohort.restrict_events(patients, own.drug_issue, own.rare_observation)
     return union_lists([
         drugs.selectExpr("'drug' AS kind", "patid", "CAST(prodcodeid AS STRING) AS code", "coalesce(issuedate, enterdate) AS on_day"),
         seen.selectExpr("'observation' AS kind", "patid", "medcodeid AS code", "coalesce(obsdate, enterdate) AS on_day"),

@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 
 from cohortry.operators import joins
 from cohortry.operators.cohort import acceptable_cohort, research_dataset
-from cohortry.operators.keyfilter import early_filter, early_semi, filter_words
+from cohortry.operators.flags import with_unit
+from cohortry.operators.joins import patient_semi
+from cohortry.operators.keyfilter import early_codes, early_filter, early_semi, filter_words
 from cohortry.plans.cohorts import covariates, study
 from cohortry.plans.views import Views
 from cohortry.plans.whole import whole_study
@@ -66,3 +68,57 @@ def test_cohort_and_dataset_are_the_same(spark, of, seen):
     assert late.columns == soon.columns and late.exceptAll(soon).count() == 0 == soon.exceptAll(late).count()
     late, soon = (research_dataset(*tables, of(v), covariates(v), early=e) for e in (False, True))
     assert late.columns == soon.columns and late.exceptAll(soon).count() == 0 == soon.exceptAll(late).count()
+
+
+def nodes(df) -> str:
+    """The optimized plan as text."""
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def below(text: str, join: str, other: str = "Join Inner") -> bool:
+    """Whether a semi join with the text stands below the topmost inner join."""
+    lines = text.splitlines()
+    top = next(k for k, line in enumerate(lines) if other in line)
+    return any("Join LeftSemi" in line and join in line for line in lines[top + 1:])
+
+
+def test_restricted_events_are_reduced_before_their_tables_meet(spark):
+    v = Views(spark, SMALL)
+    keys = spark.range(0, 150, 10).selectExpr("id AS patid")
+    own = v.of_patients(keys)
+    for name in ("drug_issue", "observation", "rare_observation"):
+        all_rows, own_rows = (patient_semi(getattr(x, name), keys) for x in (v, own))
+        assert below(nodes(all_rows), "(patid#")
+        assert below(nodes(own_rows), "xxhash64(l_orderkey")
+        assert own_rows.count() > 0 and all_rows.exceptAll(own_rows).count() == 0 == own_rows.exceptAll(all_rows).count()
+
+
+def test_listed_codes_reduce_events_before_their_tables_meet(spark):
+    v = Views(spark, SMALL)
+    lists = v.exposure_codes.unionByName(v.medication_lists)
+    rows = early_codes(v.drug_issue, lists, "prodcodeid")
+    assert below(nodes(rows), "prodcodeid") and below(nodes(early_filter(v.observation, spark.range(5).selectExpr("id AS patid"))), "xxhash64(patid")
+    want = v.drug_issue.join(lists.selectExpr("code AS prodcodeid").distinct(), "prodcodeid").select(rows.columns)
+    assert rows.exceptAll(want).count() == 0 == want.exceptAll(rows).count()
+
+
+@pytest.mark.parametrize("limit", [None, 2000])
+def test_codes_of_any_type_keep_their_events(spark, monkeypatch, limit):
+    if limit:
+        monkeypatch.setattr(joins, "MAX_BROADCAST_BYTES", limit)
+    events = spark.createDataFrame([(1, "7", "a"), (1, "7", "a"), (2, "007", "b"), (3, None, "c"), (4, "x", "d")], "patid int, code_id string, v string")
+    lists = spark.range(7, 207).selectExpr("'l' AS list_name", "id AS code").union(spark.createDataFrame([("l", None), ("m", 7)], "list_name string, code long"))
+    for codes in (lists, lists.withColumn("code", F.col("code").cast("string"))):
+        got = early_codes(events, codes, "code_id")
+        assert got.columns == events.columns and got.filter("code_id = '7'").count() == 2
+        if not limit:
+            assert got.count() == 2
+
+
+def test_units_are_marked_without_a_stop_for_semi_joins(spark):
+    events = spark.createDataFrame([(1, "276"), (1, "276"), (2, " 9 "), (3, None), (4, "x"), (5, "155")], "patid int, numunitid string")
+    units = spark.createDataFrame([(276, "kg/m2"), (276, "kg/m2"), (155, "kg/m2"), (9, "mmol/L"), (None, "kg/m2")], "numunitid int, Description string")
+    out = with_unit(events, units)
+    assert out.columns == ["patid", "numunitid", "_in_unit"]
+    assert sorted(out.collect(), key=str) == [(1, "276", True), (1, "276", True), (2, " 9 ", None), (3, None, None), (4, "x", None), (5, "155", True)]
+    assert below(nodes(early_filter(out, spark.range(3).selectExpr("CAST(id AS INT) AS patid"))), "xxhash64", "Join LeftOuter")

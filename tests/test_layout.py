@@ -67,6 +67,24 @@ def test_interleaved_layout_takes_nulls_and_hot_values(spark, tmp_path):
     assert layout.interleaved_layout(spark, f"{tmp_path}/none", f"{tmp_path}/none2", ("patid", "code")).count() == 0
 
 
+@pytest.mark.parametrize("ranges", [1, 2, 7, 64])
+def test_ranks_count_the_borders_below_in_compiled_steps(spark, ranges):
+    rows = spark.range(3000).selectExpr(
+        "CASE WHEN id % 11 > 0 THEN id * id % 977 END AS a", "CASE WHEN id % 13 > 0 THEN concat('c', id % 50) END AS b",
+        "CASE WHEN id % 7 = 0 THEN double('nan') ELSE id % 5 END AS c",
+    ).cache()
+    shares = ", ".join(str(k / ranges) for k in range(1, ranges))
+    got = layout.with_range_ranks(rows, ["a", "b", "c"], ranges)
+    assert got.columns == ["a", "b", "c", "_rank0", "_rank1", "_rank2"] and "lambda" not in plan(got)
+    for name, number, rank in (("a", "double(a)", "_rank0"), ("b", "double(conv(rpad(substring(hex(encode(b, 'UTF-8')), 1, 12), 12, '0'), 16, 10))", "_rank1"), ("c", "c", "_rank2")):
+        if ranges > 1:
+            cuts = rows.selectExpr(f"percentile_approx({number}, array({shares}), 10000)").first()[0]
+            below = " + ".join(f"int(coalesce(double('{b}') < {number}, false))" for b in cuts)
+        else:
+            below = "0"
+        assert got.filter(f"{rank} <> {below}").count() == 0 and got.filter(f"{name} IS NULL AND {rank} <> 0").count() == 0
+
+
 def test_files_are_reconciled(spark, tmp_path):
     good, cut = ["a\tb", "1\tx", "2\ty"], ["a\tb", "1\tx", "3"]
     for name, lines in (("one", good), ("two", good), ("three", cut), ("late", good)):
