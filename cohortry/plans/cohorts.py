@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import cohort, events, exposure, flags, joins, outcome, patterns, rollup
 from ..operators.sets import union_lists
+from ..sources.codelists import long_codelist
 from ..sources.tables import flatten_arrays_for_csv
 from .basics import EXPOSED, FIRST
 from .registry import query
@@ -39,6 +40,17 @@ def covariates(v: Views) -> cohort.Covariates:
     )
 
 
+def of_study(v: Views, s: cohort.Study, c: cohort.Covariates | None = None) -> Views:
+    """The views with observations of the codes that the study and its covariates ask for there."""
+    lists = [s.outcome.lists, *([s.exclusion] if s.exclusion_in == "events" else []), *([c.conditions, c.measurement] if c else [])]
+    return v.of_codes(long_codelist(x.select("code") for x in lists))
+
+
+def with_outcome(v: Views, patients: DataFrame, mode: str = "earliest_positive") -> DataFrame:
+    r = rules(v, mode)
+    return outcome.add_outcome(patients, v.of_codes(r.lists).observation, r)
+
+
 # SQL parts, each stated with rankings and subqueries rather than the aggregates used above.
 EXPOSED_PATIENTS = """SELECT p.*, f.issuedate AS first_exposure_date, f.drugsubstancename,
     CAST(f.issuedate - p.regstartdate AS INTEGER) AS time_to_first_exposure FROM patient p LEFT JOIN firsts f ON p.patid = f.patid"""
@@ -96,7 +108,8 @@ def exposed(v: Views) -> DataFrame:
 
 
 def accepted(v: Views) -> DataFrame:
-    return cohort.acceptable_cohort(v.patient, v.drug_issue, v.observation, study(v))
+    s = study(v)
+    return cohort.acceptable_cohort(v.patient, v.drug_issue, of_study(v, s).observation, s)
 
 
 @query("add_first_exposure", "SELECT patid, first_exposure_date, drugsubstancename, time_to_first_exposure FROM exposed_patients", **BASE)
@@ -162,18 +175,18 @@ def _(v: Views):
 
 @query("add_outcome", OUTCOME_SQL.format("earliest"), **OUTCOMES)
 def _(v: Views):
-    return outcome.add_outcome(v.patient, v.observation, rules(v)).select("patid", "gender", "outcome", "outcome_date")
+    return with_outcome(v, v.patient).select("patid", "gender", "outcome", "outcome_date")
 
 
 @query("add_outcome_first_record", OUTCOME_SQL.format("very_first"), **OUTCOMES)
 def _(v: Views):
-    return outcome.add_outcome(v.patient, v.observation, rules(v, "first_record")).select("patid", "gender", "outcome", "outcome_date")
+    return with_outcome(v, v.patient, "first_record").select("patid", "gender", "outcome", "outcome_date")
 
 
 @query("exclude_prior_outcome", """SELECT e.patid, first_exposure_date, CAST(coalesce(x.code, 0) AS INTEGER) AS outcome, x.outcome_date FROM exposed_patients e
     LEFT JOIN earliest x ON e.patid = x.patid WHERE coalesce(x.code, 0) <> 3 AND NOT coalesce(x.outcome_date < first_exposure_date, FALSE)""", **BASE, **OUTCOMES)
 def _(v: Views):
-    rows = outcome.add_outcome(exposed(v), v.observation, rules(v))
+    rows = with_outcome(v, exposed(v))
     return outcome.exclude_prior_outcome(rows).select("patid", "first_exposure_date", "outcome", "outcome_date")
 
 
@@ -213,7 +226,8 @@ STEP_ROWS = step_rows_sql(NOT_EXCLUDED)
 
 @query("attrition_table", _attrition_sql([n for n, _ in _STEPS]), **FULL, steps=STEP_ROWS)
 def _(v: Views):
-    return cohort.cohort_attrition(v.patient, v.drug_issue, v.observation, study(v))
+    s = study(v)
+    return cohort.cohort_attrition(v.patient, v.drug_issue, of_study(v, s).observation, s)
 
 
 @query("attrition_table_drugs", _attrition_sql([n for n, _ in _STEPS if n != "no_prior_outcome"]), **FULL, steps=STEP_ROWS)
@@ -244,14 +258,14 @@ def _(v: Views):
     x.outcome_date, l.issuedate + coalesce(l.duration + 120, 180)) AS study_exit_date FROM patient p LEFT JOIN lasts l ON p.patid = l.patid
     LEFT JOIN earliest x ON p.patid = x.patid""", **ENDED)
 def _(v: Views):
-    rows = outcome.add_outcome(v.patient, v.observation, rules(v))
+    rows = with_outcome(v, v.patient)
     return exposure.add_study_end(rows, STUDY_END, v.drug_issue, v.exposure_codes).select("patid", "censor_date", "study_exit_date")
 
 
 @query("censor_outcome", f"""SELECT p.patid, CASE WHEN x.outcome_date > DATE '1998-06-30' THEN 0 ELSE CAST(coalesce(x.code, 0) AS INTEGER) END AS outcome,
     CASE WHEN x.outcome_date > DATE '1998-06-30' THEN NULL ELSE x.outcome_date END AS outcome_date FROM patient p LEFT JOIN earliest x ON p.patid = x.patid""", **OUTCOMES)
 def _(v: Views):
-    rows = outcome.add_outcome(v.patient, v.observation, rules(v)).withColumn("study_exit_date", F.lit("1998-06-30").cast("date"))
+    rows = with_outcome(v, v.patient).withColumn("study_exit_date", F.lit("1998-06-30").cast("date"))
     return exposure.censor_outcome(rows).select("patid", "outcome", "outcome_date")
 
 

@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..operators.joins import patient_semi
-from ..operators.keyfilter import early_filter
+from ..operators.joins import fits, patient_semi
+from ..operators.keyfilter import early_codes, early_filter
 from ..sources.tables import materialise
 
 STUDY_START, STUDY_END = "1996-01-01", "2000-12-31"
@@ -43,6 +43,7 @@ _SCHEMAS: dict[str, StructType] = {}
 class Views:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.dir = spark, sf_dir.rstrip("/")
+        self._listed: DataFrame | None = None
 
     def table(self, name: str) -> DataFrame:
         """A shared table; its schema is looked up in the file once and stated from then on."""
@@ -84,6 +85,17 @@ class Views:
         mine = Views(self.spark, self.dir)
         mine._orders = materialise(patient_semi(self._orders, keys))
         mine._lines = early_filter(self._lines, mine._orders.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey")
+        mine._listed = self._listed
+        return mine
+
+    def of_codes(self, lists: DataFrame) -> Views:
+        """The same views for work that asks for listed codes only: most observations of other codes are left out.
+
+        Their parts are found before lines meet them. Where those fit they are broadcast, else lines are reduced by a filter of
+        their keys, so that the table of all lines is never shuffled for the parts. An operator still has to pick the codes.
+        """
+        mine = Views(self.spark, self.dir)
+        mine._orders, mine._lines, mine._listed = self._orders, self._lines, lists.select("code")
         return mine
 
     @cached_property
@@ -114,6 +126,12 @@ class Views:
             "CASE l_returnflag WHEN 'R' THEN '276' WHEN 'A' THEN '155' ELSE '9' END AS numunitid",
         )
         parts = self.table("part").selectExpr("p_partkey", f"{code} AS medcodeid")
+        if self._listed is not None:
+            parts = early_codes(parts, self._listed, "medcodeid")
+            if fits(parts):
+                parts = F.broadcast(parts)
+            else:
+                lines = early_filter(lines, parts.select(F.col("p_partkey").alias("l_partkey")), "l_partkey")
         return lines.join(parts, F.col("l_partkey") == F.col("p_partkey")).join(
             self._orders, F.col("l_orderkey") == F.col("o_orderkey")
         ).select("patid", "medcodeid", "obsdate", "enterdate", "value", "numunitid")

@@ -15,7 +15,7 @@ from ..sources.tables import materialise
 from ..stats import association, balance, describe, tmle
 from .cohorts import (
     BASE, CENSORED, COHORT_COLUMNS, COVARIATES, EARLIEST, LAST, RESEARCH, SINGLE, STUDY_ENDS, VERY_FIRST, _STEPS, _attrition_sql, coded_sql,
-    cohort_sql, covariates, step_rows_sql,
+    cohort_sql, covariates, of_study, step_rows_sql,
 )
 from .registry import query
 from .statistics import COUNTS, PAIR_COUNTS, PAIRED, SHARES, SPREAD, WELCH, _chi_sql, _long, _quantiles_sql, chi2_p_sql, rounded, t_p_sql
@@ -45,7 +45,8 @@ def whole_study(v: Views) -> cohort.Study:
 
 
 def kept(v: Views) -> DataFrame:
-    return cohort.acceptable_cohort(v.patient, v.drug_issue, v.rare_observation, whole_study(v))
+    s = whole_study(v)
+    return cohort.acceptable_cohort(v.patient, v.drug_issue, of_study(v, s).rare_observation, s)
 
 
 @query("whole_cohort", "SELECT * REPLACE (CAST(outcome AS INTEGER) AS outcome) FROM cohort", **FULL)
@@ -55,7 +56,8 @@ def _(v: Views):
 
 @query("whole_attrition", _attrition_sql([n for n, _ in _STEPS if n != "single_class"]), **FULL, steps=step_rows_sql(NOT_EXCLUDED))
 def _(v: Views):
-    return cohort.cohort_attrition(v.patient, v.drug_issue, v.rare_observation, whole_study(v))
+    s = whole_study(v)
+    return cohort.cohort_attrition(v.patient, v.drug_issue, of_study(v, s).rare_observation, s)
 
 
 @query("whole_restricted", """SELECT 'drug' AS kind, patid, CAST(prodcodeid AS VARCHAR) AS code, coalesce(issuedate, enterdate) AS on_day FROM drug_issue WHERE patid IN (SELECT patid FROM cohort)

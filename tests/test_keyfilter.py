@@ -8,8 +8,8 @@ from cohortry.operators.cohort import acceptable_cohort, research_dataset
 from cohortry.operators.flags import with_unit
 from cohortry.operators.joins import patient_semi
 from cohortry.operators.keyfilter import early_codes, early_filter, early_semi, filter_words
-from cohortry.plans.cohorts import covariates, study
-from cohortry.plans.views import Views
+from cohortry.plans.cohorts import covariates, of_study, study
+from cohortry.plans.views import RARE, Views
 from cohortry.plans.whole import whole_study
 
 from .conftest import SMALL
@@ -93,6 +93,36 @@ def test_restricted_events_are_reduced_before_their_tables_meet(spark):
         assert own_rows.count() > 0 and all_rows.exceptAll(own_rows).count() == 0 == own_rows.exceptAll(all_rows).count()
 
 
+@pytest.mark.parametrize("limit", [None, 200])
+def test_lines_are_not_shuffled_for_parts_without_a_listed_code(spark, monkeypatch, tmp_path, limit):
+    tables = {
+        "part": spark.range(40).selectExpr("nullif(id, 39) AS p_partkey", "CASE WHEN id <> 5 THEN 'Brand#1' END AS p_brand", "int(25 + id % 10) AS p_size", "'ECONOMY' AS p_type").union(
+            spark.createDataFrame([(10, "Brand#2", 30, "LARGE"), (11, "Brand#2", 1, None)], "p_partkey long, p_brand string, p_size int, p_type string")),
+        "orders": spark.range(50).selectExpr("nullif(id, 49) AS o_orderkey", "id % 7 AS o_custkey", "timestamp'2000-01-01' AS o_orderdate"),
+        "lineitem": spark.range(900).selectExpr(
+            "id % 53 AS l_orderkey", "nullif(id % 43, 25) AS l_partkey", "timestamp'2000-02-01' AS l_shipdate", "int(id % 8) AS l_linenumber", "double(id) AS l_extendedprice",
+            "CASE id % 3 WHEN 0 THEN 'R' WHEN 1 THEN 'A' END AS l_returnflag"),
+    }
+    for name, rows in tables.items():
+        rows.write.parquet(f"{tmp_path}/{name}.parquet")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    if limit:
+        monkeypatch.setattr(joins, "MAX_BROADCAST_BYTES", limit)
+    try:
+        v = Views(spark, str(tmp_path))
+        own = of_study(v, whole_study(v)).rare_observation
+        text = own._jdf.queryExecution().executedPlan().toString()
+        if limit:
+            assert below(nodes(own), "xxhash64(l_partkey")
+        else:
+            assert "BroadcastHashJoin [l_partkey" in text and "hashpartitioning(l_partkey" not in text
+        got, want = (rows.filter(F.col("medcodeid").isin(list(RARE))) for rows in (own, v.rare_observation))
+        assert want.count() > 0 and got.exceptAll(want).count() == 0 == want.exceptAll(got).count()
+        assert own.count() < v.rare_observation.count() / 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_listed_codes_reduce_events_before_their_tables_meet(spark):
     v = Views(spark, SMALL)
     lists = v.exposure_codes.unionByName(v.medication_lists)
