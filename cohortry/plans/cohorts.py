@@ -362,7 +362,8 @@ COVARIATES = {"medicated": MEDICATED, "diseased": DISEASED, "measured": MEASURED
 
 @query("research_dataset", RESEARCH, **ENDED, **COVARIATES)
 def research(v: Views):
-    return cohort.research_dataset(v.patient, v.drug_issue, v.observation, study(v), covariates(v))
+    s, c = study(v), covariates(v)
+    return cohort.research_dataset(v.patient, v.drug_issue, of_study(v, s, c).observation, s, c)
 
 
 @query("first_treatment_share", "SELECT drugsubstancename AS treatment, count(*) AS count, round(count(*) * 100.0 / sum(count(*)) OVER (), 6) AS percent FROM firsts GROUP BY 1", exposed=EXPOSED, firsts=FIRST)

@@ -5,6 +5,8 @@ The exclusion is looked for in observations, outcomes have rare codes, and patie
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -74,7 +76,8 @@ def _(v: Views):
 
 @query("whole_research", RESEARCH, **ENDED, **COVARIATES)
 def research(v: Views):
-    return cohort.research_dataset(v.patient, v.drug_issue, v.rare_observation, whole_study(v), covariates(v))
+    s, c = whole_study(v), covariates(v)
+    return cohort.research_dataset(v.patient, v.drug_issue, of_study(v, s, c).rare_observation, s, c)
 
 
 @query("whole_research_bucketed", RESEARCH, **ENDED, **COVARIATES)
@@ -86,8 +89,12 @@ def research_bucketed(v: Views):
 
 @query("whole_research_early", RESEARCH, **ENDED, **COVARIATES)
 def research_early(v: Views):
-    """The same with observations reduced by a filter of the patients that drugs leave eligible."""
-    return cohort.research_dataset(v.patient, v.drug_issue, v.rare_observation, whole_study(v), covariates(v), early=True)
+    """The same with drugs and observations reduced to the patients that exposure leaves eligible, before their tables meet."""
+    s, c = whole_study(v), covariates(v)
+    exposed = cohort.eligibility(v.patient, v.drug_issue, None, replace(s, exclusion=None, outcome=None))
+    patients = materialise(cohort.keep_eligible(exposed, s, events_known=False).select(*v.patient.columns))
+    own = v.of_patients(patients.select("patid"))
+    return cohort.research_dataset(patients, own.drug_issue, of_study(own, s, c).rare_observation, s, c, early=True)
 
 
 # Complete cases, compared by treatment.

@@ -10,7 +10,7 @@ from cohortry.operators.joins import patient_semi
 from cohortry.operators.keyfilter import early_codes, early_filter, early_semi, filter_words
 from cohortry.plans.cohorts import covariates, of_study, study
 from cohortry.plans.views import RARE, Views
-from cohortry.plans.whole import whole_study
+from cohortry.plans.whole import research_early, whole_study
 
 from .conftest import SMALL
 
@@ -123,6 +123,13 @@ def test_lines_are_not_shuffled_for_parts_without_a_listed_code(spark, monkeypat
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_research_shuffles_lines_of_eligible_patients_only(views):
+    text = nodes(research_early(views))
+    scans = [line for line in text.splitlines() if "Relation [l_orderkey" in line]
+    filters = [line for line in text.splitlines() if "Join LeftSemi" in line and "xxhash64(l_orderkey" in line]
+    assert len(scans) == len(filters) == 1 and "xxhash64(patid" in text  # drugs are stored by then
+
+
 def test_listed_codes_reduce_events_before_their_tables_meet(spark):
     v = Views(spark, SMALL)
     lists = v.exposure_codes.unionByName(v.medication_lists)
